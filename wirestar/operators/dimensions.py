@@ -12,7 +12,8 @@ from pyspark.sql.window import Window
 
 from wirestar.functions import columns as C
 from wirestar.operators.aggregates import latest_local_ip
-from wirestar.operators.numbering import next_key, number_rows
+from wirestar.operators.numbering import last_key as last_key_of
+from wirestar.operators.numbering import number_rows
 from wirestar.schemas import DATE_DIM, DIRECTIONS, IP_DIM, PRIVATE_ADDRESS, USERS_DIM
 from wirestar.sources.staging import Staged, Staging
 
@@ -44,14 +45,14 @@ def new_addresses(ips: DataFrame, hours: DataFrame) -> DataFrame:
     return address_candidates(hours).join(ips.select("ip_address"), "ip_address", "left_anti")
 
 
-def keyed_addresses(new: DataFrame, ips: DataFrame, staging: Staging) -> Staged:
-    """Key new addresses in address order, after the highest key so far."""
+def keyed_addresses(new: DataFrame, last_key: int, staging: Staging) -> Staged:
+    """Key new addresses in address order, after the last key so far."""
     numbered = number_rows(
         new,
         [F.col("ip_address")],
         "ip_key",
         staging,
-        start=next_key(ips, "ip_key"),
+        start=last_key,
         dtype=IP_DIM["ip_key"].dataType,
     )
     return Staged(numbered.df.select(*IP_DIM.names), numbered.rows)
@@ -69,7 +70,7 @@ def new_directions(directions: DataFrame) -> DataFrame:
     missing = direction_values(directions).join(held, "direction", "left_anti")
     # At most two rows, so an ungrouped window is fine here.
     place = F.row_number().over(Window.orderBy("direction"))
-    key = place + F.lit(next_key(directions, "direction_key"))
+    key = place + F.lit(last_key_of(directions, "direction_key"))
     return missing.select(key.cast("int").alias("direction_key"), "direction")
 
 
@@ -100,27 +101,6 @@ def back_dated(users: DataFrame, hours: DataFrame, pattern: str = PRIVATE_ADDRES
     return latest.join(current, "user_name").where(F.col("start_date") < F.col("_since"))
 
 
-def new_user_rows(changes: DataFrame, users: DataFrame, staging: Staging) -> Staged:
-    """The changes as current rows, keyed in user-name order after the highest key."""
-    numbered = number_rows(
-        changes.drop("user_key"),
-        [F.col("user_name")],
-        "user_key",
-        staging,
-        start=next_key(users, "user_key"),
-        dtype=USERS_DIM["user_key"].dataType,
-    )
-    rows = numbered.df.select(
-        "user_key",
-        "user_name",
-        "local_ip",
-        "start_date",
-        F.lit(None).cast("timestamp_ntz").alias("end_date"),
-        F.lit(True).alias("current_flag"),
-    )
-    return Staged(rows, numbered.rows)
-
-
 def close_changed(users: DataFrame, changes: DataFrame) -> DataFrame:
     """``users`` with the rows that changes replace closed at the change's start."""
     closing = changes.where(F.col("user_key").isNotNull()).select(
@@ -140,17 +120,32 @@ def close_changed(users: DataFrame, changes: DataFrame) -> DataFrame:
 def next_users(
     users: DataFrame,
     hours: DataFrame,
+    last_key: int,
     staging: Staging,
     scope: str = "per_user",
     pattern: str = PRIVATE_ADDRESS,
 ) -> Staged:
     """State of ``users_dim`` after a batch: changed rows closed, their successors and
     new users added (slowly changing dimension, type 2). Unchanged users keep their row.
+    ``rows`` counts the added rows only.
 
     ``end_date`` is the successor's ``start_date``, which is the last hour the batch
-    shows the new address in.
+    shows the new address in. New rows are keyed in user-name order after the last key.
     """
-    changes = staging.write(user_changes(users, hours, scope, pattern), "user-changes")
-    added = new_user_rows(changes.df, users, staging)
-    state = close_changed(users, changes.df).unionByName(added.df)
-    return staging.write(state, "users-dim")
+    changes = number_rows(
+        user_changes(users, hours, scope, pattern),
+        [F.col("user_name")],
+        "new_key",
+        staging,
+        start=last_key,
+        dtype=USERS_DIM["user_key"].dataType,
+    )
+    added = changes.df.select(
+        F.col("new_key").alias("user_key"),
+        "user_name",
+        "local_ip",
+        "start_date",
+        F.lit(None).cast("timestamp_ntz").alias("end_date"),
+        F.lit(True).alias("current_flag"),
+    )
+    return Staged(close_changed(users, changes.df).unionByName(added), changes.rows)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wirestar.functions import columns as C
 from wirestar.operators.lookups import BROADCAST_BYTES, Sized, left_lookup
-from wirestar.operators.numbering import next_key, number_rows
+from wirestar.operators.numbering import number_rows
 from wirestar.schemas import PACKETS_FACT, PRIVATE_ADDRESS
 from wirestar.sources.staging import Staged, Staging
 
@@ -40,7 +40,7 @@ def fact_staging(
         (Sized(sources, ips.rows), "source_ip", "_source"),
         (Sized(destinations, ips.rows), "destination_ip", "_destination"),
     ):
-        rows = left_lookup(Sized(rows, hours.rows), dim, row_key, dim_key, broadcast_bytes)
+        rows = left_lookup(rows, dim, row_key, dim_key, hours, broadcast_bytes)
 
     # Two constants, read once each: no join with every row. NULL if the value is missing.
     def key_of(label: str):
@@ -82,12 +82,8 @@ def new_facts(facts: DataFrame, staged: DataFrame, null_safe: bool = False) -> D
 
 
 def key_facts(new: DataFrame, last_key: int, staging: Staging) -> Staged:
-    """Key new rows by falling bandwidth, after the highest key so far."""
+    """Key new rows by falling bandwidth, after the last key so far."""
     rest = [c for c in MEASURES if c != "kb_bandwidth"]
     order = [F.desc_nulls_last("kb_bandwidth"), *(F.asc_nulls_last(c) for c in rest)]
     keyed = number_rows(new, order, "packets_key", staging, start=last_key)
     return Staged(keyed.df.select(*PACKETS_FACT.names), keyed.rows)
-
-
-def last_fact_key(facts: DataFrame) -> int:
-    return next_key(facts, "packets_key")

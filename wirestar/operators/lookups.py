@@ -29,10 +29,11 @@ class Sized:
 
 
 def left_lookup(
-    rows: Sized,
+    rows: DataFrame,
     dim: Sized,
     row_key: str,
     dim_key: str,
+    base: Sized,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     salts: int = SALTS,
@@ -41,38 +42,45 @@ def left_lookup(
 
     A dimension known to be small is broadcast. If its size is unknown, the plain join
     leaves the choice to adaptive execution, which measures it. Beyond the limit, both
-    sides are shuffled, and rows of hot keys spread over ``salts`` tasks.
+    sides are shuffled, and rows of hot keys spread over ``salts`` tasks. Hot keys are
+    counted in ``base``: the staged table that ``rows`` comes from, with the same keys.
     """
     on = F.col(row_key) == F.col(dim_key)
     if dim.fits_broadcast(broadcast_bytes):
-        return rows.df.join(F.broadcast(dim.df), on, "left")
-    if dim.rows is None or rows.rows is None:
-        return rows.df.join(dim.df, on, "left")
-    return _salted_left(rows, dim, row_key, dim_key, hot_share, salts)
+        return rows.join(F.broadcast(dim.df), on, "left")
+    if dim.rows is None or base.rows is None:
+        return rows.join(dim.df, on, "left")
+    hot = hot_keys(base, row_key, hot_share)
+    return _salted_left(rows, dim.df, row_key, dim_key, hot, salts)
 
 
-def _salted_left(
-    rows: Sized, dim: Sized, row_key: str, dim_key: str, hot_share: float, salts: int
-) -> DataFrame:
-    # Map-side combined: each task sends one row per key. NULL counts as a key here, so
-    # that many NULL rows, which match nothing, do not meet in one task either.
-    hot = (
-        rows.df.groupBy(F.col(row_key).alias("_hot_key"))
+def hot_keys(base: Sized, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Keys with more than ``share`` of the rows, as ``_hot_key``: at most 1 / ``share``.
+
+    Map-side combined: each task sends one row per key. NULL counts as a key, so that
+    many NULL rows, which match nothing, do not meet in one task either.
+    """
+    return (
+        base.df.groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > F.lit(rows.rows * hot_share))
+        .where(F.col("_n") > F.lit(base.rows * share))
         .select("_hot_key", F.lit(True).alias("_hot"))
     )
-    hot = F.broadcast(hot)  # at most 1 / hot_share rows
 
+
+def _salted_left(
+    rows: DataFrame, dim: DataFrame, row_key: str, dim_key: str, hot: DataFrame, salts: int
+) -> DataFrame:
     def with_salt(df: DataFrame, key: str, salt: Column, name: str) -> DataFrame:
-        flagged = df.join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        same = F.col(key).eqNullSafe(F.col("_hot_key"))
+        flagged = df.join(F.broadcast(hot), same, "left")  # at most 1 / HOT_SHARE rows
         return flagged.withColumn(name, salt).drop("_hot_key", "_hot")
 
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    spread = F.pmod(F.xxhash64(*rows.df.columns), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
     row_salt = F.when(is_hot, spread).otherwise(F.lit(0))
     copies = F.explode(F.sequence(F.lit(0), F.when(is_hot, salts - 1).otherwise(0)))
-    left = with_salt(rows.df, row_key, row_salt, "_row_salt")
-    right = with_salt(dim.df, dim_key, copies, "_dim_salt")
+    left = with_salt(rows, row_key, row_salt, "_row_salt")
+    right = with_salt(dim, dim_key, copies, "_dim_salt")
     on = (F.col(row_key) == F.col(dim_key)) & (F.col("_row_salt") == F.col("_dim_salt"))
     return left.join(right, on, "left").drop("_row_salt", "_dim_salt")

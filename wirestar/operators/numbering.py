@@ -89,8 +89,8 @@ def number_in_file(
     return Staged(numbered.drop("_position", "_shift"), staged.rows, staged.seen)
 
 
-def next_key(table: DataFrame, key: str) -> int:
-    """Highest key so far, 0 for an empty table: what numbering starts after."""
+def last_key(table: DataFrame, key: str) -> int:
+    """Highest key so far, 0 for an empty table."""
     return table.agg(F.max(key)).first()[0] or 0
 
 

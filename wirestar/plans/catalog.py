@@ -46,24 +46,27 @@ class _Loads:
         self.after = self.hours.df.where(F.col("time_hour") >= _at(SPLIT))
         self.directions = dimensions.new_directions(empty(spark, DIRECTION_DIM))
 
-    def addresses(self, hours: DataFrame, held: DataFrame | None = None) -> Staged:
-        held = empty(self.spark, IP_DIM) if held is None else held
-        new = dimensions.new_addresses(held, hours)
-        return dimensions.keyed_addresses(new, held, self.staging)
+    def addresses(self, hours: DataFrame, held: Staged | None = None) -> Staged:
+        held = held or Staged(empty(self.spark, IP_DIM), 0)
+        new = dimensions.new_addresses(held.df, hours)
+        return dimensions.keyed_addresses(new, held.rows, self.staging)
 
     def all_addresses(self) -> Staged:
         """The address dimension after both loads."""
-        first = self.staging.write(self.addresses(self.before).df, "ip-dim")
-        second = self.addresses(self.after, first.df)
+        first = self.addresses(self.before)
+        second = self.addresses(self.after, first)
         return Staged(first.df.unionByName(second.df), first.rows + second.rows)
 
     def users_before(self, scope: str = "per_user") -> Staged:
         held = empty(self.spark, USERS_DIM)
-        return dimensions.next_users(held, self.before, self.staging, scope)
+        return dimensions.next_users(held, self.before, 0, self.staging, scope)
 
-    def users_after(self, scope: str = "per_user") -> Staged:
-        held = self.users_before(scope)
-        return dimensions.next_users(held.df, self.after, self.staging, scope)
+    def users_after(self, first: Staged, scope: str = "per_user") -> Staged:
+        second = dimensions.next_users(first.df, self.after, first.rows, self.staging, scope)
+        return Staged(second.df, first.rows + second.rows)
+
+    def both_users(self, scope: str = "per_user") -> Staged:
+        return self.users_after(self.users_before(scope), scope)
 
     def facts_before(self, users: Staged, ips: Staged) -> DataFrame:
         return facts.fact_staging(
@@ -84,7 +87,7 @@ class _Loads:
     def new_facts(self, null_safe: bool = False) -> DataFrame:
         """The whole feed loaded after its first part: rows not held by the fact yet."""
         ips, first = self.all_addresses(), self.users_before()
-        second = dimensions.next_users(first.df, self.after, self.staging)
+        second = self.users_after(first)
         return facts.new_facts(
             self.facts_before(first, ips), self.facts(second, ips), null_safe
         )
@@ -178,8 +181,7 @@ def date_dim_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ip_dim_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = _Loads(spark, sf_dir)
-    held = loads.addresses(loads.before).df
-    return loads.addresses(loads.hours.df, held).df
+    return loads.addresses(loads.hours.df, loads.addresses(loads.before)).df
 
 
 def direction_dim_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,16 +199,16 @@ def scd2_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Loads(spark, sf_dir).users_after().df
+    return _Loads(spark, sf_dir).both_users().df
 
 
 def scd2_state_batch_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _Loads(spark, sf_dir).users_after("batch_latest").df
+    return _Loads(spark, sf_dir).both_users("batch_latest").df
 
 
 def fact_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = _Loads(spark, sf_dir)
-    return loads.facts(loads.users_after(), loads.all_addresses())
+    return loads.facts(loads.both_users(), loads.all_addresses())
 
 
 def fact_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,8 +222,8 @@ def fact_new_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = _Loads(spark, sf_dir)
     ips, first = loads.all_addresses(), loads.users_before()
-    held = loads.facts_before(first, ips).count()  # keyed 1 to n
-    second = dimensions.next_users(first.df, loads.after, loads.staging)
+    held = loads.before.count()  # one fact row per hourly row, keyed 1 to n
+    second = loads.users_after(first)
     new = facts.new_facts(loads.facts_before(first, ips), loads.facts(second, ips))
     return facts.key_facts(new, held, loads.staging).df
 
@@ -229,7 +231,7 @@ def fact_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five tables after both loads, built in memory of the staging folder."""
     loads = _Loads(spark, sf_dir)
-    users, ips = loads.users_after(), loads.all_addresses()
+    users, ips = loads.both_users(), loads.all_addresses()
     keyed = facts.key_facts(loads.facts(users, ips), 0, loads.staging)
     return {
         "ip_dim": ips.df,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wirestar.functions import columns as C
 from wirestar.operators import aggregates, checks, dimensions, facts
 from wirestar.operators.lookups import Sized
+from wirestar.operators.numbering import last_key
 from wirestar.operators.slices import day_slice
 from wirestar.schemas import PRIVATE_ADDRESS
 from wirestar.sources.staging import Staging
@@ -74,7 +75,8 @@ def _load_dates(warehouse: Warehouse, hours: DataFrame, first: dt.date, last: dt
 
 def _load_addresses(warehouse: Warehouse, hours: DataFrame, staging: Staging) -> int:
     held = warehouse.read("ip_dim")
-    new = dimensions.keyed_addresses(dimensions.new_addresses(held, hours), held, staging)
+    unkeyed = dimensions.new_addresses(held, hours)
+    new = dimensions.keyed_addresses(unkeyed, last_key(held, "ip_key"), staging)
     if new.rows:
         warehouse.append("ip_dim", new.df)
     return new.rows
@@ -84,11 +86,11 @@ def _load_users(
     warehouse: Warehouse, hours: DataFrame, staging: Staging, scope: str, private: str
 ) -> int:
     held = warehouse.read("users_dim")
-    state = dimensions.next_users(held, hours, staging, scope, private)
-    added = state.rows - held.count()
-    if added:  # every change adds a row, so without one the state is the same
+    start = last_key(held, "user_key")
+    state = dimensions.next_users(held, hours, start, staging, scope, private)
+    if state.rows:  # every change adds a row, so without one the state is the same
         warehouse.replace_users(state.df)
-    return added
+    return state.rows
 
 
 def _load_directions(warehouse: Warehouse) -> int:
@@ -118,8 +120,8 @@ def _load_facts(
     )
     held = warehouse.facts_between(_day_number(first), _day_number(last))
     new = facts.new_facts(held, rows, null_safe)
-    last_key = facts.last_fact_key(warehouse.read("packets_fact"))
-    keyed = facts.key_facts(new, last_key, staging)
+    start = last_key(warehouse.read("packets_fact"), "packets_key")
+    keyed = facts.key_facts(new, start, staging)
     if keyed.rows:
         warehouse.append("packets_fact", keyed.df)
     return keyed.rows

@@ -26,8 +26,8 @@ class PartitionedTable:
 
     def create(self) -> None:
         """Create the table unless it is there."""
-        empty = empty(self.spark, self.schema)
-        empty.write.mode("ignore").partitionBy(self.partition).parquet(self.path)
+        rows = empty(self.spark, self.schema)
+        rows.write.mode("ignore").partitionBy(self.partition).parquet(self.path)
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
