@@ -1,0 +1,71 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import HOUR_SCHEMA, USER_SCHEMA, at, rows
+from wirestar.operators import facts
+from wirestar.operators.lookups import Sized
+from wirestar.schemas import DIRECTION_DIM, IP_DIM
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    hours = spark.createDataFrame(
+        [
+            (at("2024-01-02 08:00"), "ann", "192.168.0.1", "1.1.1.1", 4.0),
+            (at("2024-01-02 08:00"), "ann", "8.8.8.8", "192.168.0.1", 9.0),
+            (at("2024-01-02 09:00"), "ann", "192.168.0.2", "192.168.0.1", 1.0),
+            (at("2024-01-02 09:00"), "who", "192.168.0.2", "1.1.1.1", 2.0),
+        ],
+        HOUR_SCHEMA,
+    )
+    users = spark.createDataFrame(
+        [
+            (1, "ann", "192.168.0.2", at("2024-01-01 08:00"), at("2024-01-02 08:00"), False),
+            (2, "ann", "192.168.0.1", at("2024-01-02 08:00"), None, True),
+        ],
+        USER_SCHEMA,
+    )
+    ips = spark.createDataFrame(
+        [(1, "1.1.1.1"), (2, "192.168.0.1"), (3, "192.168.0.2"), (4, "8.8.8.8")], IP_DIM
+    )
+    directions = spark.createDataFrame([(1, "inbound"), (2, "outbound")], DIRECTION_DIM)
+    return Sized(hours, 4), Sized(users, 2), Sized(ips, 4), directions
+
+
+STAGED = [
+    (2, 2, 1, 1, 2024010208, 1, 4.0),
+    (2, 3, 2, None, 2024010209, 2, 1.0),
+    (2, 4, 2, 4, 2024010208, 2, 9.0),
+    (None, 3, 1, 1, 2024010209, 2, 2.0),
+]
+
+
+@pytest.mark.parametrize("limit", [10**6, 0])
+def test_staging(star, limit):
+    assert rows(facts.fact_staging(*star, broadcast_bytes=limit)) == sorted(STAGED, key=repr)
+
+
+def test_missing_direction_gives_a_null_key(star):
+    hours, users, ips, directions = star
+    df = facts.fact_staging(hours, users, ips, directions.where("direction = 'outbound'"))
+    assert rows(df, "direction_key") == sorted([(None,), (2,), (2,), (2,)], key=repr)
+
+
+def test_rerun_adds_rows_without_user_again_unless_null_safe(star):
+    staged = facts.fact_staging(*star)
+    assert rows(facts.new_facts(staged, staged)) == [STAGED[3]]
+    assert rows(facts.new_facts(staged, staged, null_safe=True)) == []
+
+
+def test_first_write_wins(star):
+    staged = facts.fact_staging(*star)
+    more = staged.withColumn("kb_bandwidth", F.col("kb_bandwidth") + 100)
+    assert rows(facts.new_facts(staged, more), "user_key") == [(None,)]
+
+
+def test_keys_fall_with_bandwidth(star, staging):
+    keyed = facts.key_facts(facts.fact_staging(*star), 10, staging)
+    assert keyed.rows == 4
+    assert rows(keyed.df, "packets_key", "kb_bandwidth") == [
+        (11, 9.0), (12, 4.0), (13, 2.0), (14, 1.0),
+    ]

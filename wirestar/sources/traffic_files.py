@@ -10,13 +10,14 @@ from wirestar.functions import columns as C
 from wirestar.schemas import TRAFFIC_CSV
 
 # Columns go by position and the header line is skipped, whatever it says. A row that
-# does not fit the schema fails the job. Empty fields are null by default; the option
-# adds the text NULL.
+# does not fit the schema fails the job; with column pruning a row with too few or too
+# many fields would pass. Empty fields are null by default; the option adds the text NULL.
 CSV_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",
     "nullValue": "NULL",
     "mode": "FAILFAST",
+    "columnPruning": "false",
 }
 
 
