@@ -99,11 +99,19 @@ def minute_totals(packets: DataFrame) -> DataFrame:
     )
 
 
-def last_per_pair(packets: DataFrame, sequence: list[str]) -> DataFrame:
-    """Last value written per day and address pair, ``sequence`` giving the write order."""
+def minute_report(pairs: DataFrame, totals: DataFrame) -> DataFrame:
+    """Minute pairs with the KB of all traffic of their minute, as traffic files show it."""
+    return pairs.join(totals, "minute").select(
+        "minute", "source_ip", "destination_ip", "kb_bandwidth", "total_kb_bandwidth"
+    )
+
+
+def last_per_pair(packets: DataFrame, sequence: str) -> DataFrame:
+    """Last value written per day and address pair. ``sequence`` is the write order, a
+    number or time, so that the aggregate keeps fixed-width state and hashes, not sorts."""
     return packets.groupBy(
         F.to_date("time_stamp").alias("date"), "source_ip", "destination_ip"
-    ).agg(F.max_by("bandwidth_kb", F.struct(*sequence)).alias("kb_bandwidth"))
+    ).agg(F.max_by("bandwidth_kb", sequence).alias("kb_bandwidth"))
 
 
 def local_addresses(hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFrame:

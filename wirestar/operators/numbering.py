@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from wirestar.operators.lookups import Sized
 from wirestar.sources.staging import Staged, Staging
 
 # monotonically_increasing_id() = partition << 33 | row position in the partition
@@ -42,20 +43,8 @@ def number_rows(
     rows = staged.df.withColumn("_part", F.shiftright("_position", _POSITION_BITS))
 
     # One row per partition and group: at most partitions + groups rows.
-    runs = rows.groupBy("_part", *group_by).agg(
-        F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_size")
-    )
-    earlier = Window.partitionBy(*group_by).orderBy("_part").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = runs.select(
-        "_part",
-        *group_by,
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    if not group_by:
-        offsets = F.broadcast(offsets)  # one row per partition of the sort
-    joined = _join_on(rows, offsets, ["_part", *group_by])
+    offsets = _offsets(rows, list(group_by), "_part", staging)
+    joined = _join_offsets(rows, offsets, ["_part", *group_by])
     number = F.col("_position") + F.col("_shift") + F.lit(1 + start)
     numbered = joined.withColumn(name, number.cast(dtype or T.LongType()))
     return Staged(numbered.drop("_position", "_part", "_shift"), staged.rows)
@@ -70,35 +59,43 @@ def number_in_file(
     A file block is read by one task in order, so a row's place in its block is known
     from its position. Only the blocks' row counts are summed up over each file.
     """
-    block = ["file_path", "block_start"]
     positioned = df.withColumn("_position", F.monotonically_increasing_id())
     staged = staging.write(positioned, "file-rows", observe)
     # One row per file block (gz files are one block each).
-    blocks = staged.df.groupBy(*block).agg(
+    offsets = _offsets(staged.df, ["file_path"], "block_start", staging)
+    joined = _join_offsets(staged.df, offsets, ["file_path", "block_start"])
+    numbered = joined.withColumn(name, F.col("_position") + F.col("_shift") + F.lit(1))
+    return Staged(numbered.drop("_position", "_shift"), staged.rows, staged.seen)
+
+
+def _offsets(rows: DataFrame, groups: list[str], part: str, staging: Staging) -> Sized:
+    """``_shift`` per group and part: what turns a row's position into its place in the
+    group. Parts of a group follow each other in the order of ``part``."""
+    runs = rows.groupBy(part, *groups).agg(
         F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_size")
     )
-    earlier = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(
+    # Without groups this window sees one row per partition of the sort.
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = blocks.select(
-        *block,
-        (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    number = F.col("_position") + F.col("_shift") + F.lit(1)
-    numbered = staged.df.join(offsets, block).withColumn(name, number)
-    return Staged(numbered.drop("_position", "_shift"), staged.rows, staged.seen)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    shifts = runs.select(part, *groups, (before - F.col("_first")).alias("_shift"))
+    staged = staging.write(shifts, "offsets")
+    return Sized(staged.df, staged.rows)
+
+
+def _join_offsets(rows: DataFrame, offsets: Sized, keys: list[str]) -> DataFrame:
+    """Rows with their ``_shift``, by keys that may be NULL. The offsets of a plain sort
+    or of few groups are broadcast; with many, both sides are shuffled by group and part,
+    of which none is larger than a task's share."""
+    other = offsets.df.select(*(F.col(k).alias(f"_{k}_r") for k in keys), "_shift")
+    if offsets.fits_broadcast():
+        other = F.broadcast(other)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}_r")) for k in keys]
+    return rows.join(other, same).drop(*(f"_{k}_r" for k in keys))
 
 
 def last_key(table: DataFrame, key: str) -> int:
     """Highest key so far, 0 for an empty table."""
     return table.agg(F.max(key)).first()[0] or 0
 
-
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on keys that may be NULL."""
-    renamed = right.select(
-        *(F.col(k).alias(f"_{k}_r") for k in keys),
-        *(c for c in right.columns if c not in keys),
-    )
-    condition = [F.col(k).eqNullSafe(F.col(f"_{k}_r")) for k in keys]
-    return left.join(renamed, condition).drop(*(f"_{k}_r" for k in keys))

@@ -259,7 +259,9 @@ def minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minute_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture.minute_report(aggregates.minute_pairs(read_packets(spark, sf_dir)))
+    packets = read_packets(spark, sf_dir)
+    pairs, totals = aggregates.minute_pairs(packets), aggregates.minute_totals(packets)
+    return aggregates.minute_report(pairs, totals)
 
 
 def top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,7 +269,7 @@ def top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_per_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.last_per_pair(read_packets(spark, sf_dir), ["time_stamp", "event_id"])
+    return aggregates.last_per_pair(read_packets(spark, sf_dir), "event_id")
 
 
 # Lines as a capture tool prints them, in mixed units and with lines to skip.

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,17 +133,19 @@ class Warehouse:
         """Fact rows of the days ``yyyyMMdd``, by partition."""
         return self.read("packets_fact").where(F.col("date_day").between(first_day, last_day))
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        rules = STAR_SCHEMA[table]
+    def append(self, table: str, rows: DataFrame) -> int:
+        """Append rows and return their number."""
+        rules, seen = STAR_SCHEMA[table], Observation()
         rows = rows.select(*rules.schema.names)
-        writer = rows.write
         if rules.partition:
-            dated = rows.withColumn(rules.partition, C.day_of_key(F.col("date_key")))
+            rows = rows.withColumn(rules.partition, C.day_of_key(F.col("date_key")))
             # Few files per day; adaptive execution splits a day too big for one task.
-            writer = dated.hint("rebalance", F.col(rules.partition)).write.partitionBy(
-                rules.partition
-            )
-        writer.mode("append").parquet(self._path(table))
+            rows = rows.hint("rebalance", F.col(rules.partition))
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
+        if rules.partition:
+            writer = writer.partitionBy(rules.partition)
+        writer.parquet(self._path(table))
+        return seen.get["rows"]
 
     def replace_users(self, state: DataFrame) -> None:
         version = max(self._versions(), default=0) + 1

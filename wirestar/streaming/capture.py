@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from wirestar.functions import columns as C
-from wirestar.operators.aggregates import address_pairs, top_pairs
+from wirestar.operators.aggregates import address_pairs, minute_report, top_pairs
 from wirestar.schemas import TRAFFIC_CSV
 from wirestar.sources.traffic_files import CSV_OPTIONS
 
@@ -85,14 +85,6 @@ def minute_totals_stream(packets: DataFrame, lateness: str = "10 minutes") -> Da
     )
 
 
-def minute_report(pairs: DataFrame) -> DataFrame:
-    """Minute pairs with the total of their minute beside each, as daily files show it."""
-    totals = pairs.groupBy("minute").agg(F.sum("kb_bandwidth").alias("total_kb_bandwidth"))
-    return pairs.join(totals, "minute").select(
-        "minute", "source_ip", "destination_ip", "kb_bandwidth", "total_kb_bandwidth"
-    )
-
-
 def write_minute_files(
     packets: DataFrame,
     user_name: str,
@@ -106,9 +98,10 @@ def write_minute_files(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pairs = batch.persist()
+        totals = pairs.groupBy("minute").agg(F.sum("kb_bandwidth").alias("total_kb_bandwidth"))
         try:
             (
-                minute_report(pairs)
+                minute_report(pairs, totals)
                 .select(
                     F.lit(user_name).alias("user_name"),
                     C.minute_text(F.col("minute")).alias("time_stamp"),
