@@ -27,10 +27,10 @@ def test_broadcast_plain_and_salted_agree(data):
     base = Sized(facts, 900)
     want = rows(facts.join(dim, facts.k == dim.name, "left"))
     ways = {
-        "broadcast": left_lookup(facts, Sized(dim, 46), "k", "name", base),
-        "unknown": left_lookup(facts, Sized(dim), "k", "name", base),
+        "broadcast": left_lookup(facts, Sized(dim, 46), ["k"], ["name"], base),
+        "unknown": left_lookup(facts, Sized(dim), ["k"], ["name"], base),
         "salted": left_lookup(
-            facts, Sized(dim, 46), "k", "name", base, broadcast_bytes=0, hot_share=0.1, salts=5
+            facts, Sized(dim, 46), ["k"], ["name"], base, broadcast_bytes=0, hot_share=0.1, salts=5
         ),
     }
     for way, df in ways.items():
@@ -39,12 +39,12 @@ def test_broadcast_plain_and_salted_agree(data):
 
 def test_hot_keys_are_few_and_include_null(data):
     facts, _ = data
-    found = hot_keys(Sized(facts, 900), "k", 0.1)
-    assert rows(found, "_hot_key") == rows(facts.sparkSession.sql("SELECT 'hot' UNION ALL SELECT NULL"))
+    found = hot_keys(Sized(facts, 900), ["k"], 0.1)
+    assert rows(found, "_hot_0") == rows(facts.sparkSession.sql("SELECT 'hot' UNION ALL SELECT NULL"))
 
 
 def test_salted_plan_shuffles_by_salt(data):
     facts, dim = data
-    df = left_lookup(facts, Sized(dim, 46), "k", "name", Sized(facts, 900), broadcast_bytes=0)
+    df = left_lookup(facts, Sized(dim, 46), ["k"], ["name"], Sized(facts, 900), broadcast_bytes=0)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "_row_salt" in plan and "_dim_salt" in plan

@@ -45,11 +45,13 @@ def new_addresses(ips: DataFrame, hours: DataFrame) -> DataFrame:
     return address_candidates(hours).join(ips.select("ip_address"), "ip_address", "left_anti")
 
 
-def keyed_addresses(new: DataFrame, last_key: int, staging: Staging) -> Staged:
+def keyed_addresses(
+    new: DataFrame, last_key: int, staging: Staging, order_by: tuple[str, ...] = ("ip_address",)
+) -> Staged:
     """Key new addresses in address order, after the last key so far."""
     numbered = number_rows(
         new,
-        [F.col("ip_address")],
+        [F.col(c) for c in order_by],
         "ip_key",
         staging,
         start=last_key,
@@ -96,8 +98,11 @@ def user_changes(
 def back_dated(users: DataFrame, hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFrame:
     """Users whose batch ends before their current row starts. Loading such a batch would
     close the newer row with an earlier end, or key the old hours by the newer row."""
+    return older_than_current(users, latest_local_ip(hours, "per_user", pattern))
+
+
+def older_than_current(users: DataFrame, latest: DataFrame) -> DataFrame:
     current = users.where("current_flag").select("user_name", F.col("start_date").alias("_since"))
-    latest = latest_local_ip(hours, "per_user", pattern)
     return latest.join(current, "user_name").where(F.col("start_date") < F.col("_since"))
 
 

@@ -24,23 +24,29 @@ def fact_staging(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Fact rows of a batch. Users are looked up in their current row whatever the hour;
-    a user without one gets a NULL key, as does a packet without an external end."""
-    current = users.df.where("current_flag").select(
-        "user_key", F.col("user_name").alias("_name"), "local_ip"
-    )
+    a user without one gets a NULL key, as does a packet without an external end.
+
+    If ``users`` and ``hours`` have a ``day``, users are looked up by name and day
+    instead, in the rows that ``history.users_in_effect`` gives.
+    """
+    by_day = "day" in users.df.columns
+    held = users.df if by_day else users.df.where("current_flag")
+    day = [F.col("day").alias("_day")] if by_day else []
+    named = held.select("user_key", F.col("user_name").alias("_name"), "local_ip", *day)
     sources = ips.df.select(
         F.col("ip_key").alias("source_ip_key"), F.col("ip_address").alias("_source")
     )
     destinations = ips.df.select(
         F.col("ip_key").alias("destination_ip_key"), F.col("ip_address").alias("_destination")
     )
+    user_keys = (["user_name", "day"], ["_name", "_day"]) if by_day else (["user_name"], ["_name"])
     rows = hours.df
-    for dim, row_key, dim_key in (
-        (Sized(current, users.rows), "user_name", "_name"),
-        (Sized(sources, ips.rows), "source_ip", "_source"),
-        (Sized(destinations, ips.rows), "destination_ip", "_destination"),
+    for dim, row_keys, dim_keys in (
+        (Sized(named, users.rows), *user_keys),
+        (Sized(sources, ips.rows), ["source_ip"], ["_source"]),
+        (Sized(destinations, ips.rows), ["destination_ip"], ["_destination"]),
     ):
-        rows = left_lookup(rows, dim, row_key, dim_key, hours, broadcast_bytes)
+        rows = left_lookup(rows, dim, row_keys, dim_keys, hours, broadcast_bytes)
 
     # Two constants, read once each: no join with every row. NULL if the value is missing.
     def key_of(label: str):
@@ -81,9 +87,12 @@ def new_facts(facts: DataFrame, staged: DataFrame, null_safe: bool = False) -> D
     return staged.join(old, same, "left_anti")
 
 
-def key_facts(new: DataFrame, last_key: int, staging: Staging) -> Staged:
-    """Key new rows by falling bandwidth, after the last key so far."""
+def key_facts(new: DataFrame, last_key: int, staging: Staging, by_day: bool = False) -> Staged:
+    """Key new rows by falling bandwidth, after the last key so far. ``by_day`` keys the
+    days one after the other, as loading them singly would."""
     rest = [c for c in MEASURES if c != "kb_bandwidth"]
     order = [F.desc_nulls_last("kb_bandwidth"), *(F.asc_nulls_last(c) for c in rest)]
+    if by_day:
+        order.insert(0, C.day_of_key(F.col("date_key")))
     keyed = number_rows(new, order, "packets_key", staging, start=last_key)
     return Staged(keyed.df.select(*PACKETS_FACT.names), keyed.rows)

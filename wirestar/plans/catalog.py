@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirestar.functions import columns as C
-from wirestar.operators import aggregates, checks, dimensions, facts, packet_ids
+from wirestar.operators import aggregates, checks, dimensions, facts, history, packet_ids
 from wirestar.operators.lookups import Sized
 from wirestar.operators.slices import day_slice as slice_days
 from wirestar.plans import warehouse_load
@@ -68,6 +68,15 @@ class _Loads:
     def both_users(self, scope: str = "per_user") -> Staged:
         return self.users_after(self.users_before(scope), scope)
 
+    def history(self) -> tuple[Staged, Staged]:
+        """Both user states of loading all days one by one: after, and by day."""
+        none = empty(self.spark, USERS_DIM)
+        daily = history.daily_local_ips(self.hours.df)
+        changes = history.keyed_changes(history.daily_changes(none, daily), 0, self.staging)
+        after = history.users_after_history(none, changes.df)
+        by_day = history.users_in_effect(none, changes.df, self.hours.df)
+        return Staged(after, changes.rows), self.staging.write(by_day, "users-in-effect")
+
     def facts_before(self, users: Staged, ips: Staged) -> DataFrame:
         return facts.fact_staging(
             Sized(self.before, self.hours.rows),
@@ -211,6 +220,25 @@ def fact_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loads.facts(loads.both_users(), loads.all_addresses())
 
 
+def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user dimension after loading every day of the feed in order."""
+    return _Loads(spark, sf_dir).history()[0].df
+
+
+def fact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows of loading every day of the feed in order."""
+    loads = _Loads(spark, sf_dir)
+    by_day, none = loads.history()[1], empty(spark, IP_DIM)
+    unkeyed = history.new_addresses_by_day(none, loads.hours.df)
+    ips = dimensions.keyed_addresses(unkeyed, 0, loads.staging, ("day", "ip_address"))
+    return facts.fact_staging(
+        Sized(history.with_day(loads.hours.df), loads.hours.rows),
+        Sized(by_day.df, by_day.rows),
+        Sized(ips.df, ips.rows),
+        loads.directions,
+    )
+
+
 def fact_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _Loads(spark, sf_dir).new_facts()
 
@@ -410,7 +438,9 @@ QUERIES: dict[str, Query] = {
         scd2_changed,
         scd2_state,
         scd2_state_batch_latest,
+        scd2_history,
         fact_staging,
+        fact_history,
         fact_new,
         fact_new_null_safe,
         fact_keyed,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wirestar.functions import columns as C
-from wirestar.operators import aggregates, checks, dimensions, facts
+from wirestar.operators import aggregates, checks, dimensions, facts, history
 from wirestar.operators.lookups import Sized
 from wirestar.operators.numbering import last_key
 from wirestar.operators.slices import day_slice
@@ -48,19 +48,26 @@ def run_day(
         # Five loads read the hourly sums: computed once, and far smaller than the packets.
         hours = staging.write(aggregates.hourly(sliced), "hourly")
         if not allow_back_dated:
-            late = dimensions.back_dated(warehouse.read("users_dim"), hours.df, private)
-            if not late.isEmpty():
-                raise BackDatedBatch(f"{day}: older than the current row of some users")
-        return {
+            users = warehouse.read("users_dim")
+            _refuse_back_dated(dimensions.back_dated(users, hours.df, private), day)
+        added = {
             "date_dim": _load_dates(warehouse, hours.df, day, last_day or day),
             "ip_dim": _load_addresses(warehouse, hours.df, staging),
             "users_dim": _load_users(warehouse, hours.df, staging, scope, private),
             "direction_dim": _load_directions(warehouse),
-            "packets_fact": _load_facts(
-                warehouse, Sized(hours.df, hours.rows), staging, day, last_day or day,
-                null_safe, private,
-            ),
         }
+        users = warehouse.read("users_dim")
+        added["packets_fact"] = _load_facts(
+            warehouse,
+            Sized(hours.df, hours.rows),
+            Sized(users, users.where("current_flag").count()),
+            staging,
+            day,
+            last_day or day,
+            null_safe,
+            private,
+        )
+        return added
 
 
 def _load_dates(warehouse: Warehouse, hours: DataFrame, first: dt.date, last: dt.date) -> int:
@@ -100,29 +107,93 @@ def _load_directions(warehouse: Warehouse) -> int:
 def _load_facts(
     warehouse: Warehouse,
     hours: Sized,
+    users: Sized,
     staging: Staging,
     first: dt.date,
     last: dt.date,
     null_safe: bool,
     private: str,
+    by_day: bool = False,
 ) -> int:
-    users, ips = warehouse.read("users_dim"), warehouse.read("ip_dim")
-    rows = facts.fact_staging(
-        hours,
-        Sized(users, users.where("current_flag").count()),
-        Sized(ips, ips.count()),
-        warehouse.read("direction_dim"),
-        private,
-    )
+    ips = warehouse.read("ip_dim")
+    directions = warehouse.read("direction_dim")
+    rows = facts.fact_staging(hours, users, Sized(ips, ips.count()), directions, private)
     held = warehouse.facts_between(_day_number(first), _day_number(last))
     new = facts.new_facts(held, rows, null_safe)
     start = last_key(warehouse.read("packets_fact"), "packets_key")
-    keyed = facts.key_facts(new, start, staging)
+    keyed = facts.key_facts(new, start, staging, by_day)
     if keyed.rows:
         warehouse.append("packets_fact", keyed.df)
     return keyed.rows
 
 
+def run_history(
+    spark: SparkSession,
+    packets: DataFrame,
+    warehouse: Warehouse,
+    first: dt.date,
+    last: dt.date,
+    *,
+    half_open: bool = False,
+    scope: str = "per_user",
+    null_safe: bool = False,
+    allow_back_dated: bool = False,
+    private: str = PRIVATE_ADDRESS,
+) -> dict[str, int]:
+    """Load the days ``first`` to ``last`` with the result of ``run_day`` for each in
+    order, keys included, in as many Spark jobs as one day takes. Days that hold no rows
+    are skipped. Arguments are those of ``run_day``."""
+    warehouse.create()
+    with Staging(spark) as staging:
+        sliced = day_slice(packets, first, last, half_open)
+        hours = staging.write(aggregates.hourly(sliced), "hourly")
+        held_users, held_ips = warehouse.read("users_dim"), warehouse.read("ip_dim")
+        daily = staging.write(history.daily_local_ips(hours.df, scope, private), "daily-ips").df
+        if not allow_back_dated:
+            everyone = daily
+            if scope != "per_user":
+                everyone = history.daily_local_ips(hours.df, "per_user", private)
+            _refuse_back_dated(dimensions.older_than_current(held_users, everyone), first)
+
+        added = {"date_dim": _load_dates(warehouse, hours.df, first, last)}
+
+        unkeyed = history.new_addresses_by_day(held_ips, hours.df)
+        order = ("day", "ip_address")
+        ips = dimensions.keyed_addresses(unkeyed, last_key(held_ips, "ip_key"), staging, order)
+        if ips.rows:
+            warehouse.append("ip_dim", ips.df)
+        added["ip_dim"] = ips.rows
+
+        changes = history.keyed_changes(
+            history.daily_changes(held_users, daily), last_key(held_users, "user_key"), staging
+        )
+        # Staged before the users change: it joins the rows that were current till now.
+        in_effect = staging.write(
+            history.users_in_effect(held_users, changes.df, hours.df), "users-in-effect"
+        )
+        if changes.rows:
+            warehouse.replace_users(history.users_after_history(held_users, changes.df))
+        added["users_dim"] = changes.rows
+        added["direction_dim"] = _load_directions(warehouse)
+        added["packets_fact"] = _load_facts(
+            warehouse,
+            Sized(history.with_day(hours.df), hours.rows),
+            Sized(in_effect.df, in_effect.rows),
+            staging,
+            first,
+            last,
+            null_safe,
+            private,
+            by_day=True,
+        )
+        return added
+
+
+def _refuse_back_dated(late: DataFrame, day: dt.date) -> None:
+    if not late.isEmpty():
+        raise BackDatedBatch(f"{day}: older than the current row of some users")
+
+
 def _day_number(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 

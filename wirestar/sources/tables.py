@@ -129,6 +129,11 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t).select(*STAR_SCHEMA[t].schema.names) for t in STAR_SCHEMA}
 
+    def create_views(self) -> None:
+        """Temporary views of the tables as they are now, for ``spark.sql``."""
+        for table, df in self.tables().items():
+            df.createOrReplaceTempView(table)
+
     def facts_between(self, first_day: int, last_day: int) -> DataFrame:
         """Fact rows of the days ``yyyyMMdd``, by partition."""
         return self.read("packets_fact").where(F.col("date_day").between(first_day, last_day))
