@@ -21,6 +21,10 @@ def users(spark, *records):
     return spark.createDataFrame(data, USER_SCHEMA)
 
 
+def latest(batch, scope="per_user"):
+    return aggregates.in_scope(aggregates.latest_local_ip(batch), scope)
+
+
 HELD = [
     (1, "ann", "192.168.0.1", "2024-01-01 20:00", None, True),
     (2, "bo", "192.168.0.2", "2023-12-01 20:00", "2024-01-01 21:00", False),
@@ -36,7 +40,7 @@ def test_scd2_new_changed_and_same(spark, staging):
         ("2024-01-02 10:00", "cy", "192.168.0.5", "1.1.1.1"),  # new
         ("2024-01-02 11:00", "di", "8.8.8.8", "192.168.0.6"),  # no private source
     )
-    state = dimensions.next_users(users(spark, *HELD), batch, 3, staging)
+    state = dimensions.next_users(users(spark, *HELD), latest(batch), 3, staging)
     assert state.rows == 2
     want = [
         *HELD[:2],
@@ -45,7 +49,7 @@ def test_scd2_new_changed_and_same(spark, staging):
         (5, "cy", "192.168.0.5", "2024-01-02 10:00", None, True),
     ]
     assert rows(state.df) == rows(users(spark, *want))
-    again = dimensions.next_users(state.df, batch, 5, staging)
+    again = dimensions.next_users(state.df, latest(batch), 5, staging)
     assert again.rows == 0
     assert rows(again.df) == rows(state.df)
 
@@ -56,7 +60,7 @@ def test_scd2_start_is_the_last_hour_seen(spark):
         ("2024-01-02 08:00", "ann", "192.168.0.9", "1.1.1.1"),
         ("2024-01-02 17:00", "ann", "192.168.0.9", "1.1.1.1"),
     )
-    changes = dimensions.user_changes(users(spark, *HELD), batch)
+    changes = dimensions.user_changes(users(spark, *HELD), latest(batch))
     assert rows(changes) == [("ann", "192.168.0.9", at("2024-01-02 17:00"), 1)]
 
 
@@ -73,11 +77,11 @@ def test_ties_go_to_the_smallest_address(spark):
         ("ann", "192.168.0.9", at("2024-01-02 17:00")),
         ("bo", "192.168.0.5", at("2024-01-02 17:00")),
     ]
-    assert rows(aggregates.latest_local_ip(batch, "batch_latest")) == [
+    assert rows(latest(batch, "batch_latest")) == [
         ("ann", "192.168.0.9", at("2024-01-02 17:00"))
     ]
     with pytest.raises(ValueError):
-        aggregates.latest_local_ip(batch, "all")
+        latest(batch, "all")
 
 
 def test_batch_latest_versions_one_user_only(spark, staging):
@@ -86,7 +90,9 @@ def test_batch_latest_versions_one_user_only(spark, staging):
         ("2024-01-02 08:00", "ann", "192.168.0.8", "1.1.1.1"),
         ("2024-01-02 09:00", "bo", "192.168.0.4", "1.1.1.1"),
     )
-    state = dimensions.next_users(users(spark, *HELD), batch, 3, staging, "batch_latest")
+    state = dimensions.next_users(
+        users(spark, *HELD), latest(batch, "batch_latest"), 3, staging
+    )
     current = state.df.where("current_flag")
     assert rows(current, "user_name", "local_ip") == [("ann", "192.168.0.1"), ("bo", "192.168.0.4")]
 
@@ -95,8 +101,8 @@ def test_back_dated_batch_is_seen(spark):
     late = hours(spark, ("2023-12-30 08:00", "ann", "192.168.0.8", "1.1.1.1"))
     same = hours(spark, ("2024-01-01 20:00", "ann", "192.168.0.8", "1.1.1.1"))
     held = users(spark, *HELD)
-    assert rows(dimensions.back_dated(held, late), "user_name") == [("ann",)]
-    assert dimensions.back_dated(held, same).isEmpty()
+    assert rows(dimensions.back_dated(held, latest(late)), "user_name") == [("ann",)]
+    assert dimensions.back_dated(held, latest(same)).isEmpty()
 
 
 def test_scd2_versions_never_overlap(spark, staging):
@@ -107,7 +113,7 @@ def test_scd2_versions_never_overlap(spark, staging):
             (f"2024-01-0{day + 1} 08:00", "ann", f"192.168.0.{address}", "1.1.1.1"),
             (f"2024-01-0{day + 1} 09:00", "bo", f"192.168.1.{int(address) % 2}", "1.1.1.1"),
         )
-        step = dimensions.next_users(state, batch, last, staging)
+        step = dimensions.next_users(state, latest(batch), last, staging)
         state, last = staging.write(step.df, "state").df, last + step.rows
     assert rows(state, "user_key") == sorted(((k,) for k in range(1, last + 1)), key=repr)
     for user in ("ann", "bo"):

@@ -123,26 +123,32 @@ def local_addresses(hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFra
     )
 
 
-def latest_local_ip(
-    hours: DataFrame, scope: str = "per_user", pattern: str = PRIVATE_ADDRESS
-) -> DataFrame:
-    """Each user's latest private address: ``user_name, local_ip, start_date``.
-
-    Among addresses last seen in the same hour the smallest wins. ``batch_latest`` keeps
-    the one latest row of the whole batch, by user name among equals, which suits the
-    capture of a single user.
-    """
-    seen = local_addresses(hours, pattern)
-    if scope == "batch_latest":
-        latest = seen.orderBy(F.desc("start_date"), "user_name", "local_ip").limit(1)
-        return latest.select("user_name", "local_ip", "start_date")
-    if scope != "per_user":
-        raise ValueError(f"scope must be per_user or batch_latest, not {scope}")
+def latest_local_ip(hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFrame:
+    """Each user's latest private address: ``user_name, local_ip, start_date``. Among
+    addresses last seen in the same hour the smallest wins."""
     # An aggregate rather than a window, as it combines before the shuffle. The negated
     # hour key sorts the latest hour first.
     latest_first = F.struct((-C.date_key(F.col("start_date"))).alias("k"), "local_ip", "start_date")
     return (
-        seen.groupBy("user_name")
+        local_addresses(hours, pattern)
+        .groupBy("user_name")
         .agg(F.min(latest_first).alias("latest"))
         .select("user_name", "latest.local_ip", "latest.start_date")
     )
+
+
+def latest_of_batch(addresses: DataFrame) -> DataFrame:
+    """The one latest row of a batch, by user name and address among equals."""
+    latest = addresses.orderBy(F.desc("start_date"), "user_name", "local_ip").limit(1)
+    return latest.select("user_name", "local_ip", "start_date")
+
+
+SCOPES = ("per_user", "batch_latest")
+
+
+def in_scope(latest: DataFrame, scope: str) -> DataFrame:
+    """The users a load may version: all of the batch, or its one latest (which suits
+    the capture of a single user)."""
+    if scope not in SCOPES:
+        raise ValueError(f"scope must be one of {SCOPES}, not {scope}")
+    return latest if scope == "per_user" else latest_of_batch(latest)

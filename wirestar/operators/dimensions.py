@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wirestar.functions import columns as C
-from wirestar.operators.aggregates import latest_local_ip
 from wirestar.operators.numbering import last_key as last_key_of
 from wirestar.operators.numbering import number_rows
-from wirestar.schemas import DATE_DIM, DIRECTIONS, IP_DIM, PRIVATE_ADDRESS, USERS_DIM
+from wirestar.schemas import DATE_DIM, DIRECTIONS, IP_DIM, USERS_DIM
 from wirestar.sources.staging import Staged, Staging
 
 
@@ -76,15 +75,9 @@ def new_directions(directions: DataFrame) -> DataFrame:
     return missing.select(key.cast("int").alias("direction_key"), "direction")
 
 
-def user_changes(
-    users: DataFrame,
-    hours: DataFrame,
-    scope: str = "per_user",
-    pattern: str = PRIVATE_ADDRESS,
-) -> DataFrame:
-    """Users of the batch who are new or whose address differs from their current row:
+def user_changes(users: DataFrame, latest: DataFrame) -> DataFrame:
+    """Users of ``latest`` who are new or whose address differs from their current row:
     ``user_name, local_ip, start_date, user_key`` with the current row's key, if any."""
-    latest = latest_local_ip(hours, scope, pattern)
     current = users.where("current_flag").select(
         "user_key", F.col("user_name").alias("_name"), F.col("local_ip").alias("_ip")
     )
@@ -95,13 +88,9 @@ def user_changes(
     )
 
 
-def back_dated(users: DataFrame, hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFrame:
-    """Users whose batch ends before their current row starts. Loading such a batch would
-    close the newer row with an earlier end, or key the old hours by the newer row."""
-    return older_than_current(users, latest_local_ip(hours, "per_user", pattern))
-
-
-def older_than_current(users: DataFrame, latest: DataFrame) -> DataFrame:
+def back_dated(users: DataFrame, latest: DataFrame) -> DataFrame:
+    """Users of ``latest`` whose batch ends before their current row starts. Loading such
+    a batch would close the newer row with an earlier end, or key the old hours by it."""
     current = users.where("current_flag").select("user_name", F.col("start_date").alias("_since"))
     return latest.join(current, "user_name").where(F.col("start_date") < F.col("_since"))
 
@@ -123,14 +112,9 @@ def close_changed(users: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def next_users(
-    users: DataFrame,
-    hours: DataFrame,
-    last_key: int,
-    staging: Staging,
-    scope: str = "per_user",
-    pattern: str = PRIVATE_ADDRESS,
+    users: DataFrame, latest: DataFrame, last_key: int, staging: Staging
 ) -> Staged:
-    """State of ``users_dim`` after a batch: changed rows closed, their successors and
+    """State of ``users_dim`` after a batch with the ``latest`` addresses: changed rows closed, their successors and
     new users added (slowly changing dimension, type 2). Unchanged users keep their row.
     ``rows`` counts the added rows only.
 
@@ -138,7 +122,7 @@ def next_users(
     shows the new address in. New rows are keyed in user-name order after the last key.
     """
     changes = number_rows(
-        user_changes(users, hours, scope, pattern),
+        user_changes(users, latest),
         [F.col("user_name")],
         "new_key",
         staging,

@@ -39,14 +39,19 @@ def number_rows(
     ordered = df.orderBy(*group_by, *order_by).withColumn(
         "_position", F.monotonically_increasing_id()
     )
-    staged = staging.write(ordered, f"sorted-{name}")
-    rows = staged.df.withColumn("_part", F.shiftright("_position", _POSITION_BITS))
-
-    # One row per partition and group: at most partitions + groups rows.
-    offsets = _offsets(rows, list(group_by), "_part", staging)
-    joined = _join_offsets(rows, offsets, ["_part", *group_by])
-    number = F.col("_position") + F.col("_shift") + F.lit(1 + start)
-    numbered = joined.withColumn(name, number.cast(dtype or T.LongType()))
+    part = F.shiftright("_position", _POSITION_BITS)
+    staged = staging.write(ordered, f"sorted-{name}", {"last_part": F.max(part)})
+    rows = staged.df
+    if not group_by and not staged.seen["last_part"]:
+        shift = F.lit(0)  # one partition: a row's position is its place
+    else:
+        rows = rows.withColumn("_part", part)
+        # One row per partition and group: at most partitions + groups rows.
+        offsets = _offsets(rows, list(group_by), "_part", staging)
+        rows = _join_offsets(rows, offsets, ["_part", *group_by])
+        shift = F.col("_shift")
+    number = F.col("_position") + shift + F.lit(1 + start)
+    numbered = rows.withColumn(name, number.cast(dtype or T.LongType()))
     return Staged(numbered.drop("_position", "_part", "_shift"), staged.rows)
 
 

@@ -57,12 +57,16 @@ class _Loads:
         second = self.addresses(self.after, first)
         return Staged(first.df.unionByName(second.df), first.rows + second.rows)
 
+    def latest(self, hours: DataFrame, scope: str) -> DataFrame:
+        return aggregates.in_scope(aggregates.latest_local_ip(hours), scope)
+
     def users_before(self, scope: str = "per_user") -> Staged:
         held = empty(self.spark, USERS_DIM)
-        return dimensions.next_users(held, self.before, 0, self.staging, scope)
+        return dimensions.next_users(held, self.latest(self.before, scope), 0, self.staging)
 
     def users_after(self, first: Staged, scope: str = "per_user") -> Staged:
-        second = dimensions.next_users(first.df, self.after, first.rows, self.staging, scope)
+        latest = self.latest(self.after, scope)
+        second = dimensions.next_users(first.df, latest, first.rows, self.staging)
         return Staged(second.df, first.rows + second.rows)
 
     def both_users(self, scope: str = "per_user") -> Staged:
@@ -178,7 +182,7 @@ def latest_local_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_local_ip_of_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.latest_local_ip(_packet_hours(spark, sf_dir), "batch_latest")
+    return aggregates.latest_of_batch(aggregates.local_addresses(_packet_hours(spark, sf_dir)))
 
 
 def date_dim_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,7 +208,8 @@ def direction_dim_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     loads = _Loads(spark, sf_dir)
-    return dimensions.user_changes(loads.users_before().df, loads.after)
+    latest = aggregates.latest_local_ip(loads.after)
+    return dimensions.user_changes(loads.users_before().df, latest)
 
 
 def scd2_state(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from wirestar.operators import aggregates, checks, dimensions, facts, history
 from wirestar.operators.lookups import Sized
 from wirestar.operators.numbering import last_key
 from wirestar.operators.slices import day_slice
-from wirestar.schemas import PRIVATE_ADDRESS
+from wirestar.schemas import DIRECTIONS, PRIVATE_ADDRESS
 from wirestar.sources.staging import Staging
 from wirestar.sources.tables import Warehouse
 
@@ -37,8 +37,8 @@ def run_day(
     """Load one day of packets, or ``day`` to ``last_day`` as one batch, and return the
     rows added per table.
 
-    ``scope``, ``null_safe`` and ``half_open`` are those of ``latest_local_ip``,
-    ``new_facts`` and ``day_slice``. A batch older than a user's current row is refused
+    ``scope``, ``null_safe`` and ``half_open`` are those of ``aggregates.in_scope``,
+    ``facts.new_facts`` and ``day_slice``. A batch older than a user's current row is refused
     unless ``allow_back_dated``. The loads only add what is missing, so a run that
     failed half way is completed by running it again.
     """
@@ -47,13 +47,13 @@ def run_day(
         sliced = day_slice(packets, day, last_day, half_open)
         # Five loads read the hourly sums: computed once, and far smaller than the packets.
         hours = staging.write(aggregates.hourly(sliced), "hourly")
+        latest = staging.write(aggregates.latest_local_ip(hours.df, private), "latest-ips").df
         if not allow_back_dated:
-            users = warehouse.read("users_dim")
-            _refuse_back_dated(dimensions.back_dated(users, hours.df, private), day)
+            _refuse_back_dated(dimensions.back_dated(warehouse.read("users_dim"), latest), day)
         added = {
             "date_dim": _load_dates(warehouse, hours.df, day, last_day or day),
             "ip_dim": _load_addresses(warehouse, hours.df, staging),
-            "users_dim": _load_users(warehouse, hours.df, staging, scope, private),
+            "users_dim": _load_users(warehouse, aggregates.in_scope(latest, scope), staging),
             "direction_dim": _load_directions(warehouse),
         }
         users = warehouse.read("users_dim")
@@ -85,22 +85,20 @@ def _load_addresses(warehouse: Warehouse, hours: DataFrame, staging: Staging) ->
     return new.rows
 
 
-def _load_users(
-    warehouse: Warehouse, hours: DataFrame, staging: Staging, scope: str, private: str
-) -> int:
+def _load_users(warehouse: Warehouse, latest: DataFrame, staging: Staging) -> int:
     held = warehouse.read("users_dim")
-    start = last_key(held, "user_key")
-    state = dimensions.next_users(held, hours, start, staging, scope, private)
+    state = dimensions.next_users(held, latest, last_key(held, "user_key"), staging)
     if state.rows:  # every change adds a row, so without one the state is the same
         warehouse.replace_users(state.df)
     return state.rows
 
 
 def _load_directions(warehouse: Warehouse) -> int:
-    new = dimensions.new_directions(warehouse.read("direction_dim")).collect()  # at most two
-    if new:
-        schema = warehouse.read("direction_dim").schema
-        warehouse.append("direction_dim", warehouse.spark.createDataFrame(new, schema).coalesce(1))
+    held = warehouse.read("direction_dim")
+    if held.count() == len(DIRECTIONS):
+        return 0
+    new = dimensions.new_directions(held).collect()  # at most two
+    warehouse.append("direction_dim", warehouse.spark.createDataFrame(new, held.schema).coalesce(1))
     return len(new)
 
 
@@ -153,7 +151,7 @@ def run_history(
             everyone = daily
             if scope != "per_user":
                 everyone = history.daily_local_ips(hours.df, "per_user", private)
-            _refuse_back_dated(dimensions.older_than_current(held_users, everyone), first)
+            _refuse_back_dated(dimensions.back_dated(held_users, everyone), first)
 
         added = {"date_dim": _load_dates(warehouse, hours.df, first, last)}
 

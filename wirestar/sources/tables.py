@@ -101,16 +101,22 @@ class Warehouse:
             return f"{self.location}/{table}/version={max(self._versions())}"
         return f"{self.location}/{table}"
 
-    def _versions(self) -> list[int]:
+    def _finished(self, folder: str) -> list[str]:
+        """Folders of the pattern that a finished write has marked."""
         jvm = self.spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{self.VERSIONED}/*/_SUCCESS")
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{folder}/_SUCCESS")
         fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = fs.globStatus(pattern) or []
-        return [int(s.getPath().getParent().getName().split("=")[1]) for s in found]
+        return [s.getPath().getParent().getName() for s in fs.globStatus(pattern) or []]
+
+    def _versions(self) -> list[int]:
+        return [int(name.split("=")[1]) for name in self._finished(f"{self.VERSIONED}/*")]
 
     def create(self) -> None:
         """Create the tables that are not there."""
+        there = self._finished("*")
         for table, rules in STAR_SCHEMA.items():
+            if table in there:
+                continue
             if table == self.VERSIONED:
                 if not self._versions():
                     self.replace_users(empty(self.spark, rules.schema))
