@@ -20,7 +20,7 @@ from wirestar.operators.slices import day_slice as slice_days
 from wirestar.plans import warehouse_load
 from wirestar.schemas import DATE_DIM, DIRECTION_DIM, IP_DIM, PACKETS_FACT, USERS_DIM, empty
 from wirestar.sources import reports
-from wirestar.sources.event_feed import packets_from_events, read_packets
+from wirestar.sources.event_feed import EVENTS, packets_from_events, read_events, read_packets
 from wirestar.sources.staging import Staged, Staging
 from wirestar.sources.tables import Warehouse
 from wirestar.streaming import capture
@@ -327,8 +327,7 @@ def conv_report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def protocol_report_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture per day; its total is its first Ethernet line."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    lines = events.selectExpr(
+    lines = read_events(spark, sf_dir).selectExpr(
         "to_date(ts) AS capture", "event_id AS line_no", f"{PROTOCOL_LINE} AS line"
     )
     return reports.capture_totals(lines)
@@ -401,8 +400,7 @@ def run_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    stream = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
     return packets_from_events(stream.parquet(sf_dir))
 
 

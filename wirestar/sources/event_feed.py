@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wirestar.schemas import PRIVATE_ADDRESS  # noqa: F401  (pattern the addresses below follow)
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double,"
+    " props string"
+)
 
 # Each expression is both Spark SQL and DuckDB SQL, so that the oracle reads the same
 # packets. Users grow with the table. A user's own address changes from day to day. The
@@ -37,5 +40,10 @@ def packets_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(*(f"{e} AS {c}" for c, e in PACKET_COLUMNS.items()))
 
 
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared, not inferred: inferring a schema is a job of its own."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+
+
 def read_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packets_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return packets_from_events(read_events(spark, sf_dir))

@@ -7,6 +7,7 @@ It is columnar, so a second reader that needs one column reads one column.
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -44,11 +45,10 @@ class Staging:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{checkpoint_dir(spark)}/wirestar-{uuid.uuid4().hex}"
-        self._count = 0
+        self._numbers = itertools.count(1)
 
     def path(self, label: str) -> str:
-        self._count += 1
-        return f"{self.folder}/{self._count:03d}-{label}"
+        return f"{self.folder}/{next(self._numbers):03d}-{label}"
 
     def write(
         self, df: DataFrame, label: str, observe: Mapping[str, Column] | None = None
