@@ -1,0 +1,38 @@
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from wirestar.sources.staging import Staging, checkpoint_dir
+
+
+def session(configured=None, current=None, master="spark://host:7077"):
+    chosen = []
+    context = SimpleNamespace(
+        master=master,
+        getCheckpointDir=lambda: chosen[-1] if chosen else current,
+        setCheckpointDir=chosen.append,
+    )
+    conf = SimpleNamespace(get=lambda key, default: configured or default)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_the_clusters_folder_comes_first():
+    assert checkpoint_dir(session("hdfs:///shared", "hdfs:///other")) == "hdfs:///shared"
+    assert checkpoint_dir(session(None, "hdfs:///other")) == "hdfs:///other"
+
+
+def test_only_a_local_session_may_go_without():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session())
+    assert "wirestar-" in checkpoint_dir(session(master="local[4]"))
+
+
+def test_staged_rows_are_counted_and_dropped(spark):
+    with Staging(spark) as staging:
+        staged = staging.write(spark.range(7), "x", {"most": F.max("id")})
+        assert (staged.rows, staged.seen) == (7, {"most": 6})
+        assert staged.df.count() == 7
+        path = staged.df.inputFiles()[0]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()

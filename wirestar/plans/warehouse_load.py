@@ -137,7 +137,7 @@ def _load_facts(
     start = last_key(warehouse.read("packets_fact"), "packets_key")
     keyed = facts.key_facts(new, start, staging, by_day)
     if keyed.rows:
-        warehouse.append("packets_fact", keyed.df)
+        warehouse.append("packets_fact", keyed.df, several_days=first != last)
     return keyed.rows
 
 

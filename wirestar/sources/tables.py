@@ -144,14 +144,16 @@ class Warehouse:
         """Fact rows of the days ``yyyyMMdd``, by partition."""
         return self.read("packets_fact").where(F.col("date_day").between(first_day, last_day))
 
-    def append(self, table: str, rows: DataFrame) -> int:
-        """Append rows and return their number."""
+    def append(self, table: str, rows: DataFrame, several_days: bool = False) -> int:
+        """Append rows and return their number. Facts of ``several_days`` are rebalanced
+        into few files per day, a day too big for one task being split; those of one day
+        are written as they come, without a shuffle."""
         rules, seen = STAR_SCHEMA[table], Observation()
         rows = rows.select(*rules.schema.names)
         if rules.partition:
             rows = rows.withColumn(rules.partition, C.day_of_key(F.col("date_key")))
-            # Few files per day; adaptive execution splits a day too big for one task.
-            rows = rows.hint("rebalance", F.col(rules.partition))
+            if several_days:
+                rows = rows.hint("rebalance", F.col(rules.partition))
         writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
         if rules.partition:
             writer = writer.partitionBy(rules.partition)
