@@ -170,3 +170,12 @@ def test_history_equals_day_after_day(spark, packets, tmp_path, scope):
     assert rows(violations(at_once)) == []
     with pytest.raises(BackDatedBatch):
         run_history(spark, packets, at_once, days[0], days[1], scope=scope)
+
+
+def test_days_without_packets_add_nothing(spark, packets, warehouse):
+    empty_day = dt.date(2024, 6, 2)
+    added = run_day(spark, packets, warehouse, empty_day)
+    assert added.pop("direction_dim") == 2
+    assert set(added.values()) == {0}
+    added = run_history(spark, packets, warehouse, empty_day, empty_day + dt.timedelta(days=2))
+    assert set(added.values()) == {0}
