@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirestar.llm import exact_dedup, syncmers
+from wirestar.llm import exact_dedup, secrets, syncmers
 from wirestar.llm.common import documents
 from wirestar.sources.staging import Staging
 
@@ -20,9 +20,14 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_with_next(documents(spark, sf_dir), Staging(spark))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_fingerprints": op3_fingerprints,
+    "op6_secrets": op6_secrets,
 }
 
 ORACLE: dict[str, str] = {
