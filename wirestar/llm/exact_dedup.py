@@ -27,6 +27,8 @@ BUCKET_CAPACITY = 65_536
 #: The directory has at most 2 ** MAX_DEPTH slots (1.5 MB), so it can always be broadcast.
 #: Buckets of that depth have no upper bound: their pages just chain.
 MAX_DEPTH = 16
+#: Tasks over which the copies of one text are spread until equal texts have been combined.
+SALTS = 32
 
 
 def normalised(text: str | Column = "text") -> Column:
@@ -109,13 +111,19 @@ def build_index(
     return Index(keys, staging.write(owned, "buckets").df, directory, depth)
 
 
-def compare_bytes(docs: DataFrame, index: Index) -> DataFrame:
+def compare_bytes(docs: DataFrame, index: Index, staging: Staging) -> DataFrame:
     """Texts of all keys that more than one document has, told apart by their bytes:
-    (key, sha, copies, chain), where ``chain`` is the number of texts under that key."""
+    (key, sha, copies, chain), where ``chain`` is the number of texts under that key.
+
+    The contested keys are written first, so that Spark knows their size: few are broadcast
+    and only contested texts are shuffled; many are joined by salted shuffles."""
     contested = index.entries.groupBy("key").agg(F.sum("rows").alias("n")).where("n > 1")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     text = normalised()
     suspects = docs.select(text.alias("norm"), F.xxhash64(text).alias("key"))
-    suspects = suspects.join(contested.select("key"), "key", "left_semi")
+    suspects = suspects.withColumn("salt", (F.rand(0) * SALTS).cast("int"))
+    contested = staging.write(contested.select("key", salts), "contested").df
+    suspects = suspects.join(contested, ["key", "salt"], "left_semi")
     texts = suspects.groupBy("key", "norm").agg(F.count(F.lit(1)).alias("copies"))
     texts = texts.select("key", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "copies")
     chained = texts.groupBy("key").agg(F.collect_list(F.struct("sha", "copies")).alias("texts"))
@@ -128,7 +136,7 @@ def find_duplicates(
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, and
     ``chain_length``, the number of different texts under the document's key."""
     index = build_index(docs, staging, capacity, max_depth)
-    proven = staging.write(compare_bytes(docs, index), "compared").df
+    proven = staging.write(compare_bytes(docs, index, staging), "compared").df
     groups = index.entries.join(proven, ["key", "sha"]).select(
         "key", "sha", "first", "copies", "chain"
     )
