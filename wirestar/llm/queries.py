@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirestar.llm import exact_dedup, secrets, syncmers
+from wirestar.llm import exact_dedup, secrets, syncmers, token_files
 from wirestar.llm.common import documents
 from wirestar.sources.staging import Staging
 
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(documents(spark, sf_dir), Staging(spark))
 
@@ -24,10 +28,20 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark)))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staging = Staging(spark)
+    path = staging.path("tokens")
+    token_files.write_tokens(documents(spark, sf_dir), path, BYTE_BPE, staging)
+    read = token_files.read_tokens(spark, path)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return read.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op6_secrets": op6_secrets,
+    "op8_token_files": op8_token_files,
 }
 
 ORACLE: dict[str, str] = {
