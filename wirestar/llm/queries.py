@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirestar.llm import exact_dedup, secrets, syncmers, token_files
+from wirestar.llm import exact_dedup, packing, secrets, syncmers, token_files
 from wirestar.llm.common import documents
 from wirestar.sources.staging import Staging
 
@@ -37,11 +37,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), BYTE_BPE, Staging(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op6_secrets": op6_secrets,
     "op8_token_files": op8_token_files,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {
