@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirestar.llm import exact_dedup, packing, secrets, syncmers, token_files
+from wirestar.llm import exact_dedup, minhash, packing, secrets, syncmers, token_files
 from wirestar.llm.common import documents
 from wirestar.sources.staging import Staging
 
@@ -37,6 +37,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), Staging(spark))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE, Staging(spark))
 
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op6_secrets": op6_secrets,
     "op8_token_files": op8_token_files,
+    "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
 }
 
