@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirestar.llm import exact_dedup, minhash, packing, secrets, syncmers, token_files
+from wirestar.llm import (
+    exact_dedup,
+    language_id,
+    minhash,
+    packing,
+    secrets,
+    syncmers,
+    token_files,
+    toxicity,
+)
 from wirestar.llm.common import documents
 from wirestar.sources.staging import Staging
 
@@ -20,10 +29,19 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_duplicates(documents(spark, sf_dir), Staging(spark))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_documents(documents(spark, sf_dir), labels, Staging(spark))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_with_next(documents(spark, sf_dir), Staging(spark))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir), Staging(spark))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark)))
 
@@ -47,7 +65,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
+    "op4_language_id": op4_language_id,
     "op6_secrets": op6_secrets,
     "op8_token_files": op8_token_files,
     "op9_minhash": op9_minhash,
