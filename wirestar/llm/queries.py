@@ -17,11 +17,13 @@ from wirestar.llm import (
     syncmers,
     token_files,
     toxicity,
+    word_bpe,
 )
 from wirestar.llm.common import documents
 from wirestar.sources.staging import Staging
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -42,6 +44,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents(spark, sf_dir), Staging(spark))
 
 
+def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.digest_documents(documents(spark, sf_dir), WORD_BPE)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark)))
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_fingerprints": op3_fingerprints,
     "op4_language_id": op4_language_id,
+    "op5_word_bpe": op5_word_bpe,
     "op6_secrets": op6_secrets,
     "op8_token_files": op8_token_files,
     "op9_minhash": op9_minhash,
