@@ -82,7 +82,7 @@ class Shingler:
         known = self.known
         if len(known) > self.REMEMBERED:
             known.clear()
-        for word in set(parts) - known.keys():
+        for word in [w for w in set(parts) if w not in known]:
             digest = hashlib.blake2b(word, digest_size=8).digest()
             known[word] = int.from_bytes(digest, "little")
         words = np.fromiter(map(known.__getitem__, parts), dtype=np.uint64, count=len(parts))
@@ -94,19 +94,26 @@ class Shingler:
 
 
 class Signer:
-    """Minima of ``hashes`` universal hash functions a * x + b over 64 bits, upper half."""
+    """Minima of ``hashes`` universal hash functions a * x + b over 32 bits, of the shingles'
+    upper halves."""
 
-    def __init__(self, hashes: int = HASHES, seed: int = 7):
+    def __init__(self, hashes: int = HASHES, seed: int = 7, at_once: int = 256):
         random = np.random.default_rng(seed)
-        self.a = random.integers(0, 2**63, (hashes, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.b = random.integers(0, 2**63, (hashes, 1), dtype=np.uint64)
-
-    def sign(self, shingles: np.ndarray, at_once: int = 512) -> np.ndarray:
-        least = np.full(len(self.a), np.iinfo(np.uint64).max, dtype=np.uint64)
-        for i in range(0, len(shingles), at_once):
-            part = shingles[i : i + at_once]
-            np.minimum(least, (self.a * part + self.b).min(axis=1), out=least)
-        return (least >> np.uint64(32)).astype("<u4")
+        self.a = random.integers(0, 2**31, (hashes, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.b = random.integers(0, 2**32, (hashes, 1), dtype=np.uint32)
+        self.room = np.empty((hashes, at_once), dtype=np.uint32)
+
+    def sign(self, shingles: np.ndarray) -> np.ndarray:
+        upper = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.a), np.iinfo(np.uint32).max, dtype=np.uint32)
+        step = self.room.shape[1]
+        for i in range(0, len(upper), step):
+            part = upper[i : i + step]
+            hashed = self.room[:, : len(part)]
+            np.multiply(self.a, part, out=hashed)
+            np.add(hashed, self.b, out=hashed)
+            np.minimum(least, hashed.min(axis=1), out=least)
+        return least.astype("<u4")
 
 
 def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
