@@ -83,9 +83,9 @@ class ChunkEncoder:
         """The ids of each chunk after a space. What was not met since half of the memory
         filled up is forgotten."""
         known = {c: ids for c in chunks if (ids := self.recent.get(c)) is not None}
-        new = chunks - known.keys()
+        new = {c for c in chunks if c not in known}
         again = {c: ids for c in new if (ids := self.older.get(c)) is not None}
-        learned = self._learn_chunks(list(new - again.keys()))
+        learned = self._learn_chunks([c for c in new if c not in again])
         for found in (again, learned):
             known.update(found)
             self.recent.update(found)

@@ -113,9 +113,9 @@ class WordBpe:
 
     def _known(self, chunks: set[Chunk]) -> dict[Chunk, tuple[bytes, str]]:
         known = {c: found for c in chunks if (found := self.recent.get(c)) is not None}
-        new = chunks - known.keys()
+        new = [c for c in chunks if c not in known]
         again = {c: found for c in new if (found := self.older.get(c)) is not None}
-        learned = self._learn(list(new - again.keys()))
+        learned = self._learn([c for c in new if c not in again])
         for found in (again, learned):
             known.update(found)
             self.recent.update(found)
