@@ -69,3 +69,15 @@ def test_copied_value_is_an_example(result):
 def test_empty_table(spark, staging):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert m.digest(m.scan(empty, staging)).count() == 0
+
+
+def test_masking_live_secrets(spark, staging):
+    df = spark.createDataFrame([(*r, 0) for r in ROWS], "doc_id long, text string, source string, kind int")
+    rows = m.mask_live(df, staging)
+    assert rows.columns == df.columns
+    by_id = {r.doc_id: r.text for r in rows.collect() if r.doc_id != 9}
+    assert rows.count() == len(ROWS)
+    assert by_id[1] == f'token = "{HEX}" and [SECRET]' and by_id[4] is None and by_id[5] == ""  # an example stays
+    assert by_id[2] == f"Ü𝒯 TOKEN={HEX}; Password : hunter2 [SECRET]"
+    assert by_id[6] == "AKIAAAAAAAAAAAA [SECRET] x[SECRET]"
+    assert by_id[8] == "[SECRET] [SECRET]"

@@ -383,6 +383,15 @@ def near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCENT) -
     )
 
 
+def drop_near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` that stay, with all their columns: the smallest id of each component,
+    and all rows without an id."""
+    found = near_duplicates(docs, staging, percent)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"))
+    gone = staging.write(gone, "gone").df
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
 def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:
     """(key, doc_id) of all band buckets with at least two members."""
     @F.pandas_udf(ArrayType(LongType()))

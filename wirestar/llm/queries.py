@@ -17,6 +17,7 @@ from wirestar.llm import (
     syncmers,
     token_files,
     toxicity,
+    transcripts,
     word_bpe,
 )
 from wirestar.llm.common import documents
@@ -52,6 +53,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark)))
 
 
+def op7_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return transcripts.format_conversations(conversations, Staging(spark))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging = Staging(spark)
     path = staging.path("tokens")
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_word_bpe": op5_word_bpe,
     "op6_secrets": op6_secrets,
+    "op7_transcripts": op7_transcripts,
     "op8_token_files": op8_token_files,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,

@@ -17,7 +17,7 @@ counts. An empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import operator
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,6 +29,7 @@ from wirestar.sources.staging import Staging
 
 #: A value with so many owners or more is a widely copied example.
 EXAMPLE_OWNERS = 3
+MASK = "[SECRET]"
 
 
 @dataclass(frozen=True)
@@ -113,12 +114,16 @@ def spans_of(text: Column, kind: Kind, number: int) -> Column:
     return F.when(kind.hint(text), found).otherwise(F.array().cast(_SPAN))
 
 
-def candidates(docs: DataFrame, repository: Column, owner: Column) -> DataFrame:
-    """One row per row of ``docs``: row, doc_id, repository, owner and all found spans."""
+def candidates(
+    docs: DataFrame, repository: Column, owner: Column, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per row of ``docs``: row, doc_id, the columns to ``keep``, repository, owner and
+    all found spans."""
     text = text_or_empty()
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
+        *keep,
         repository.cast("string").alias("repository"),
         owner.cast("string").alias("owner"),
         text.alias("text"),
@@ -148,13 +153,14 @@ def scan(
     repository: Column | None = None,
     owner: Column | None = None,
     example_owners: int = EXAMPLE_OWNERS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id and ``spans``, an array of structs with start, end,
+    """One row per row of ``docs``: doc_id, columns to ``keep`` and ``spans``, an array of structs with start, end,
     kind, owners, repositories and live, by start and kind. Without a ``repository`` each
     document is one; the ``owner`` is by default its source."""
     repository = F.col("doc_id") if repository is None else repository
     owner = F.col("source") if owner is None else owner
-    found = staging.write(candidates(docs, repository, owner), "candidates").df
+    found = staging.write(candidates(docs, repository, owner, keep), "candidates").df
     spans = found.select("row", F.inline("spans")).withColumn("hash", F.xxhash64("value"))
     with_any = found.where(F.size("spans") > 0)
     judged = spans.join(ownership(with_any), "hash")  # AQE splits a hot value's rows
@@ -167,9 +173,9 @@ def scan(
     per_row = judged.groupBy("row").agg(F.sort_array(F.collect_list(details)).alias("spans"))
     empty = F.array().cast(per_row.schema["spans"].dataType)
     return (
-        found.select("row", "doc_id")
+        found.select("row", "doc_id", *keep)
         .join(per_row, "row", "left")
-        .select("doc_id", F.coalesce("spans", empty).alias("spans"))
+        .select("doc_id", *keep, F.coalesce("spans", empty).alias("spans"))
     )
 
 
@@ -209,6 +215,38 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-def live_secrets(scanned: DataFrame) -> DataFrame:
-    """Ids of documents with at least one span that looks live."""
-    return scanned.where(F.exists("spans", lambda s: s["live"])).select("doc_id").distinct()
+def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
+    """``text`` with all live spans replaced. Spans may overlap or repeat; what any of them
+    covers goes, and each stretch of overlapping spans leaves one mask."""
+    live = F.filter(spans, lambda s: s["live"])
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(state: Column, s: Column) -> Column:
+        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        fresh = (s["start"] > state["at"]) | (F.size(state["parts"]) == 0)
+        parts = F.when(fresh, F.concat(state["parts"], F.array(between, F.lit(mask))))
+        at = F.greatest(state["at"], s["end"])
+        return F.struct(at.alias("at"), parts.otherwise(state["parts"]).alias("parts"))
+
+    def finish(state: Column) -> Column:
+        rest = F.substring(text, state["at"] + 1, F.length(text))
+        return F.concat(F.array_join(state["parts"], ""), rest)
+
+    return F.when(F.size(live) > 0, F.aggregate(live, start, step, finish)).otherwise(text)
+
+
+def mask_live(docs: DataFrame, staging: Staging) -> DataFrame:
+    """All rows of ``docs`` with their columns; in their texts, secrets that look live are
+    masked. Only documents with live spans are looked up; a repeated id's rows are matched by
+    their texts as well."""
+    rows = docs.withColumn("_sha", F.sha2(text_or_empty().cast("binary"), 256))
+    scanned = scan(rows, staging, keep=["_sha"])
+    live = scanned.where(F.exists("spans", lambda s: s["live"]))
+    live = live.select(F.col("doc_id").alias("_id"), F.col("_sha").alias("_text"), "spans")
+    live = staging.write(live.dropDuplicates(["_id", "_text"]), "live").df
+    live = live.withColumnRenamed("spans", "_spans")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text"))
+    found = rows.join(live, same, "left")
+    text = F.when(F.col("_spans").isNull(), F.col("text"))
+    text = text.otherwise(masked(F.col("text"), F.col("_spans")))
+    return found.withColumn("text", text).select(*docs.columns)
