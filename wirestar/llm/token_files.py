@@ -165,7 +165,7 @@ def write_tokens(
     """Encode ``docs`` (doc_id, text), each with ``end_id`` after it, and write them under
     ``path`` in ascending order of doc_id."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    rows = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows = rows.withColumn("part", F.spark_partition_id())
 
     def raw_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
