@@ -54,7 +54,7 @@ def test_bits_round_trip(ids):
 
 def test_chunked_ids_equal_the_library(monkeypatch):
     library = Tokenizer.from_file(VOCABULARY)
-    own = byte_bpe.ChunkEncoder(VOCABULARY, remembered=4)
+    own = byte_bpe.ChunkEncoder(VOCABULARY, slots=8)
     texts = [t or "" for _, t in TEXTS] + [
         "", "  a", " a", "a  b", "a \n b", "a\n b", "\n\n b", "a\n\n  b", "a\tb c", "a ",
         "x <|endoftext|>\n y", "é 　 x y", "don't  'll we'll", "\x1c a \x1d b",
