@@ -22,6 +22,8 @@ import numpy as np
 SLOTS = 1 << 21
 #: Longer chunks, in bytes, are encoded each time.
 LONGEST = 64
+#: New chunks in one text for the library, which is slower on longer ones.
+LINES = 256
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -179,15 +181,16 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[bytes]) -> np.ndarray:
         """Encode new chunks and note their ids. Chunks without white space but a first blank
-        go to the library in one text, a line feed after each, and the ids' byte lengths tell
-        where each ends."""
+        go to the library many in a text, a line feed after each, and the ids' byte lengths
+        tell where each ends."""
         texts = [c.decode() for c in chunks]
         plain = [not any(map(str.isspace, t[1:])) and t not in " \n" for t in texts]
         simple = [t for t, p in zip(texts, plain) if p]
         found: list[np.ndarray] = []
         if simple:
-            ids = self.library.encode("\n".join(simple) + "\n", add_special_tokens=False).ids
-            ids = np.array(ids, dtype=self.dtype)
+            lines = ["\n".join(simple[i : i + LINES]) + "\n" for i in range(0, len(simple), LINES)]
+            encoded = self.library.encode_batch(lines, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, dtype=self.dtype) for e in encoded])
             sizes = np.fromiter((len(c) + 1 for c, p in zip(chunks, plain) if p), np.int64, len(simple))
             cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes))
             found = [ids[a:b] for a, b in zip([0, *(cuts + 1).tolist()], cuts.tolist())]
