@@ -16,7 +16,7 @@ component, and the components are exact over the candidates.
 
 Components come from alternating large-star and small-star steps, each a written table.
 
-Chance of missing a pair of similarity 0.75 in all bands: (1 - 0.75 ** 4) ** 40 < 3e-7.
+Chance of missing a pair of similarity 0.75 in all bands: (1 - 0.75 ** 5) ** 56 < 3e-7.
 
 Nulls: a null text counts as empty; texts without words have the empty set, are linked with
 nothing, and are their own component. Rows with a null ``doc_id`` are their own component of
@@ -41,14 +41,14 @@ from wirestar.sources.staging import Staging
 
 WORDS = 5
 PERCENT = 75
-ROWS = 4
-BANDS = 40
+ROWS = 5
+BANDS = 56
 HASHES = ROWS * BANDS
 #: Signature agreements below which a pair cannot be linked: six deviations under the mean.
 LEAST_AGREEING = int(HASHES * 0.75 - 6 * (HASHES * 0.75 * 0.25) ** 0.5)
 #: Buckets of at most so many members are paired directly.
 SMALL_BUCKET = 8
-BLOCK = 128
+BLOCK = 256
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWER = np.uint64(1099511628211)
@@ -95,7 +95,8 @@ class Shingler:
 
 class Signer:
     """Minima of ``hashes`` universal hash functions a * x + b over 32 bits, of the shingles'
-    upper halves."""
+    upper halves. Of each minimum the lower 16 bits are kept: the upper ones say little, as
+    minima are small, and different minima agree in the lower ones once in 65,536."""
 
     def __init__(self, hashes: int = HASHES, seed: int = 7, at_once: int = 256):
         random = np.random.default_rng(seed)
@@ -113,7 +114,7 @@ class Signer:
             np.multiply(self.a, part, out=hashed)
             np.add(hashed, self.b, out=hashed)
             np.minimum(least, hashed.min(axis=1), out=least)
-        return least.astype("<u4")
+        return (least & np.uint32(0xFFFF)).astype("<u2")
 
 
 def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
@@ -165,15 +166,15 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def alike(a: bytes, b: bytes) -> int:
-    return int(np.count_nonzero(np.frombuffer(a, "<u4") == np.frombuffer(b, "<u4")))
+    return int(np.count_nonzero(np.frombuffer(a, "<u2") == np.frombuffer(b, "<u2")))
 
 
 @F.pandas_udf(IntegerType())
 def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
     if not len(a):
         return pd.Series([], dtype="int32")
-    left = np.frombuffer(b"".join(a), "<u4").reshape(len(a), -1)
-    right = np.frombuffer(b"".join(b), "<u4").reshape(len(b), -1)
+    left = np.frombuffer(b"".join(a), "<u2").reshape(len(a), -1)
+    right = np.frombuffer(b"".join(b), "<u2").reshape(len(b), -1)
     return pd.Series((left == right).sum(axis=1).astype("int32"))
 
 
@@ -272,7 +273,7 @@ def links_between(ids, components, signatures, sets, percent: int = PERCENT) ->
             c = root[c]
         return c
 
-    signed = np.frombuffer(b"".join(signatures), "<u4").reshape(len(ids), -1)
+    signed = np.frombuffer(b"".join(signatures), "<u2").reshape(len(ids), -1)
     sizes = np.array([len(s) for s in sets])
     links = []
     for i in range(len(ids) - 1):
@@ -396,7 +397,7 @@ def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:
     """(key, doc_id) of all band buckets with at least two members."""
     @F.pandas_udf(ArrayType(LongType()))
     def keys(signature: pd.Series) -> pd.Series:
-        return pd.Series([band_keys(np.frombuffer(s, "<u4")).view(np.int64) for s in signature])
+        return pd.Series([band_keys(np.frombuffer(s, "<u2")).view(np.int64) for s in signature])
 
     banded = leaders.select("doc_id", F.explode(keys("signature")).alias("key"))
     banded = staging.write(banded, "bands").df
