@@ -29,9 +29,12 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructType
 
 from wirestar.llm.common import id_remainder, text_or_empty
 from wirestar.sources.staging import Staging
@@ -78,6 +81,9 @@ REACH = 3
 FACTORS = {"targeted": 1.5, "negated": 0.5, "reported": 0.6}
 THREAT_WEIGHT, BUILT_IN_WEIGHT, MOST_WEIGHT = 2.0, 4.0, 8.0
 
+_FOUND = (
+    StructType().add("score", DoubleType()).add("evidence", DoubleType()).add("clauses", LongType())
+)
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
 _CLAUSE_SPAN = 400
@@ -266,8 +272,8 @@ def choose_stems(
 def set_curve(sample: DataFrame, model: Model) -> Model:
     """The curve that reaches the threshold at the best evidence to part the labels by: in the
     middle, on a log scale, of the gap below the least evidence that counts as toxic."""
-    scored = with_evidence(sample, model, ["toxic"])
-    counted = scored.groupBy(F.round(F.log1p("evidence"), 2).alias("x")).agg(
+    scored = with_evidence(sample, model)
+    counted = scored.groupBy(F.round(F.log1p("_found.evidence"), 2).alias("x")).agg(
         F.sum((F.col("toxic") == 1).cast("long")).alias("toxic"),
         F.sum((F.col("toxic") != 1).cast("long")).alias("clean"),
     )
@@ -289,46 +295,38 @@ def set_curve(sample: DataFrame, model: Model) -> Model:
 # --- scoring --------------------------------------------------------------------------------
 
 
-def with_evidence(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` with score, evidence and the number of matched clauses."""
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def with_evidence(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``_found``: its score, evidence and number of matched clauses. Only texts
+    go to Python and only these numbers come back."""
+    @F.pandas_udf(_FOUND)
+    def found(texts: pd.Series) -> pd.DataFrame:
         rules = grammar(model)
-        for batch in batches:
-            found = [rules.evidence(t.as_py()) for t in batch["_text"]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch[c] for c in keep),
-                    pa.array([rules.score(e) for e, _ in found], pa.float64()),
-                    pa.array([e for e, _ in found], pa.float64()),
-                    pa.array([n for _, n in found], pa.int64()),
-                ],
-                names=[*keep, "score", "evidence", "clauses"],
-            )
-
-    rows = docs.select(*keep, text_or_empty().alias("_text"))
-    kept = ", ".join(f"`{c}` {kind}" for c, kind in rows.drop("_text").dtypes)
-    return rows.mapInArrow(score, f"{kept}, score double, evidence double, clauses long")
+        evidence = [rules.evidence(text) for text in texts]
+        scores = [rules.score(e) for e, _ in evidence]
+        return pd.DataFrame({
+            "score": np.array(scores, dtype=np.float64),
+            "evidence": np.array([e for e, _ in evidence], dtype=np.float64),
+            "clauses": np.array([n for _, n in evidence], dtype=np.int64),
+        })
+
+    return docs.withColumn("_found", found(text_or_empty()))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence, clauses."""
     model = learn(docs, labels, staging)
     held_out = F.coalesce(id_remainder(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
-    return with_evidence(docs, model, ["doc_id"]).select(
+    return with_evidence(docs.select("doc_id", "text"), model).select(
         "doc_id",
         held_out.alias("held_out"),
-        "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
-        "evidence",
-        "clauses",
+        "_found.score",
+        (F.col("_found.score") >= THRESHOLD).cast("int").alias("predicted"),
+        "_found.evidence",
+        "_found.clauses",
     )
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
     """Rows of ``docs`` that score below the threshold, with all their columns."""
     model = learn(docs, labels, staging)
-    columns = [F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    renamed = docs.select(*columns, F.col("text"))
-    kept = [f"c{i}" for i in range(len(docs.columns))]
-    scored = with_evidence(renamed, model, kept).where(F.col("score") < THRESHOLD)
-    return scored.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    return with_evidence(docs, model).where(F.col("_found.score") < THRESHOLD).drop("_found")
