@@ -33,6 +33,9 @@ def at(text: str) -> dt.datetime:
     return dt.datetime.fromisoformat(text)
 
 
+# Fixed value: the heading of traffic files.
+HEADER = "User,Time Stamp,Source IP,Destination IP,KB Bandwidth,Total KB Bandwidth\n"
+
 PACKET_SCHEMA = (
     "user_name string, time_stamp timestamp_ntz, source_ip string, destination_ip string,"
     " bandwidth_kb float"

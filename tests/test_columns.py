@@ -100,3 +100,17 @@ def test_whole_kb_truncates_toward_zero(spark, kb, whole):
 )
 def test_day_in_name(spark, path, day):
     assert one(spark, C.day_in_name(F.col("p")), p=(path, "string")) == day
+
+
+def test_rows_without_a_time_stay(spark):
+    from tests.conftest import PACKET_SCHEMA, at, rows
+    from wirestar.operators import aggregates
+
+    packets = [("ann", None, "a", "b", 1.0), ("ann", at("2025-03-30T02:59:59.9"), "a", "b", 2.0)]
+    df = spark.createDataFrame(packets, PACKET_SCHEMA)
+    assert rows(aggregates.hourly(df), "time_hour", "bandwidth_kb_sum") == [
+        (None, 1.0), (at("2025-03-30T02:00"), 2.0)
+    ]
+    assert rows(aggregates.minute_totals(df)) == [(None, 1.0), (at("2025-03-30T02:59"), 2.0)]
+    report = aggregates.minute_report(aggregates.minute_pairs(df))
+    assert rows(report, "minute", "total_kb_bandwidth") == [(None, 1.0), (at("2025-03-30T02:59"), 2.0)]

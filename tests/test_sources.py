@@ -4,15 +4,14 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import at, rows
-from wirestar.operators.packet_ids import with_file_ids
+from tests.conftest import HEADER, at, rows
+from wirestar.operators.packet_ids import RepeatedKeys, with_file_ids
 from wirestar.plans.ingest import NullsInPackets, ingest_files, publish_day
+from wirestar.schemas import RAW_PACKETS
 from wirestar.sources import reports
 from wirestar.sources.tables import daily_aggregate, put_items, raw_packets
 from wirestar.sources.traffic_files import archive_traffic, read_traffic
 
-HEADER = "User,Time Stamp,Source IP,Destination IP,KB Bandwidth,Total KB Bandwidth\n"
-
 
 def write_gz(folder, name, *lines):
     with gzip.open(folder / name, "wt") as f:
@@ -159,25 +158,82 @@ def test_publish_day(spark, tmp_path):
     ]
 
 
-def test_put_items_fails_with_its_writer(spark, tmp_path):
-    df = spark.range(3).selectExpr("'u' || id AS user_name")
-    folder = str(tmp_path)
+class BufferedFiles:
+    """A store of one file per item that holds items back until it is closed."""
+
+    def __init__(self, folder):
+        self.folder, self.held = folder, []
 
-    def writer():
-        def put(item):
-            with open(f"{folder}/{item['user_name']}", "w") as f:
+    def put(self, item):
+        self.held.append(item["user_name"])
+
+    def close(self):
+        for name in self.held:
+            with open(f"{self.folder}/{name}", "w") as f:
                 f.write("x")
 
-        return put
 
-    put_items(df, writer, ["user_name"])
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["u0", "u1", "u2"]
+def test_put_items_closes_a_writer_that_buffers(spark, tmp_path):
+    df = spark.range(300).selectExpr("'u' || id AS user_name").repartition(5)
+    folder = str(tmp_path)
+    put_items(df, lambda: BufferedFiles(folder), ["user_name"])
+    assert {p.name for p in tmp_path.iterdir()} == {f"u{i}" for i in range(300)}
+
+
+@pytest.mark.parametrize("when", ["open", "put", "close"])
+def test_put_items_fails_with_its_writer(spark, when):
+    class Broken:
+        def __init__(self):
+            self.fail("open")
+
+        def fail(self, now):
+            if now == when:
+                raise OSError("store is away")
+
+        def put(self, item):
+            self.fail("put")
 
-    def broken():
-        raise OSError("store is away")
+        def close(self):
+            self.fail("close")
 
     with pytest.raises(Exception, match="store is away"):
-        put_items(df, broken, ["user_name"])
+        put_items(spark.range(3).selectExpr("'u' || id AS user_name"), Broken, ["user_name"])
+
+
+def test_archive_keeps_earlier_days_under_their_names(spark, tmp_path):
+    source, archive = tmp_path / "in", tmp_path / "2020-01-01"
+    source.mkdir()
+    first = write_gz(source, "ann-2025-03-25.gz", line())
+    second = write_gz(source, "ann-2025-03-26.csv.gz", line(ts="2025-03-26 10:00"))
+    archive_traffic(spark, first, str(archive))
+    archive_traffic(spark, second, str(archive))
+    archive_traffic(spark, first, str(archive))  # the same file again replaces itself
+    names = sorted(p.name for p in archive.iterdir() if not p.name.startswith("."))
+    assert names == ["ann-2025-03-25.csv.gz", "ann-2025-03-26.csv.gz"]
+    days = read_traffic(spark, str(archive), days=True).select("file_day", "time_stamp").collect()
+    assert sorted(str(r.file_day) for r in days) == ["2025-03-25", "2025-03-26"]
+    other = tmp_path / "other"
+    other.mkdir()
+    with pytest.raises(ValueError, match="several files"):
+        archive_traffic(spark, [first, write_gz(other, "ann-2025-03-25.gz", line())], str(archive))
+
+
+def test_day_comes_from_the_file_not_from_its_folder(spark, tmp_path):
+    folder = tmp_path / "2025-03-25"
+    folder.mkdir()
+    path = write_gz(folder, "undated.gz", line())
+    assert read_traffic(spark, path, days=True).first().file_day is None
+
+
+def test_upsert_refuses_a_batch_with_repeated_keys(spark, tmp_path, staging):
+    table = raw_packets(spark, str(tmp_path))
+    table.create()
+    day = dt.date(2025, 3, 25)
+    row = ("ann", dt.datetime(2025, 3, 25, 14), "a", "b", 1.0, "ann-1", day)
+    batch = spark.createDataFrame([row, row], RAW_PACKETS)
+    with pytest.raises(RepeatedKeys, match="ann-1"):
+        table.upsert(batch, ["partition_date", "id"], staging)
+    assert table.read().count() == 0
 
 
 CONVERSATIONS = [

@@ -1,3 +1,4 @@
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -36,3 +37,14 @@ def test_staged_rows_are_counted_and_dropped(spark):
         path = staged.df.inputFiles()[0]
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(path).count()
+
+
+def test_an_owner_drops_what_queries_stage(spark, sf_dir):
+    import __spark_entry__ as contract
+    from wirestar.sources.staging import owned_staging
+
+    with owned_staging(spark) as area:
+        assert contract.queries()["scd2_state"](spark, sf_dir).count() > 0
+        folder = area.folder.removeprefix("file:")
+        assert os.listdir(folder)
+    assert not os.path.exists(folder)

@@ -5,13 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import at, rows
+from tests.conftest import HEADER, at, rows
 from wirestar.operators import aggregates
 from wirestar.sources.traffic_files import CSV_OPTIONS, read_traffic
 from wirestar.streaming import capture
 
-HEADER = "User,Time Stamp,Source IP,Destination IP,KB Bandwidth,Total KB Bandwidth\n"
-
 
 def drop(folder, name, *lines):
     """A finished file, by rename."""
@@ -157,3 +155,38 @@ def test_swapped_addresses_give_the_same_pairs(spark, sf_dir):
     totals = aggregates.totals_of_day(packets.where(F.to_date("time_stamp") == F.lit(day)), day)
     by_day = aggregates.totals_by_day(packets).where(F.col("date") == "2024-01-02")
     assert rows(totals) == rows(by_day)
+
+
+def test_late_rows_are_counted_and_told(spark, tmp_path):
+    folder = tmp_path / "late"
+    told = []
+    listener = capture.LateRows(told.append)
+    spark.streams.addListener(listener)
+    try:
+        late = 0
+        for name, ts in (("a.csv", "12:00:00"), ("b.csv", "10:00:00")):
+            drop(folder, name, line(ts), line(ts, "10.0.0.9"))
+            source = capture.read_capture_stream(spark, str(folder))
+            writer = capture.write_minute_files(
+                source, "ann", str(tmp_path / "out"), str(tmp_path / "late-checkpoint")
+            )
+            late += capture.late_rows(capture.run_available(writer))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    assert late == 2
+
+
+def test_minute_files_of_a_batch_are_few_and_compact(spark, feed, tmp_path):
+    out = str(tmp_path / "out")
+    drop(feed, "c.csv", line("12:00:00"))
+    source = capture.read_capture_stream(spark, str(feed))
+    writer = capture.write_minute_files(source, "ann", out, str(tmp_path / "checkpoint"))
+    capture.run_available(writer)
+    day = tmp_path / "out" / "partition_date=2024-01-02"
+    before = read_traffic(spark, f"{out}/*/*").drop("partition_date")
+    batches = [p for p in day.iterdir() if p.is_dir()]
+    assert all(len(list(b.glob("part-*"))) == 1 for b in batches)
+    capture.compact_minute_files(spark, out, dt.date(2024, 1, 2), str(tmp_path / "compact"))
+    after = read_traffic(spark, str(tmp_path / "compact" / "*"))
+    assert rows(after) == rows(before) and rows(after)

@@ -1,6 +1,7 @@
 """The day load on stored tables: reruns, history, invariants."""
 
 import datetime as dt
+import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,49 @@ def test_days_without_packets_add_nothing(spark, packets, warehouse):
     assert set(added.values()) == {0}
     added = run_history(spark, packets, warehouse, empty_day, empty_day + dt.timedelta(days=2))
     assert set(added.values()) == {0}
+
+
+def test_day_load_reads_no_other_fact_partition(spark, packets, warehouse):
+    first = run_day(spark, packets, warehouse, DAYS[0])["packets_fact"]
+    # A load of the next day must not read the facts of the first: make them unreadable.
+    for path in glob.glob(f"{warehouse.location}/packets_fact/date_day=20240102/*.parquet"):
+        with open(path, "wb") as f:
+            f.write(b"not parquet")
+    added = run_day(spark, packets, warehouse, DAYS[1])["packets_fact"]
+    keys = warehouse.facts_between(20240103, 20240103).agg(F.min("packets_key"), F.max("packets_key"))
+    assert added > 0 and tuple(keys.first()) == (first + 1, first + added)
+
+
+def test_failure_between_mark_and_rows_never_repeats_a_key(spark, packets, warehouse, monkeypatch):
+    def fail(self, table, rows, several_days=False):
+        if table == "packets_fact":
+            raise OSError("lost")
+        return whole(self, table, rows, several_days)
+
+    whole = Warehouse.append
+    monkeypatch.setattr(Warehouse, "append", fail)
+    with pytest.raises(OSError):
+        run_day(spark, packets, warehouse, DAYS[0])
+    monkeypatch.setattr(Warehouse, "append", whole)
+    added = run_day(spark, packets, warehouse, DAYS[0])["packets_fact"]
+    run_day(spark, packets, warehouse, DAYS[1])
+    assert rows(violations(warehouse)) == []
+    first = warehouse.facts_between(20240102, 20240102).agg(F.min("packets_key")).first()[0]
+    assert first == added + 1  # a gap, as after a failed insert with a sequence
+
+
+def test_users_versions_stay_bounded_and_closed_rows_are_written_once(spark, warehouse):
+    warehouse.create()
+    state = [(1, "ann", "192.168.0.1", at("2025-01-01"), None, True)]
+    schema = STAR_SCHEMA["users_dim"].schema
+    warehouse.replace_users(spark.createDataFrame(state, schema))
+    for n in range(2, 6):
+        closed = (n - 1, "ann", f"192.168.0.{n - 1}", at("2025-01-01"), at(f"2025-01-0{n}"), False)
+        current = (n, "ann", f"192.168.0.{n}", at(f"2025-01-0{n}"), None, True)
+        warehouse.replace_users(spark.createDataFrame([closed, current], schema))
+    assert len(warehouse._versions()) == warehouse.keep
+    assert [r[0] for r in rows(warehouse.current_users())] == [5]
+    assert [r[0] for r in rows(warehouse.read("users_dim"))] == [1, 2, 3, 4, 5]
+    newest = warehouse._versions()[-1]
+    path = f"{warehouse.location}/users_dim/closed/version={newest}"
+    assert spark.read.parquet(path).count() == 1

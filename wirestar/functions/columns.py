@@ -15,15 +15,17 @@ from wirestar.schemas import PRIVATE_ADDRESS
 
 
 def floor_hour(ts: Column) -> Column:
-    """Start of the hour. A tumbling window is plain integer arithmetic on a zone-less
-    time, several times faster than taking a date apart. Spark allows one per ``select``
-    or ``groupBy`` and drops rows without a time."""
-    return F.window(ts, "1 hour")["start"]
+    """Start of the hour, NULL for a NULL time. Plain arithmetic on zone-less fields; a
+    tumbling window would silently drop rows without a time."""
+    zero = F.lit(0)
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(zero, F.hour(ts), zero)
 
 
 def floor_minute(ts: Column) -> Column:
     """Start of the minute, see ``floor_hour``."""
-    return F.window(ts, "1 minute")["start"]
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.hour(ts), F.minute(ts)
+    )
 
 
 def minute_text(ts: Column) -> Column:
@@ -117,5 +119,6 @@ def whole_kb(kb: Column) -> Column:
 
 
 def day_in_name(path: Column) -> Column:
-    """The last ``yyyy-MM-dd`` in a traffic file's path; NULL without one."""
-    return F.regexp_extract(path, r".*(\d{4}-\d{2}-\d{2})", 1).try_cast("date")
+    """The last ``yyyy-MM-dd`` in a traffic file's own name; NULL without one, whatever the
+    folders above are called."""
+    return F.regexp_extract(path, r".*(\d{4}-\d{2}-\d{2})[^/]*$", 1).try_cast("date")

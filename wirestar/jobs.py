@@ -16,11 +16,19 @@ from wirestar.operators import aggregates, checks
 from wirestar.operators.slices import day_slice
 from wirestar.plans import ingest, warehouse_load
 from wirestar.session import SETTINGS
+from wirestar.sources.staging import Staging
 from wirestar.sources.tables import Warehouse, daily_aggregate, raw_packets
 from wirestar.sources.traffic_files import archive_traffic
 from wirestar.streaming import capture
 
 
+def print_all(df: DataFrame) -> None:
+    """Every row as tab-separated text, fetched partition by partition."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("NULL" if v is None else str(v) for v in row))
+
+
 def archive(spark: SparkSession, args: argparse.Namespace) -> None:
     archive_traffic(spark, args.files, args.archive)
 
@@ -44,6 +52,23 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{table}: {rows} added")
 
 
+def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The days ``--day`` to ``--last-day``, with the result of one ``load`` for each."""
+    added = warehouse_load.run_history(
+        spark,
+        raw_packets(spark, args.lake).read(),
+        Warehouse(spark, args.warehouse),
+        args.day,
+        args.last_day,
+        half_open=args.half_open,
+        scope=args.scope,
+        null_safe=args.null_safe,
+        allow_back_dated=args.allow_back_dated,
+    )
+    for table, rows in added.items():
+        print(f"{table}: {rows} added")
+
+
 def count(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     warehouse = Warehouse(spark, args.warehouse)
     warehouse.create()
@@ -54,21 +79,30 @@ def count(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
-    found = warehouse_load.violations(Warehouse(spark, args.warehouse))
-    found.show(truncate=False)
-    if not found.isEmpty():
+    found = warehouse_load.violations(
+        Warehouse(spark, args.warehouse), args.day, args.last_day or args.day
+    )
+    with Staging(spark) as staging:
+        staged = staging.write(found, "violations")
+        print_all(staged.df)
+    if staged.rows:
         raise SystemExit("the warehouse breaks its rules")
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    ingest.publish_day(spark, args.lake, args.day)
+    ingest.publish_day(spark, args.lake, args.day, half_open=args.half_open)
     stored = daily_aggregate(spark, args.lake).read()
-    stored.where(stored.date == args.day.isoformat()).show(truncate=False)
+    print_all(stored.where(stored.date == args.day.isoformat()))
 
 
 def totals(spark: SparkSession, args: argparse.Namespace) -> None:
-    packets = day_slice(raw_packets(spark, args.lake).read(), args.day)
-    aggregates.user_totals(packets).show(truncate=False)
+    """All users' KB of a day: into the folder ``--out``, else as text."""
+    packets = raw_packets(spark, args.lake).read()
+    sums = aggregates.user_totals(day_slice(packets, args.day, half_open=args.half_open))
+    if args.out:
+        sums.write.mode("overwrite").parquet(args.out)
+    else:
+        print_all(sums.orderBy("user_name"))
 
 
 def pipeline(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -91,9 +125,15 @@ def watch(spark: SparkSession, args: argparse.Namespace) -> None:
     writer = capture.write_minute_files(
         packets, args.user, args.out, args.checkpoint, args.lateness
     )
+    spark.streams.addListener(capture.LateRows())
     writer.trigger(processingTime="1 minute").start().awaitTermination()
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The minute files of a finished day as few files in ``--out``."""
+    capture.compact_minute_files(spark, args.files[0], args.day, args.out)
+
+
 def top(spark: SparkSession, args: argparse.Namespace) -> None:
     """The busiest pairs of new traffic files, until stopped. Never deletes files, as
     another job may still have to read them."""
@@ -108,11 +148,13 @@ JOBS = {
     "archive": (archive, ["files", "archive"]),
     "ingest": (ingest_files, ["files", "lake"]),
     "load": (load, ["lake", "warehouse", "day"]),
+    "backfill": (backfill, ["lake", "warehouse", "day", "last_day"]),
     "count": (count, ["warehouse"]),
     "check": (check, ["warehouse"]),
     "publish": (publish, ["lake", "day"]),
     "totals": (totals, ["lake", "day"]),
     "pipeline": (pipeline, ["files", "lake", "warehouse", "day"]),
+    "compact": (compact, ["files", "day", "out"]),
     "watch": (watch, ["files", "user", "out", "checkpoint"]),
     "top": (top, ["files", "checkpoint"]),
 }
@@ -123,16 +165,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--files", action="append", help="traffic files or folders")
     parser.add_argument("--archive", help="folder for gzip copies of the files")
-    parser.add_argument("--lake", help="location of raw packets and daily aggregate")
+    parser.add_argument("--lake", help="folder, or schema of the catalog, of raw packets and daily aggregate")
     parser.add_argument("--warehouse", help="location of the star schema")
     parser.add_argument("--day", type=dt.date.fromisoformat, help="yyyy-MM-dd")
+    parser.add_argument("--last-day", type=dt.date.fromisoformat, help="yyyy-MM-dd")
     parser.add_argument("--replace", action="store_true", help="upsert by id, not append")
     parser.add_argument("--scope", default="per_user", choices=["per_user", "batch_latest"])
     parser.add_argument("--null-safe", action="store_true")
     parser.add_argument("--half-open", action="store_true")
     parser.add_argument("--allow-back-dated", action="store_true")
     parser.add_argument("--user", help="user name in minute files")
-    parser.add_argument("--out", help="folder for minute files")
+    parser.add_argument("--out", help="folder for minute files or totals")
     parser.add_argument("--checkpoint", help="folder for stream checkpoints")
     parser.add_argument("--lateness", default="10 minutes")
     parser.add_argument("--max-files", type=int)
@@ -140,7 +183,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     missing = [name for name in JOBS[args.job][1] if getattr(args, name) is None]
     if missing:
-        parser.error(f"{args.job} needs --{' --'.join(missing)}")
+        parser.error(f"{args.job} needs --{' --'.join(missing)}".replace("_", "-"))
     return args
 
 

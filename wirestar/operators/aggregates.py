@@ -73,11 +73,12 @@ def pair_totals(packets: DataFrame) -> DataFrame:
 
 
 def top_pairs(packets: DataFrame, n: int = 15) -> DataFrame:
-    """The ``n`` busiest pairs, with the KB of all traffic beside each."""
-    everything = packets.agg(F.sum("bandwidth_kb")).scalar()
+    """The ``n`` busiest pairs, with the KB of all traffic beside each. The packets are read
+    once: their total is the sum of the pairs' sums."""
+    pairs = pair_totals(packets)
+    everything = pairs.agg(F.sum("kb_bandwidth")).scalar()  # reuses the pairs' exchange
     return (
-        pair_totals(packets)
-        .orderBy(F.desc("kb_bandwidth"), "source_ip", "destination_ip")
+        pairs.orderBy(F.desc("kb_bandwidth"), "source_ip", "destination_ip")
         .limit(n)
         .withColumn("total_kb_bandwidth", everything)
     )
@@ -99,19 +100,39 @@ def minute_totals(packets: DataFrame) -> DataFrame:
     )
 
 
-def minute_report(pairs: DataFrame, totals: DataFrame) -> DataFrame:
-    """Minute pairs with the KB of all traffic of their minute, as traffic files show it."""
-    return pairs.join(totals, "minute").select(
-        "minute", "source_ip", "destination_ip", "kb_bandwidth", "total_kb_bandwidth"
+def minute_report(pairs: DataFrame) -> DataFrame:
+    """Minute pairs with the KB of all traffic of their minute, as traffic files show it.
+
+    A minute's pairs are already sums, so its total is the sum of its pairs. The totals are
+    few and joined back; the sums of the pairs are shuffled once and reused."""
+    totals = pairs.groupBy(F.col("minute").alias("_minute")).agg(
+        F.sum("kb_bandwidth").alias("total_kb_bandwidth")
     )
+    return pairs.join(totals, F.col("minute").eqNullSafe(F.col("_minute"))).drop("_minute")
 
 
 def last_per_pair(packets: DataFrame, sequence: str) -> DataFrame:
-    """Last value written per day and address pair. ``sequence`` is the write order, a
-    number or time, so that the aggregate keeps fixed-width state and hashes, not sorts."""
-    return packets.groupBy(
+    """Last value written per day and address pair, and the running total written last on that
+    day. ``sequence`` is the write order, a number or time, so that the aggregates keep
+    fixed-width state and hash, not sort. Packets without a running total have NULL there."""
+    if "total_bandwidth_kb" not in packets.columns:
+        packets = packets.withColumn("total_bandwidth_kb", F.lit(None).cast("double"))
+    pairs = packets.groupBy(
         F.to_date("time_stamp").alias("date"), "source_ip", "destination_ip"
-    ).agg(F.max_by("bandwidth_kb", sequence).alias("kb_bandwidth"))
+    ).agg(
+        F.max_by("bandwidth_kb", sequence).alias("kb_bandwidth"),
+        F.max_by("total_bandwidth_kb", sequence).alias("_total"),
+        F.max(sequence).alias("_last"),
+    )
+    days = pairs.groupBy("date").agg(F.max_by("_total", "_last").alias("total_kb_bandwidth"))
+    joined = pairs.join(days.withColumnRenamed("date", "_date"), F.col("date").eqNullSafe(F.col("_date")))
+    return joined.select(
+        "date",
+        "source_ip",
+        "destination_ip",
+        "kb_bandwidth",
+        "total_kb_bandwidth",
+    )
 
 
 def local_addresses(hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFrame:

@@ -19,6 +19,8 @@ from wirestar.sources.staging import Staged, Staging
 
 # monotonically_increasing_id() = partition << 33 | row position in the partition
 _POSITION_BITS = 33
+#: Partitions of a range sort; Spark's range partitioner samples for no more.
+_MOST_PARTITIONS = 100_000
 
 
 def number_rows(
@@ -47,7 +49,7 @@ def number_rows(
     else:
         rows = rows.withColumn("_part", part)
         # One row per partition and group: at most partitions + groups rows.
-        offsets = _offsets(rows, list(group_by), "_part", staging)
+        offsets = _offsets(rows, list(group_by), "_part", staging if group_by else None)
         rows = _join_offsets(rows, offsets, ["_part", *group_by])
         shift = F.col("_shift")
     number = F.col("_position") + shift + F.lit(1 + start)
@@ -73,9 +75,10 @@ def number_in_file(
     return Staged(numbered.drop("_position", "_shift"), staged.rows, staged.seen)
 
 
-def _offsets(rows: DataFrame, groups: list[str], part: str, staging: Staging) -> Sized:
+def _offsets(rows: DataFrame, groups: list[str], part: str, staging: Staging | None) -> Sized:
     """``_shift`` per group and part: what turns a row's position into its place in the
-    group. Parts of a group follow each other in the order of ``part``."""
+    group. Parts of a group follow each other in the order of ``part``. Without groups there
+    is one row per partition, few enough to join without counting or staging them."""
     runs = rows.groupBy(part, *groups).agg(
         F.min("_position").alias("_first"), F.count(F.lit(1)).alias("_size")
     )
@@ -85,6 +88,8 @@ def _offsets(rows: DataFrame, groups: list[str], part: str, staging: Staging) ->
     )
     before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
     shifts = runs.select(part, *groups, (before - F.col("_first")).alias("_shift"))
+    if staging is None:
+        return Sized(shifts, _MOST_PARTITIONS)
     staged = staging.write(shifts, "offsets")
     return Sized(staged.df, staged.rows)
 

@@ -39,8 +39,20 @@ def _raw_columns(numbered: DataFrame) -> DataFrame:
     ).select(*RAW_PACKETS.names)
 
 
+class RepeatedKeys(ValueError):
+    """A batch to upsert holds a key more than once."""
+
+
+def refuse_repeated_keys(batch: DataFrame, keys: list[str]) -> None:
+    """Counted before the shuffle; only a few examples reach the driver."""
+    counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    examples = counted.limit(3).collect()
+    if examples:
+        raise RepeatedKeys(f"more than one row for {[r.asDict() for r in examples]}")
+
+
 def upsert(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """``existing`` with rows of the batch's keys replaced and its other rows added. The
-    batch must be unique on its keys."""
+    batch must be unique on its keys (see ``refuse_repeated_keys``)."""
     kept = existing.join(batch.select(*keys), keys, "left_anti")
     return kept.select(*existing.columns).unionByName(batch.select(*existing.columns))

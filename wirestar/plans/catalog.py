@@ -19,10 +19,11 @@ from wirestar.operators.lookups import Sized
 from wirestar.operators.slices import day_slice as slice_days
 from wirestar.plans import warehouse_load
 from wirestar.schemas import DATE_DIM, DIRECTION_DIM, IP_DIM, PACKETS_FACT, USERS_DIM, empty
-from wirestar.sources import reports
+from wirestar.sources import reports, traffic_files
 from wirestar.sources.event_feed import EVENTS, packets_from_events, read_events, read_packets
 from wirestar.sources.staging import Staged, Staging
-from wirestar.sources.tables import Warehouse
+from wirestar.sources.tables import Warehouse, raw_packets
+from wirestar.sources.tables import daily_aggregate as daily_table
 from wirestar.streaming import capture
 
 SLICE_DAY = dt.date(2024, 1, 4)
@@ -115,6 +116,63 @@ def row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packet_ids.with_ordered_ids(packets, [F.col("event_id")], Staging(spark))
 
 
+def _sent_again(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Packets with ids: the first two thirds of the days, and the last two thirds sent again
+    with other sums."""
+    ts = F.col("time_stamp")
+    packets = read_packets(spark, sf_dir).select(
+        "user_name",
+        ts,
+        "source_ip",
+        "destination_ip",
+        "bandwidth_kb",
+        C.packet_id(F.col("user_name"), ts, F.col("event_id") + 1).alias("id"),
+        F.to_date(ts).alias("partition_date"),
+    )
+    day, twice = F.col("partition_date"), F.col("bandwidth_kb") * F.lit(2).cast("float")
+    existing = packets.where(day < F.lit(dt.date(2024, 1, 21)))
+    batch = packets.where(day >= F.lit(dt.date(2024, 1, 11))).withColumn("bandwidth_kb", twice)
+    return existing, batch
+
+
+def raw_upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appended to a stored table, then upserted, and read back."""
+    staging = Staging(spark)
+    table = raw_packets(spark, staging.path("lake"))
+    table.create()
+    existing, batch = _sent_again(spark, sf_dir)
+    table.append(existing, compact=True)
+    table.upsert(batch, ["partition_date", "id"], staging)
+    return table.read()
+
+
+def daily_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KB per user and day put into the stored aggregate, twice, and read back."""
+    staging = Staging(spark)
+    table = daily_table(spark, staging.path("lake"))
+    table.create()
+    totals = aggregates.totals_by_day(read_packets(spark, sf_dir))
+    for _ in range(2):  # putting the same items again changes nothing
+        table.upsert(totals, ["date", "user_name"], staging)
+    return table.read()
+
+
+def minute_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute files written by two runs of a stream over the feed's traffic files, the second
+    run finding only the files that are new, read back. Minutes still open are not there."""
+    staging = Staging(spark)
+    source, out, checkpoint = (staging.path(p) for p in ("source", "minutes", "checkpoint"))
+    rows = _traffic_rows(read_packets(spark, sf_dir))
+    early = F.col("time_stamp") < f"{SPLIT:%Y-%m-%d}"
+    for part in (rows.where(early), rows.where(~early)):
+        ordered = part.repartitionByRange(4, "time_stamp").sortWithinPartitions("time_stamp")
+        ordered.write.mode("append").option("header", "true").csv(source)
+        packets = capture.read_capture_stream(spark, source, when_done="delete")
+        capture.run_available(capture.write_minute_files(packets, "feed", out, checkpoint))
+    packets = traffic_files.read_traffic(spark, f"{out}/*/*")
+    return packets.select("user_name", "time_stamp", "source_ip", "destination_ip", "bandwidth_kb")
+
+
 def raw_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last third of the packets sent again with other sums, over the first two."""
     ts = F.col("time_stamp")
@@ -261,22 +319,104 @@ def fact_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.key_facts(new, held, loads.staging).df
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five tables after both loads, built in memory of the staging folder."""
+def _star(spark: SparkSession, sf_dir: str, keyed: bool = True) -> dict[str, DataFrame]:
+    """The five tables after both loads, built in memory of the staging folder; the facts
+    without keys unless ``keyed``."""
     loads = _Loads(spark, sf_dir)
     users, ips = loads.both_users(), loads.all_addresses()
-    keyed = facts.key_facts(loads.facts(users, ips), 0, loads.staging)
+    rows = loads.facts(users, ips)
+    if keyed:
+        rows = facts.key_facts(rows, 0, loads.staging).df
+    else:
+        rows = rows.withColumn("packets_key", F.lit(None).cast("long"))
     return {
         "ip_dim": ips.df,
         "users_dim": users.df,
         "date_dim": dimensions.new_dates(empty(spark, DATE_DIM), loads.hours.df),
         "direction_dim": loads.directions,
-        "packets_fact": keyed.df.select(*PACKETS_FACT.names),
+        "packets_fact": rows.select(*PACKETS_FACT.names),
     }
 
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.table_counts(_star(spark, sf_dir))
+    """Counts need no keys in the fact."""
+    return checks.table_counts(_star(spark, sf_dir, keyed=False))
+
+
+def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules over a star with faults: addresses and hours of the second load are missing
+    from their dimensions, and the facts of one direction have another one's key."""
+    star = _star(spark, sf_dir, keyed=False)
+    split = int(f"{SPLIT:%Y%m%d}00")
+    facts_rows = star["packets_fact"].withColumns(
+        {
+            "packets_key": F.col("source_ip_key").cast("long") * 100_000 + F.col("destination_ip_key"),
+            "direction_key": F.when(F.col("direction_key") == 1, 9).otherwise(F.col("direction_key")),
+        }
+    )
+    faulty = {
+        "ip_dim": star["ip_dim"].where("ip_key % 3 > 0"),
+        "date_dim": star["date_dim"].where(F.col("date_key") < split),
+        "packets_fact": facts_rows,
+    }
+    return checks.check_star_schema({**star, **faulty})
+
+
+def count_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the dimensions and hourly rows before and after the second load."""
+    loads = _Loads(spark, sf_dir)
+    first, users = loads.addresses(loads.before), loads.users_before()
+    none = empty(spark, DATE_DIM)
+    before = {
+        "ip_dim": first.df,
+        "users_dim": users.df,
+        "date_dim": dimensions.new_dates(none, loads.before),
+        "direction_dim": loads.directions,
+        "packets_fact": loads.before,
+    }
+    after = before | {
+        "ip_dim": first.df.unionByName(loads.addresses(loads.after, first).df),
+        "users_dim": loads.users_after(users).df,
+        "date_dim": dimensions.new_dates(none, loads.hours.df),
+        "packets_fact": loads.hours.df,
+    }
+    return checks.count_changes(checks.table_counts(before), checks.table_counts(after))
+
+
+def _traffic_rows(packets: DataFrame) -> DataFrame:
+    """Packets as the rows of traffic files, with a running total."""
+    return packets.select(
+        "user_name",
+        F.col("time_stamp").cast("string").alias("time_stamp"),
+        "source_ip",
+        "destination_ip",
+        "bandwidth_kb",
+        F.lit(0.0).cast("float").alias("total_bandwidth_kb"),
+    )
+
+
+def traffic_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as one traffic file a day, archived under the files' names, and read back with
+    the day of the name and ids in file order, counted per day and user."""
+    staging = Staging(spark)
+    written, archived = staging.path("traffic"), staging.path("archive")
+    rows = _traffic_rows(read_packets(spark, sf_dir))
+    day = F.substring("time_stamp", 1, 10)
+    traffic_files.write_named(rows.repartition(day), F.concat(F.lit("feed-"), day), written)
+    for last_digit in ("[02468]", "[13579]"):  # the second run leaves the first's files
+        files = f"{written}/feed-*{last_digit}.csv"
+        traffic_files.archive_traffic(spark, files, archived)
+    packets = traffic_files.read_traffic(spark, archived, positions=True, days=True)
+    numbered = packet_ids.with_file_ids(packets.drop("file_day"), staging)
+    by_day = numbered.df.groupBy("user_name", F.col("partition_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids")
+    )
+    named = packets.groupBy("user_name", F.col("file_day").alias("day")).agg(
+        F.sum(F.col("bandwidth_kb").cast("double")).alias("kb")
+    )
+    return by_day.join(named, ["user_name", "day"])
+
+
 
 
 def pair_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,9 +432,7 @@ def minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minute_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packets = read_packets(spark, sf_dir)
-    pairs, totals = aggregates.minute_pairs(packets), aggregates.minute_totals(packets)
-    return aggregates.minute_report(pairs, totals)
+    return aggregates.minute_report(aggregates.minute_pairs(read_packets(spark, sf_dir)))
 
 
 def top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +440,10 @@ def top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_per_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.last_per_pair(read_packets(spark, sf_dir), "event_id")
+    """With a running total made of the packet's place and size."""
+    running = F.col("event_id") * 1000.0 + F.col("bandwidth_kb")
+    packets = read_packets(spark, sf_dir).withColumn("total_bandwidth_kb", running)
+    return aggregates.last_per_pair(packets, "event_id")
 
 
 # Lines as a capture tool prints them, in mixed units and with lines to skip.
@@ -427,6 +568,10 @@ QUERIES: dict[str, Query] = {
         day_slice,
         row_id,
         raw_upsert,
+        raw_upsert_stored,
+        traffic_csv,
+        daily_aggregate,
+        minute_files,
         hourly,
         daily_by_user,
         user_totals,
@@ -448,6 +593,7 @@ QUERIES: dict[str, Query] = {
         fact_new_null_safe,
         fact_keyed,
         table_counts,
+        count_changes,
         pair_totals,
         minute_pairs,
         minute_totals,
@@ -461,6 +607,7 @@ QUERIES: dict[str, Query] = {
         dq_check,
         dq_foreign_key,
         dq_length,
+        dq_star,
         run_day,
         stream_minute_pairs,
         stream_minute_totals,

@@ -12,7 +12,7 @@ from wirestar.operators import aggregates
 from wirestar.operators.packet_ids import with_file_ids
 from wirestar.operators.slices import day_slice
 from wirestar.sources.staging import Staging
-from wirestar.sources.tables import daily_aggregate, put_items, raw_packets
+from wirestar.sources.tables import ItemWriter, daily_aggregate, put_items, raw_packets
 from wirestar.sources.traffic_files import read_traffic
 
 class NullsInPackets(ValueError):
@@ -42,11 +42,14 @@ def publish_day(
     spark: SparkSession,
     lake: str,
     day: dt.date,
-    open_writer: Callable[[], Callable[[dict], None]] | None = None,
+    open_writer: Callable[[], ItemWriter] | None = None,
+    half_open: bool = False,
 ) -> None:
     """KB per user of a day into the daily aggregate, replacing items of the same user
-    and day; with ``open_writer`` into an external store as well."""
-    totals = aggregates.totals_of_day(day_slice(raw_packets(spark, lake).read(), day), day)
+    and day; with ``open_writer`` into an external store as well. ``half_open`` is that of
+    ``day_slice``."""
+    packets = day_slice(raw_packets(spark, lake).read(), day, half_open=half_open)
+    totals = aggregates.totals_of_day(packets, day)
     table = daily_aggregate(spark, lake)
     table.create()
     with Staging(spark) as staging:

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from wirestar.functions import columns as C
 from wirestar.operators import aggregates, checks, dimensions, facts, history
 from wirestar.operators.lookups import Sized
-from wirestar.operators.numbering import last_key
 from wirestar.operators.slices import day_slice
 from wirestar.schemas import DIRECTIONS, PRIVATE_ADDRESS
 from wirestar.sources.staging import Staging
@@ -51,7 +50,7 @@ def run_day(
         hours = staging.write(aggregates.hourly(sliced), "hourly")
         latest = staging.write(aggregates.latest_local_ip(hours.df, private), "latest-ips").df
         if not allow_back_dated:
-            _refuse_back_dated(dimensions.back_dated(warehouse.read("users_dim"), latest), day)
+            _refuse_back_dated(dimensions.back_dated(warehouse.current_users(), latest), day)
         added = _together(
             date_dim=lambda: _load_dates(warehouse, hours.df, day, last_day or day),
             ip_dim=lambda: _load_addresses(
@@ -60,11 +59,10 @@ def run_day(
             users_dim=lambda: _load_users(warehouse, aggregates.in_scope(latest, scope), staging),
             direction_dim=lambda: _load_directions(warehouse),
         )
-        users = warehouse.read("users_dim")
         added["packets_fact"] = _load_facts(
             warehouse,
             Sized(hours.df, hours.rows),
-            Sized(users, users.where("current_flag").count()),
+            Sized(warehouse.current_users(), warehouse.last_key("users_dim")),
             staging,
             day,
             last_day or day,
@@ -84,8 +82,8 @@ def _together(**loads: Callable[[], int]) -> dict[str, int]:
 
 def _load_dates(warehouse: Warehouse, hours: DataFrame, first: dt.date, last: dt.date) -> int:
     held = warehouse.read("date_dim").where(F.col("date").between(F.lit(first), F.lit(last)))
-    # At most 24 rows a day: one file.
-    return warehouse.append("date_dim", dimensions.new_dates(held, hours).coalesce(1))
+    # At most 24 rows a day: one file. Only finished hours are moved, not each task's.
+    return warehouse.append("date_dim", dimensions.new_dates(held, hours).repartition(1))
 
 
 def _load_addresses(
@@ -94,17 +92,19 @@ def _load_addresses(
     staging: Staging,
     order_by: tuple[str, ...] = ("ip_address",),
 ) -> int:
-    start = last_key(warehouse.read("ip_dim"), "ip_key")
+    start = warehouse.last_key("ip_dim")
     new = dimensions.keyed_addresses(unkeyed, start, staging, order_by)
     if new.rows:
+        warehouse.mark_key("ip_dim", start + new.rows)
         warehouse.append("ip_dim", new.df)
     return new.rows
 
 
 def _load_users(warehouse: Warehouse, latest: DataFrame, staging: Staging) -> int:
-    held = warehouse.read("users_dim")
-    state = dimensions.next_users(held, latest, last_key(held, "user_key"), staging)
+    start = warehouse.last_key("users_dim")
+    state = dimensions.next_users(warehouse.current_users(), latest, start, staging)
     if state.rows:  # every change adds a row, so without one the state is the same
+        warehouse.mark_key("users_dim", start + state.rows)
         warehouse.replace_users(state.df)
     return state.rows
 
@@ -131,12 +131,15 @@ def _load_facts(
 ) -> int:
     ips = warehouse.read("ip_dim")
     directions = warehouse.read("direction_dim")
-    rows = facts.fact_staging(hours, users, Sized(ips, ips.count()), directions, private)
+    # The highest key is at least the number of addresses.
+    sized = Sized(ips, warehouse.last_key("ip_dim"))
+    rows = facts.fact_staging(hours, users, sized, directions, private)
     held = warehouse.facts_between(_day_number(first), _day_number(last))
     new = facts.new_facts(held, rows, null_safe)
-    start = last_key(warehouse.read("packets_fact"), "packets_key")
+    start = warehouse.last_key("packets_fact")
     keyed = facts.key_facts(new, start, staging, by_day)
     if keyed.rows:
+        warehouse.mark_key("packets_fact", start + keyed.rows)
         warehouse.append("packets_fact", keyed.df, several_days=first != last)
     return keyed.rows
 
@@ -161,7 +164,7 @@ def run_history(
     with Staging(spark) as staging:
         sliced = day_slice(packets, first, last, half_open)
         hours = staging.write(aggregates.hourly(sliced), "hourly")
-        held_users = warehouse.read("users_dim")
+        held_users = warehouse.current_users()
         daily = staging.write(history.daily_local_ips(hours.df, scope, private), "daily-ips").df
         if not allow_back_dated:
             everyone = daily
@@ -171,7 +174,7 @@ def run_history(
 
         def load_users() -> int:
             nonlocal in_effect
-            start = last_key(held_users, "user_key")
+            start = warehouse.last_key("users_dim")
             changes = history.keyed_changes(
                 history.daily_changes(held_users, daily), start, staging
             )
@@ -179,6 +182,7 @@ def run_history(
                 history.users_in_effect(held_users, changes.df, hours.df), "users-in-effect"
             )
             if changes.rows:
+                warehouse.mark_key("users_dim", start + changes.rows)
                 warehouse.replace_users(history.users_after_history(held_users, changes.df))
             return changes.rows
 
@@ -217,9 +221,15 @@ def _day_number(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
-def violations(warehouse: Warehouse) -> DataFrame:
-    """Rule violations of the star schema; none after a load."""
-    return checks.check_star_schema(warehouse.tables())
+def violations(
+    warehouse: Warehouse, first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Rule violations of the star schema; none after a load. With days, of the fact only
+    their partitions are checked, as after a load of these days."""
+    rows = None
+    if first is not None:
+        rows = warehouse.facts_between(_day_number(first), _day_number(last or first))
+    return checks.check_star_schema(warehouse.tables(), rows)
 
 
 def counts(warehouse: Warehouse) -> DataFrame:

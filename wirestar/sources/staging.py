@@ -7,10 +7,12 @@ It is columnar, so a second reader that needs one column reads one column.
 
 from __future__ import annotations
 
+import contextlib
 import itertools
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -31,6 +33,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_owner: ContextVar[str | None] = ContextVar("staging_owner", default=None)
+
+
+@contextlib.contextmanager
+def owned_staging(spark: SparkSession) -> Iterator[Staging]:
+    """A block that owns what is staged inside it. A query returns before its result is read,
+    so it cannot drop what it has staged; a caller that reads the result inside such a block
+    leaves nothing behind."""
+    with Staging(spark) as area:
+        token = _owner.set(area.folder)
+        try:
+            yield area
+        finally:
+            _owner.reset(token)
+
+
 @dataclass(frozen=True)
 class Staged:
     df: DataFrame
@@ -40,11 +58,12 @@ class Staged:
 
 class Staging:
     """Staged tables of one job. ``with Staging(spark) as staging`` drops them at the end;
-    without ``with`` they stay as long as the folder keeps them."""
+    otherwise the ``owned_staging`` block around it does, or else they stay as long as the
+    checkpoint folder keeps them."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.folder = f"{checkpoint_dir(spark)}/wirestar-{uuid.uuid4().hex}"
+        self.folder = f"{_owner.get() or checkpoint_dir(spark)}/wirestar-{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)
 
     def path(self, label: str) -> str:

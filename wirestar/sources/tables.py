@@ -1,35 +1,53 @@
 """Parquet tables: raw packets, the star schema and the daily aggregate.
 
-A location is a folder on any file system Spark reads (``file:``, ``s3a:``, ``hdfs:``).
+A location is a folder on any file system Spark reads (``file:``, ``s3a:``, ``hdfs:``). Raw
+packets and the daily aggregate may also be tables of the session's catalog.
 """
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wirestar.functions import columns as C
-from wirestar.operators.packet_ids import upsert
+from wirestar.operators.numbering import last_key
+from wirestar.operators.packet_ids import refuse_repeated_keys, upsert
 from wirestar.schemas import DAILY_AGGREGATE, RAW_PACKETS, STAR_SCHEMA, empty
 from wirestar.sources.staging import Staging
 
 
 class PartitionedTable:
-    """A Parquet table partitioned by one column of its schema."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition: str):
-        self.spark, self.path = spark, path
+    """A Parquet table partitioned by one column of its schema, in a folder or, with
+    ``catalog_name``, under a name in the session's catalog."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str | None,
+        schema: T.StructType,
+        partition: str,
+        catalog_name: str | None = None,
+    ):
+        self.spark, self.path, self.catalog_name = spark, path, catalog_name
         self.schema, self.partition = schema, partition
 
     def create(self) -> None:
         """Create the table unless it is there."""
         rows = empty(self.spark, self.schema)
-        rows.write.mode("ignore").partitionBy(self.partition).parquet(self.path)
+        writer = rows.write.mode("ignore").partitionBy(self.partition)
+        if self.catalog_name:
+            writer.format("parquet").saveAsTable(self.catalog_name)
+        else:
+            writer.parquet(self.path)
 
     def read(self) -> DataFrame:
+        if self.catalog_name:
+            return self.spark.table(self.catalog_name).select(*self.schema.names)
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
     def append(self, rows: DataFrame, compact: bool = False) -> None:
@@ -37,18 +55,32 @@ class PartitionedTable:
         ``compact`` rebalances mixed input into few files per day, splitting big days."""
         if compact:
             rows = rows.hint("rebalance", F.col(self.partition))
-        rows.write.mode("append").partitionBy(self.partition).parquet(self.path)
+        if self.catalog_name:
+            self._insert(rows, overwrite=False)
+        else:
+            rows.write.mode("append").partitionBy(self.partition).parquet(self.path)
+
+    def _insert(self, rows: DataFrame, overwrite: bool) -> None:
+        """Into the catalog's table, whose partition column stands last."""
+        columns = [c for c in self.schema.names if c != self.partition] + [self.partition]
+        writer = rows.select(*columns).write.option("partitionOverwriteMode", "dynamic")
+        writer.insertInto(self.catalog_name, overwrite)
 
     def upsert(self, batch: DataFrame, keys: list[str], staging: Staging) -> None:
         """Replace rows of the batch's keys and add its other rows. Only the partitions
-        the batch touches are read and rewritten. Keys must include the partition."""
+        the batch touches are read and rewritten. Keys must include the partition. A batch
+        that holds a key twice is refused before anything is written."""
         fixed = staging.write(batch.select(*self.schema.names), "upsert-batch").df
+        refuse_repeated_keys(fixed, keys)
         # One value per day of the batch.
         days = [r[0] for r in fixed.select(self.partition).distinct().collect()]
         if not days:
             return
         touched = self.read().where(F.col(self.partition).isin(days))
         merged = staging.write(upsert(touched, fixed, keys), "upsert-merged").df
+        if self.catalog_name:
+            self._insert(merged, overwrite=True)
+            return
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -57,38 +89,64 @@ class PartitionedTable:
         )
 
 
+def _lake_table(
+    spark: SparkSession, lake: str, name: str, schema: T.StructType, partition: str
+) -> PartitionedTable:
+    """A ``lake`` with a slash or a scheme is a folder, anything else a catalog schema such
+    as ``traffic`` or ``spark_catalog.traffic``."""
+    if "/" in lake:
+        return PartitionedTable(spark, f"{lake}/{name}", schema, partition)
+    return PartitionedTable(spark, None, schema, partition, f"{lake}.{name}")
+
+
 def raw_packets(spark: SparkSession, lake: str) -> PartitionedTable:
-    return PartitionedTable(spark, f"{lake}/packets", RAW_PACKETS, "partition_date")
+    return _lake_table(spark, lake, "packets", RAW_PACKETS, "partition_date")
 
 
 def daily_aggregate(spark: SparkSession, lake: str) -> PartitionedTable:
-    return PartitionedTable(spark, f"{lake}/daily_aggregate", DAILY_AGGREGATE, "date")
+    return _lake_table(spark, lake, "daily_aggregate", DAILY_AGGREGATE, "date")
+
+
+class ItemWriter(Protocol):
+    """What ``put_items`` needs of an external store's writer."""
 
+    def put(self, item: dict) -> None: ...
 
-def put_items(
-    rows: DataFrame, open_writer: Callable[[], Callable[[dict], None]], key: list[str]
-) -> None:
-    """Hand each row to an external store's writer, one writer per partition. A failing
-    writer fails the job. Writers must replace items of equal key, as a retried task
-    sends its rows again."""
+    def close(self) -> None:
+        """Called once after the last item; a writer that buffers sends the rest here."""
+
+
+def put_items(rows: DataFrame, open_writer: Callable[[], ItemWriter], key: list[str]) -> None:
+    """Hand each row to an external store's writer: one writer per partition, closed after
+    its last row. A failing writer, also in ``close``, fails the job. Writers must replace
+    items of equal key, as a retried task sends its rows again."""
 
     def send(items: Iterator[Row]) -> None:
-        put = open_writer()
-        for item in items:
-            put(item.asDict())
+        writer = open_writer()
+        with contextlib.closing(writer):
+            for item in items:
+                writer.put(item.asDict())
 
     rows.dropDuplicates(key).foreachPartition(send)
 
 
 class Warehouse:
-    """The star schema. Four tables are append-only. ``users_dim`` changes, so every
-    state of it is a new version folder, and the highest finished one is current: a
-    failed write leaves the current state alone, and no folder in use is overwritten."""
+    """The star schema. Four tables are append-only. Of ``users_dim`` the current rows are a
+    new version folder after each change, and the highest finished one counts; the rows that a
+    change closes are added once, in a folder of the same version. So a failed write leaves the
+    state alone and its repetition overwrites what it left, closed rows are never written
+    again, and only ``keep`` versions of the current rows are kept.
+
+    The highest key of each keyed table is in a table of its own (``key_marks``), raised before
+    the rows that use the new keys are written. A load that fails in between leaves a gap in
+    the keys and never uses one twice; no load reads keys from its table.
+    """
 
     VERSIONED = "users_dim"
+    KEYED = ("ip_dim", "users_dim", "packets_fact")
 
-    def __init__(self, spark: SparkSession, location: str):
-        self.spark, self.location = spark, location
+    def __init__(self, spark: SparkSession, location: str, keep: int = 2):
+        self.spark, self.location, self.keep = spark, location, max(1, keep)
 
     def _schema(self, table: str) -> T.StructType:
         rules = STAR_SCHEMA[table]
@@ -97,41 +155,81 @@ class Warehouse:
         return T.StructType([*rules.schema, T.StructField(rules.partition, T.IntegerType())])
 
     def _path(self, table: str) -> str:
-        if table == self.VERSIONED:
-            return f"{self.location}/{table}/version={max(self._versions())}"
         return f"{self.location}/{table}"
 
+    def _files(self, path: str):
+        """Hadoop's path and its file system."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop, hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _finished(self, folder: str) -> list[str]:
         """Folders of the pattern that a finished write has marked."""
-        jvm = self.spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.location}/{folder}/_SUCCESS")
-        fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        pattern, fs = self._files(f"{self.location}/{folder}/_SUCCESS")
         return [s.getPath().getParent().getName() for s in fs.globStatus(pattern) or []]
 
-    def _versions(self) -> list[int]:
-        return [int(name.split("=")[1]) for name in self._finished(f"{self.VERSIONED}/*")]
+    def _versions(self, folder: str = "users_dim/current") -> list[int]:
+        return sorted(int(name.split("=")[1]) for name in self._finished(f"{folder}/version=*"))
+
+    def _drop_old(self, folder: str) -> None:
+        for version in self._versions(folder)[: -self.keep]:
+            path, fs = self._files(f"{self.location}/{folder}/version={version}")
+            fs.delete(path, True)
 
     def create(self) -> None:
-        """Create the tables that are not there."""
+        """Create the tables that are not there, and the key marks from the tables' keys."""
         there = self._finished("*")
         for table, rules in STAR_SCHEMA.items():
-            if table in there:
-                continue
             if table == self.VERSIONED:
                 if not self._versions():
                     self.replace_users(empty(self.spark, rules.schema))
                 continue
+            if table in there:
+                continue
             writer = empty(self.spark, self._schema(table)).write.mode("ignore")
             if rules.partition:
                 writer = writer.partitionBy(rules.partition)
             writer.parquet(self._path(table))
+        for table in self.KEYED:
+            if not self._versions(f"key_marks/{table}"):
+                self.mark_key(table, last_key(self.read(table), STAR_SCHEMA[table].key))
+
+    def last_key(self, table: str) -> int:
+        """The highest key given out so far, from the table's mark: one row."""
+        version = self._versions(f"key_marks/{table}")[-1]
+        mark = self.spark.read.schema("last_key long").parquet(
+            f"{self.location}/key_marks/{table}/version={version}"
+        )
+        return mark.first()[0]
+
+    def mark_key(self, table: str, last: int) -> None:
+        """Raise the mark of a table before rows with keys up to ``last`` are written."""
+        folder = f"key_marks/{table}"
+        version = max(self._versions(folder), default=0) + 1
+        mark = self.spark.range(1).select(F.lit(last).cast("long").alias("last_key")).coalesce(1)
+        mark.write.mode("overwrite").parquet(f"{self.location}/{folder}/version={version}")
+        self._drop_old(folder)
 
     def read(self, table: str) -> DataFrame:
         """A table's rows. The fact table also shows its partition column ``date_day``:
         filter on it to read only some days."""
+        if table == self.VERSIONED:
+            return self.current_users().unionByName(self._closed_users())
         schema = self._schema(table)
         return self.spark.read.schema(schema).parquet(self._path(table))
 
+    def current_users(self) -> DataFrame:
+        """The current rows of ``users_dim``, without its closed ones."""
+        schema = STAR_SCHEMA[self.VERSIONED].schema
+        path = f"{self.location}/users_dim/current/version={self._versions()[-1]}"
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _closed_users(self) -> DataFrame:
+        """Closed rows of all changes up to the current version."""
+        schema = STAR_SCHEMA[self.VERSIONED].schema
+        versioned = T.StructType([*schema, T.StructField("version", T.LongType())])
+        closed = self.spark.read.schema(versioned).parquet(f"{self.location}/users_dim/closed")
+        return closed.where(F.col("version") <= self._versions()[-1]).select(*schema.names)
+
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t).select(*STAR_SCHEMA[t].schema.names) for t in STAR_SCHEMA}
 
@@ -161,7 +259,12 @@ class Warehouse:
         return seen.get["rows"]
 
     def replace_users(self, state: DataFrame) -> None:
+        """The current rows after a change, and the rows it has closed, as one ``state``
+        without rows closed before."""
         version = max(self._versions(), default=0) + 1
-        schema = STAR_SCHEMA[self.VERSIONED].schema
-        path = f"{self.location}/{self.VERSIONED}/version={version}"
-        state.select(*schema.names).write.mode("overwrite").parquet(path)
+        state = state.select(*STAR_SCHEMA[self.VERSIONED].schema.names)
+        folder = f"{self.location}/users_dim"
+        closed, current = state.where("not current_flag"), state.where("current_flag")
+        closed.write.mode("overwrite").parquet(f"{folder}/closed/version={version}")
+        current.write.mode("overwrite").parquet(f"{folder}/current/version={version}")
+        self._drop_old("users_dim/current")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import uuid
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,14 +56,41 @@ def _quoted_empty_to_null(field: T.StructField):
     return column
 
 
+def write_named(rows: DataFrame, name: Column, destination: str, compression: str = "none") -> None:
+    """Rows as CSV files of the given names under ``destination``. Files that are there stay,
+    but for those of an equal name, which are replaced. Rows of a name that several tasks hold
+    become several files, ``name-00000.csv`` and so on, each with the header.
+
+    Spark writes each name's rows into a folder of its own in a working folder; what was
+    written is then moved, which changes names only.
+    """
+    spark, work = rows.sparkSession, f"{destination}/_work-{uuid.uuid4().hex}"
+    options = {"header": "true", "compression": compression}
+    rows.withColumn("_file", name).write.partitionBy("_file").options(**options).csv(work)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    ending = ".csv.gz" if compression == "gzip" else ".csv"
+    for folder in fs.globStatus(path(f"{work}/_file=*")) or []:
+        base = unquote(folder.getPath().getName().removeprefix("_file="))
+        for old in fs.globStatus(path(f"{destination}/{base}*{ending}")) or []:
+            rest = old.getPath().getName().removeprefix(base).removesuffix(ending)
+            if re.fullmatch(r"(-\d{5})?", rest):
+                fs.delete(old.getPath(), False)
+        parts = fs.globStatus(path(f"{folder.getPath().toString()}/part-*"))
+        parts = sorted(p.getPath().toString() for p in parts)
+        for n, part in enumerate(parts):
+            number = f"-{n:05d}" if len(parts) > 1 else ""
+            fs.rename(path(part), path(f"{destination}/{base}{number}{ending}"))
+    fs.delete(path(work), True)
+
+
 def archive_traffic(spark: SparkSession, path: str | list[str], destination: str) -> None:
-    """Rewrite traffic files as gzip files under ``destination``, one per input split."""
-    (
-        spark.read.schema(TRAFFIC_CSV)
-        .options(**CSV_OPTIONS)
-        .csv(path)
-        .write.mode("overwrite")
-        .option("header", "true")
-        .option("compression", "gzip")
-        .csv(destination)
-    )
+    """Keep traffic files as gzip files of their own names under ``destination``, beside those
+    that are there. Two files of one name are refused, as one would replace the other."""
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.csv)?(\.gz)?$", 1)
+    rows = spark.read.schema(TRAFFIC_CSV).options(**CSV_OPTIONS).csv(path)
+    sources = rows.select(F.col("_metadata.file_path").alias("path"), name.alias("name")).distinct()
+    twice = sources.groupBy("name").count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"several files are named {[r.name for r in twice]}")
+    write_named(rows, name, destination, "gzip")

@@ -10,11 +10,12 @@ instants between ``with_event_time`` and ``closed_minutes`` and the session must
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from wirestar.functions import columns as C
@@ -91,17 +92,18 @@ def write_minute_files(
     path: str,
     checkpoint: str,
     lateness: str = "10 minutes",
+    rows_per_file: int = 1_000_000,
 ) -> DataStreamWriter:
     """A writer of closed minutes as traffic files (CSV, by day), to be started by the
-    caller. A minute closes in one batch, so its total is known there. A batch writes
+    caller. A batch writes one file for about ``rows_per_file`` rows, not one per task. A minute closes in one batch, so its total is known there. A batch writes
     into its own folder, which a repeated batch overwrites: no row is written twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pairs = batch.persist()
-        totals = pairs.groupBy("minute").agg(F.sum("kb_bandwidth").alias("total_kb_bandwidth"))
+        files = -(-max(1, pairs.count()) // rows_per_file)
         try:
             (
-                minute_report(pairs, totals)
+                minute_report(pairs)
                 .select(
                     F.lit(user_name).alias("user_name"),
                     C.minute_text(F.col("minute")).alias("time_stamp"),
@@ -112,6 +114,7 @@ def write_minute_files(
                     F.to_date("minute").alias("partition_date"),
                     F.lit(batch_id).alias("batch"),
                 )
+                .repartitionByRange(files, "partition_date", "time_stamp")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .option("header", "true")
@@ -140,6 +143,41 @@ def write_top_pairs(
     return packets.writeStream.option("checkpointLocation", checkpoint).foreachBatch(report)
 
 
+class LateRows(StreamingQueryListener):
+    """Counts, per query, the rows that came later than its lateness allows. Such rows are in
+    no minute; each batch that has some says so."""
+
+    def __init__(self, tell: Callable[[str], None] = print):
+        self.tell, self.rows = tell, {}
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        if late:
+            query = str(event.progress.id)
+            self.rows[query] = self.rows.get(query, 0) + late
+            self.tell(f"batch {event.progress.batchId}: {late} rows too late, in no minute")
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query's recent batches left out as too late."""
+    states = (s for p in query.recentProgress for s in p["stateOperators"])
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
+
+
+def compact_minute_files(spark: SparkSession, path: str, day: dt.date, into: str) -> None:
+    """The minute files of a finished day as few files under ``into``."""
+    rows = spark.read.schema(TRAFFIC_CSV).options(**CSV_OPTIONS).csv(f"{path}/partition_date={day.isoformat()}/*")
+    rows = rows.hint("rebalance")
+    target = f"{into}/partition_date={day.isoformat()}"
+    rows.write.mode("overwrite").option("header", "true").csv(target)
+
+
 def run_available(writer: DataStreamWriter) -> StreamingQuery:
     """Process what is there and stop."""
     query = writer.trigger(availableNow=True).start()
