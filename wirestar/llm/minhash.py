@@ -48,7 +48,9 @@ HASHES = ROWS * BANDS
 LEAST_AGREEING = int(HASHES * 0.75 - 6 * (HASHES * 0.75 * 0.25) ** 0.5)
 #: Buckets of at most so many members are paired directly.
 SMALL_BUCKET = 8
-BLOCK = 256
+#: A block of a large bucket has about so many members at most, and shingles in all.
+BLOCK = 1_000
+BLOCK_SHINGLES = 150_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWER = np.uint64(1099511628211)
@@ -215,12 +217,15 @@ def leftovers(
     """Links between members of one bucket that are in different components so far."""
     named = components.select(F.col("node").alias("doc_id"), "component")
     members = buckets.join(named, "doc_id", "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
     )
     members = staging.write(members, "members").df
     mixed = members.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n")
-    ).where("least < most").select("key", "n")
+        F.min("component").alias("least"),
+        F.max("component").alias("most"),
+        F.count("*").alias("n"),
+        F.sum("n_shingles").alias("shingles"),
+    ).where("least < most").select("key", "n", "shingles")
     open_members = staging.write(members.join(mixed, "key"), "open").df
     small = open_members.where(F.col("n") <= SMALL_BUCKET)
     other = small.select("key", F.col("doc_id").alias("v"), F.col("component").alias("component_v"))
@@ -236,10 +241,11 @@ def leftovers(
 def _compare_blocks(
     large: DataFrame, signed: DataFrame, docs: DataFrame, staging: Staging, percent: int
 ) -> DataFrame:
-    """Buckets dealt into blocks of about BLOCK members; each two blocks meet in one task with
-    signatures and sets."""
+    """Buckets dealt into blocks; each two blocks meet in one task with signatures and sets.
+    How many blocks a bucket has follows from its members and their shingles, so that a task's
+    memory has a bound also where long texts meet."""
     sets = sets_of(large.select("doc_id"), docs, staging)
-    blocks = F.ceil(F.col("n") / BLOCK)
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     own = F.pmod(F.xxhash64("doc_id"), blocks)
     meets = F.transform(
         F.sequence(F.lit(0).cast("long"), blocks - 1),
@@ -394,12 +400,12 @@ def drop_near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCE
 
 
 def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:
-    """(key, doc_id) of all band buckets with at least two members."""
+    """(key, doc_id, n_shingles) of all band buckets with at least two members."""
     @F.pandas_udf(ArrayType(LongType()))
     def keys(signature: pd.Series) -> pd.Series:
         return pd.Series([band_keys(np.frombuffer(s, "<u2")).view(np.int64) for s in signature])
 
-    banded = leaders.select("doc_id", F.explode(keys("signature")).alias("key"))
+    banded = leaders.select("doc_id", "n_shingles", F.explode(keys("signature")).alias("key"))
     banded = staging.write(banded, "bands").df
     shared = banded.groupBy("key").count().where("count > 1").select("key")
-    return staging.write(banded.join(shared, "key").select("key", "doc_id"), "shared-bands").df
+    return staging.write(banded.join(shared, "key").select("key", "doc_id", "n_shingles"), "shared-bands").df
