@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as p
 from wirestar.llm.common import documents
@@ -45,3 +46,24 @@ def test_run_packs_what_the_stages_keep(spark, sf_dir):
     assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
     assert max(r.offset + r.length for r in rows) <= 2048
     assert public_tokenizers.path("byte_bpe_50k.json") == p.BYTE_BPE
+
+
+CLASHING = ["_sha", "_found", "_gone", "_id", "_text", "_spans", "_keep_id", "score", "row", "spans",
+            "key", "kept", "component", "set_hash", "signature", "n_shingles", "hash", "norm", "piece"]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_keep_clashing_columns(spark, small, number):
+    docs = documents(spark, small)
+    more = docs.withColumns({c: F.lit(i) for i, c in enumerate(CLASHING)})
+    name, stage = p.STAGES[number]
+    kept = stage(spark, more, small)
+    assert kept.columns == more.columns
+    rows = kept.collect()
+    assert rows and all([r[c] for c in CLASHING] == list(range(len(CLASHING))) for r in rows)
+    assert stage(spark, more.limit(0), small).count() == 0
+
+
+def test_packing_takes_clashing_columns(spark, small):
+    more = documents(spark, small).withColumns({c: F.lit(1) for c in CLASHING})
+    assert p.STAGES[4][1](spark, more, small).count() == len(DOCS)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wirestar.llm.common import SPACES, text_or_empty
+from wirestar.llm.common import SPACES, free_name, text_or_empty
 from wirestar.sources.staging import Staging
 
 BUCKET_CAPACITY = 65_536
@@ -155,21 +155,19 @@ def find_duplicates(
 def drop_duplicates(docs: DataFrame, staging: Staging) -> DataFrame:
     """Rows of ``docs`` that stay, with all their columns. Of rows that repeat both id and
     text, any one stays."""
+    names = ("_sha", "_keep_id", "_keep_sha", "_again_id", "_again_sha")
+    sha, keep_id, keep_sha, again_id, again_sha = (free_name(docs, n) for n in names)
     found = staging.write(find_duplicates(docs, staging), "duplicates").df
-    stays = found.where("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")
-    )
-    repeated = found.groupBy("doc_id", "text_sha256").count().where("count > 1")
-    repeated = repeated.select(
-        F.col("doc_id").alias("_again_id"), F.col("text_sha256").alias("_again_sha")
-    )
-    named = docs.withColumn("_sha", F.sha2(normalised().cast("binary"), 256))
-    kept = named.join(
-        stays,
-        F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("_keep_sha")),
-        "left_semi",
-    )
-    again = F.col("doc_id").eqNullSafe(F.col("_again_id")) & (F.col("_sha") == F.col("_again_sha"))
-    once = kept.join(repeated, again, "left_anti")
-    first = kept.join(repeated, again, "left_semi").dropDuplicates(["doc_id", "_sha"])
-    return once.unionByName(first).drop("_sha")
+    ids = F.col("doc_id"), F.col("text_sha256")
+    stays = found.where("kept").select(ids[0].alias(keep_id), ids[1].alias(keep_sha))
+    repeated = found.groupBy(*ids).count().where("count > 1")
+    repeated = repeated.select(ids[0].alias(again_id), ids[1].alias(again_sha))
+    named = docs.withColumn(sha, F.sha2(normalised().cast("binary"), 256))
+
+    def same(other_id: str, other_sha: str) -> Column:
+        return F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(sha) == F.col(other_sha))
+
+    kept = named.join(stays, same(keep_id, keep_sha), "left_semi")
+    once = kept.join(repeated, same(again_id, again_sha), "left_anti")
+    first = kept.join(repeated, same(again_id, again_sha), "left_semi").dropDuplicates(["doc_id", sha])
+    return once.unionByName(first).drop(sha)

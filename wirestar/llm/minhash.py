@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from wirestar.llm.common import text_or_empty
+from wirestar.llm.common import free_name, text_or_empty
 from wirestar.sources.staging import Staging
 
 WORDS = 5
@@ -394,9 +394,10 @@ def drop_near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCE
     """Rows of ``docs`` that stay, with all their columns: the smallest id of each component,
     and all rows without an id."""
     found = near_duplicates(docs, staging, percent)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"))
+    name = free_name(docs, "_gone")
+    gone = found.where("not kept").select(F.col("doc_id").alias(name))
     gone = staging.write(gone, "gone").df
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wirestar.llm.common import text_or_empty
+from wirestar.llm.common import free_name, text_or_empty
 from wirestar.sources.staging import Staging
 
 #: A value with so many owners or more is a widely copied example.
@@ -239,14 +239,15 @@ def mask_live(docs: DataFrame, staging: Staging) -> DataFrame:
     """All rows of ``docs`` with their columns; in their texts, secrets that look live are
     masked. Only documents with live spans are looked up; a repeated id's rows are matched by
     their texts as well."""
-    rows = docs.withColumn("_sha", F.sha2(text_or_empty().cast("binary"), 256))
-    scanned = scan(rows, staging, keep=["_sha"])
+    sha, id_, text_, spans = (free_name(docs, n) for n in ("_sha", "_id", "_text", "_spans"))
+    rows = docs.withColumn(sha, F.sha2(text_or_empty().cast("binary"), 256))
+    scanned = scan(rows, staging, keep=[sha])
     live = scanned.where(F.exists("spans", lambda s: s["live"]))
-    live = live.select(F.col("doc_id").alias("_id"), F.col("_sha").alias("_text"), "spans")
-    live = staging.write(live.dropDuplicates(["_id", "_text"]), "live").df
-    live = live.withColumnRenamed("spans", "_spans")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_text"))
+    live = live.select(
+        F.col("doc_id").alias(id_), F.col(sha).alias(text_), F.col("spans").alias(spans)
+    )
+    live = staging.write(live.dropDuplicates([id_, text_]), "live").df
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(sha) == F.col(text_))
     found = rows.join(live, same, "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text"))
-    text = text.otherwise(masked(F.col("text"), F.col("_spans")))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(spans)))
     return found.withColumn("text", text).select(*docs.columns)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
-from wirestar.llm.common import id_remainder, text_or_empty
+from wirestar.llm.common import free_name, id_remainder, text_or_empty
 from wirestar.sources.staging import Staging
 
 SAMPLE = 9_000
@@ -295,8 +295,8 @@ def set_curve(sample: DataFrame, model: Model) -> Model:
 # --- scoring --------------------------------------------------------------------------------
 
 
-def with_evidence(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``_found``: its score, evidence and number of matched clauses. Only texts
+def with_evidence(docs: DataFrame, model: Model, name: str = "_found") -> DataFrame:
+    """``docs`` with a struct of this ``name``: each text's score, evidence and number of matched clauses. Only texts
     go to Python and only these numbers come back."""
     @F.pandas_udf(_FOUND)
     def found(texts: pd.Series) -> pd.DataFrame:
@@ -309,7 +309,7 @@ def with_evidence(docs: DataFrame, model: Model) -> DataFrame:
             "clauses": np.array([n for _, n in evidence], dtype=np.int64),
         })
 
-    return docs.withColumn("_found", found(text_or_empty()))
+    return docs.withColumn(name, found(text_or_empty()))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
@@ -329,4 +329,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, staging: Staging) -> Dat
 def reject_toxic(docs: DataFrame, labels: DataFrame, staging: Staging) -> DataFrame:
     """Rows of ``docs`` that score below the threshold, with all their columns."""
     model = learn(docs, labels, staging)
-    return with_evidence(docs, model).where(F.col("_found.score") < THRESHOLD).drop("_found")
+    found = free_name(docs, "_found")
+    scored = with_evidence(docs, model, found)
+    return scored.where(F.col(found)["score"] < THRESHOLD).drop(found)
