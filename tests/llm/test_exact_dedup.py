@@ -19,7 +19,9 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, True) for i, t in rows], "doc_id long, text string, kept boolean")
 
 
-def test_groups_equal_plain_grouping(spark, staging):
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_groups_equal_plain_grouping(spark, staging, monkeypatch, broadcast):
+    monkeypatch.setattr(m, "BROADCAST_KEYS", broadcast)
     norm = {t: re.sub(r"[ \t-\r]+", " ", t or "") for _, t in ROWS}
     groups = defaultdict(list)
     for i, t in ROWS:

@@ -29,6 +29,8 @@ BUCKET_CAPACITY = 65_536
 MAX_DEPTH = 16
 #: Tasks over which the copies of one text are spread until equal texts have been combined.
 SALTS = 32
+#: Contested keys that may be broadcast: 1.6 MB as rows.
+BROADCAST_KEYS = 100_000
 
 
 def normalised(text: str | Column = "text") -> Column:
@@ -115,15 +117,20 @@ def compare_bytes(docs: DataFrame, index: Index, staging: Staging) -> DataFrame:
     """Texts of all keys that more than one document has, told apart by their bytes:
     (key, sha, copies, chain), where ``chain`` is the number of texts under that key.
 
-    The contested keys are written first, so that Spark knows their size: few are broadcast
-    and only contested texts are shuffled; many are joined by salted shuffles."""
+    The contested keys are written first, and counted: at most ``BROADCAST_KEYS`` are
+    broadcast, and then only contested texts are shuffled. More are joined by shuffles in which
+    the copies of one text are spread over ``SALTS`` tasks."""
     contested = index.entries.groupBy("key").agg(F.sum("rows").alias("n")).where("n > 1")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    contested = staging.write(contested.select("key"), "contested")
     text = normalised()
     suspects = docs.select(text.alias("norm"), F.xxhash64(text).alias("key"))
-    suspects = suspects.withColumn("salt", (F.rand(0) * SALTS).cast("int"))
-    contested = staging.write(contested.select("key", salts), "contested").df
-    suspects = suspects.join(contested, ["key", "salt"], "left_semi")
+    if contested.rows <= BROADCAST_KEYS:
+        suspects = suspects.join(F.broadcast(contested.df), "key", "left_semi")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        suspects = suspects.withColumn("salt", (F.rand(0) * SALTS).cast("int"))
+        salted = contested.df.select("key", salts).hint("merge")
+        suspects = suspects.join(salted, ["key", "salt"], "left_semi")
     texts = suspects.groupBy("key", "norm").agg(F.count(F.lit(1)).alias("copies"))
     texts = texts.select("key", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "copies")
     chained = texts.groupBy("key").agg(F.collect_list(F.struct("sha", "copies")).alias("texts"))
