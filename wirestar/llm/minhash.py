@@ -149,19 +149,23 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, shingles) with the full sets as array<bigint>."""
+    """(doc_id, signature, shingles) with the full sets as array<bigint>."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, signer = Shingler(), Signer()
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                found = shingler.shingles(text.as_py()).view(np.int64)
+                found = shingler.shingles(text.as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_id], pa.int64()), pa.array([found], pa.list_(pa.int64()))],
-                    names=["doc_id", "shingles"],
+                    [
+                        pa.array([doc_id], pa.int64()),
+                        pa.array([signer.sign(found).tobytes()], pa.binary()),
+                        pa.array([found.view(np.int64)], pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "signature", "shingles"],
                 )
 
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return texts.mapInArrow(gather, "doc_id long, shingles array<bigint>")
+    return texts.mapInArrow(gather, "doc_id long, signature binary, shingles array<bigint>")
 
 
 # --- links ----------------------------------------------------------------------------------
@@ -199,6 +203,7 @@ def confirm(
     near = sized.where(_agreeing("signature_u", "signature_v") >= LEAST_AGREEING)
     near = staging.write(near.select("u", "v"), "near").df
     sets = sets_of(near.select(F.explode(F.array("u", "v")).alias("doc_id")), docs, staging)
+    sets = sets.select("doc_id", "shingles")
     left, right = sets.toDF("u", "set_u"), sets.toDF("v", "set_v")
     found = near.join(left, "u").join(right, "v").where(linked_sets(F.col("set_u"), F.col("set_v"), percent))
     return staging.write(found.select("u", "v"), "links").df
@@ -224,8 +229,8 @@ def leftovers(
         F.min("component").alias("least"),
         F.max("component").alias("most"),
         F.count("*").alias("n"),
-        F.sum("n_shingles").alias("shingles"),
-    ).where("least < most").select("key", "n", "shingles")
+        F.sum("n_shingles").alias("total"),
+    ).where("least < most").select("key", "n", "total")
     open_members = staging.write(members.join(mixed, "key"), "open").df
     small = open_members.where(F.col("n") <= SMALL_BUCKET)
     other = small.select("key", F.col("doc_id").alias("v"), F.col("component").alias("component_v"))
@@ -235,17 +240,17 @@ def leftovers(
     large = open_members.where(F.col("n") > SMALL_BUCKET)
     if large.isEmpty():
         return links
-    return links.unionByName(_compare_blocks(large, signed, docs, staging, percent))
+    return links.unionByName(_compare_blocks(large, docs, staging, percent))
 
 
 def _compare_blocks(
-    large: DataFrame, signed: DataFrame, docs: DataFrame, staging: Staging, percent: int
+    large: DataFrame, docs: DataFrame, staging: Staging, percent: int
 ) -> DataFrame:
     """Buckets dealt into blocks; each two blocks meet in one task with signatures and sets.
     How many blocks a bucket has follows from its members and their shingles, so that a task's
     memory has a bound also where long texts meet."""
     sets = sets_of(large.select("doc_id"), docs, staging)
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
     own = F.pmod(F.xxhash64("doc_id"), blocks)
     meets = F.transform(
         F.sequence(F.lit(0).cast("long"), blocks - 1),
@@ -253,8 +258,8 @@ def _compare_blocks(
             F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("block")
         ),
     )
-    rows = large.select("key", "doc_id", "component", F.inline(meets))
-    rows = rows.join(signed.select("doc_id", "signature"), "doc_id").join(sets, "doc_id")
+    rows = large.join(sets, "doc_id")
+    rows = rows.select("key", "doc_id", "component", "signature", "shingles", F.inline(meets))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.drop_duplicates("doc_id")
