@@ -117,22 +117,15 @@ def last_per_pair(packets: DataFrame, sequence: str) -> DataFrame:
     fixed-width state and hash, not sort. Packets without a running total have NULL there."""
     if "total_bandwidth_kb" not in packets.columns:
         packets = packets.withColumn("total_bandwidth_kb", F.lit(None).cast("double"))
-    pairs = packets.groupBy(
-        F.to_date("time_stamp").alias("date"), "source_ip", "destination_ip"
-    ).agg(
-        F.max_by("bandwidth_kb", sequence).alias("kb_bandwidth"),
-        F.max_by("total_bandwidth_kb", sequence).alias("_total"),
-        F.max(sequence).alias("_last"),
+    date = F.to_date("time_stamp")
+    pairs = packets.groupBy(date.alias("date"), "source_ip", "destination_ip").agg(
+        F.max_by("bandwidth_kb", sequence).alias("kb_bandwidth")
     )
-    days = pairs.groupBy("date").agg(F.max_by("_total", "_last").alias("total_kb_bandwidth"))
-    joined = pairs.join(days.withColumnRenamed("date", "_date"), F.col("date").eqNullSafe(F.col("_date")))
-    return joined.select(
-        "date",
-        "source_ip",
-        "destination_ip",
-        "kb_bandwidth",
-        "total_kb_bandwidth",
+    # One row per task and day: small enough to be broadcast, whatever the pairs are.
+    days = packets.groupBy(date.alias("_date")).agg(
+        F.max_by("total_bandwidth_kb", sequence).alias("total_kb_bandwidth")
     )
+    return pairs.join(days, F.col("date").eqNullSafe(F.col("_date"))).drop("_date")
 
 
 def local_addresses(hours: DataFrame, pattern: str = PRIVATE_ADDRESS) -> DataFrame:
