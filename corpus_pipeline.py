@@ -7,7 +7,6 @@ last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wirestar.llm import exact_dedup, minhash, packing, secrets, toxicity
 from wirestar.llm.queries import BYTE_BPE

@@ -5,7 +5,6 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

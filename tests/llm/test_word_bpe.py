@@ -4,7 +4,6 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

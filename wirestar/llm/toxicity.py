@@ -230,7 +230,7 @@ def learn(docs: DataFrame, labels: DataFrame, staging: Staging, most: int = SAMP
         rows = [(s, *c) for s, c in counts.items()]
         columns = list(zip(*rows)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())],
+            [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))],
             names=["stem", "clean", "toxic"],
         )
 
@@ -238,7 +238,8 @@ def learn(docs: DataFrame, labels: DataFrame, staging: Staging, most: int = SAMP
         occurrences, "stem string, clean long, toxic long"
     )
     counted = counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    totals = {r.toxic: r["count"] for r in sample.groupBy((F.col("toxic") == 1).alias("toxic")).count().collect()}
+    by_label = sample.groupBy((F.col("toxic") == 1).alias("toxic")).count()
+    totals = {r.toxic: r["count"] for r in by_label.collect()}
     stems = choose_stems(
         [(r.stem, r.clean, r.toxic) for r in counted.collect()],  # at most MOST_CANDIDATES
         totals.get(False, 0), totals.get(True, 0),
@@ -296,8 +297,8 @@ def set_curve(sample: DataFrame, model: Model) -> Model:
 
 
 def with_evidence(docs: DataFrame, model: Model, name: str = "_found") -> DataFrame:
-    """``docs`` with a struct of this ``name``: each text's score, evidence and number of matched clauses. Only texts
-    go to Python and only these numbers come back."""
+    """``docs`` with a struct of this ``name``: each text's score, evidence and number of
+    matched clauses. Only texts go to Python and only these numbers come back."""
     @F.pandas_udf(_FOUND)
     def found(texts: pd.Series) -> pd.DataFrame:
         rules = grammar(model)

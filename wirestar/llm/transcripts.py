@@ -48,7 +48,8 @@ NAMES = {
 }
 _ROLE_OF = {name: i for i, role in enumerate(ROLES) for name in NAMES[role].split()}
 _MARKER = re.compile(
-    r"^\s*(?:#{1,4}\s*|\*\*|\[|<\|?|>\s*)?([A-Za-z]{1,14})\s*(?:\*\*\s*[:>]|[:>]|\]\s*:?|\|?>|\s*$)\s*(?:\*\*)?\s*"
+    r"^\s*(?:#{1,4}\s*|\*\*|\[|<\|?|>\s*)?([A-Za-z]{1,14})\s*"
+    r"(?:\*\*\s*[:>]|[:>]|\]\s*:?|\|?>|\s*$)\s*(?:\*\*)?\s*"
 )
 #: Markers: none, one of each role, a name not known.
 _NO_MARK, _OTHER_NAME = 0, 1 + len(ROLES)
@@ -63,6 +64,7 @@ _STYLES = (
     ("<|system|>", "<|user|>", "<|assistant|>"),
 )
 
+
 def marker(line: str) -> tuple[int, int]:
     """The marker at a line's start and where the text after it begins. A bare word is a
     marker only if it is a known name."""
