@@ -9,7 +9,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wirestar.functions import columns as C
 from wirestar.operators import aggregates, checks, dimensions, facts, history
 from wirestar.operators.lookups import Sized
 from wirestar.operators.slices import day_slice

@@ -95,8 +95,9 @@ def write_minute_files(
     rows_per_file: int = 1_000_000,
 ) -> DataStreamWriter:
     """A writer of closed minutes as traffic files (CSV, by day), to be started by the
-    caller. A batch writes one file for about ``rows_per_file`` rows, not one per task. A minute closes in one batch, so its total is known there. A batch writes
-    into its own folder, which a repeated batch overwrites: no row is written twice."""
+    caller. A minute closes in one batch, so its total is known there. A batch writes one file
+    for about ``rows_per_file`` rows, not one per task, into its own folder, which a repeated
+    batch overwrites: no row is written twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         pairs = batch.persist()
@@ -172,7 +173,9 @@ def late_rows(query: StreamingQuery) -> int:
 
 def compact_minute_files(spark: SparkSession, path: str, day: dt.date, into: str) -> None:
     """The minute files of a finished day as few files under ``into``."""
-    rows = spark.read.schema(TRAFFIC_CSV).options(**CSV_OPTIONS).csv(f"{path}/partition_date={day.isoformat()}/*")
+    rows = spark.read.schema(TRAFFIC_CSV).options(**CSV_OPTIONS).csv(
+        f"{path}/partition_date={day.isoformat()}/*"
+    )
     rows = rows.hint("rebalance")
     target = f"{into}/partition_date={day.isoformat()}"
     rows.write.mode("overwrite").option("header", "true").csv(target)
