@@ -70,8 +70,8 @@ class ChunkEncoder:
 
     def _forget(self) -> None:
         self.keys = np.zeros(self.slots, dtype=np.uint64)
-        self.entry = np.zeros(self.slots, dtype=np.int64)
-        self.begins, self.counts = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
+        self.entry = np.zeros(self.slots, dtype=np.int32)
+        self.begins, self.counts = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int32)
         self.pool = np.zeros(4096, dtype=self.dtype)
         self.entries = self.pooled = 0
 
@@ -223,7 +223,7 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return grown
 
 
-def in_pieces(texts: list[str], at_once: int = 1 << 20):
+def in_pieces(texts: list[str], at_once: int = 1 << 18):
     """Runs of texts of about ``at_once`` characters, or of one longer text."""
     run, size = [], 0
     for text in texts:

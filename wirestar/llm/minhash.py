@@ -69,7 +69,7 @@ class Shingler:
     """Sets of hashed word shingles. A word's hash is computed once per worker and then looked
     up; a full memory is emptied."""
 
-    REMEMBERED = 250_000
+    REMEMBERED = 120_000
 
     def __init__(self, words: int = WORDS):
         self.words = words
