@@ -81,3 +81,19 @@ def test_masking_live_secrets(spark, staging):
     assert by_id[2] == f"Ü𝒯 TOKEN={HEX}; Password : hunter2 [SECRET]"
     assert by_id[6] == "AKIAAAAAAAAAAAA [SECRET] x[SECRET]"
     assert by_id[8] == "[SECRET] [SECRET]"
+
+
+def test_copies_of_one_text_are_one_owner(spark, staging):
+    value = "Bearer " + "Q7" * 15
+    rows = [(i, "Use  " + value if i % 2 else "use " + value, "abc"[i % 3]) for i in range(30)]
+    shown = "Bearer " + "R8" * 15
+    rows += [(100 + i, f"{i}: {shown}", "abc"[i]) for i in range(3)]  # three texts, three owners
+    rows += [(200, f"own {shown[7:]}", "a"), (201, "x " + "A1" * 16, "a"), (202, "y " + "A1" * 16, "a"), (203, "z " + "A1" * 16, "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by_id = {r.doc_id: r for r in m.digest(m.scan(df, staging, per_text=True)).collect()}
+    assert all((r.n_live, r.n_example, r.most_owners) == (1, 0, 1) for i, r in by_id.items() if i < 30)
+    assert by_id[0].spans == "bearer:4:41" and by_id[1].spans == "bearer:5:42"
+    assert [(by_id[i].spans, by_id[i].n_live, by_id[i].n_example) for i in (100, 101, 102)] == [("bearer:3:40", 0, 1)] * 3
+    assert (by_id[203].n_live, by_id[203].most_owners) == (1, 2)
+    texts = {r.doc_id: r.text for r in m.mask_live(df, staging).collect()}
+    assert texts[0] == "use [SECRET]" and texts[1] == "Use  [SECRET]" and texts[101] == f"1: {shown}"

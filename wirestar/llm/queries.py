@@ -50,7 +50,7 @@ def op5_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark)))
+    return secrets.digest(secrets.scan(documents(spark, sf_dir), Staging(spark), per_text=True))
 
 
 def op7_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
