@@ -30,6 +30,15 @@ def test_clauses_are_scored_apart(rules):
     assert rules.evidence("x" * 300_000 + " idiot")[1] == 1
 
 
+def test_long_clauses_are_parsed_whole(rules):
+    for gap in range(380, 420):  # a second insult around the 400th character
+        assert rules.evidence("idiot " + "x" * gap + " idiot")[0] == 2 * rules.evidence("idiot")[0]
+    filler = "word " * 200
+    assert rules.evidence("you " + filler + "idiot")[0] > rules.evidence(filler + "idiot")[0]
+    assert rules.evidence("idiot " + filler + "said")[0] < rules.evidence("idiot " + filler)[0]
+    assert rules.evidence("not. " + filler + "idiot " + filler + "scum")[1] == 1
+
+
 def test_stems_need_support_and_purity():
     counts = [("lowe", 0, 40), ("lowei", 0, 40), ("begi", 30, 40), ("rare", 0, 2), ("almo", 1, 150), ("long", 5, 40), ("longer", 0, 39)]
     assert dict(m.choose_stems(counts, 2000, 160)).keys() == {"lowei", "almo", "long", "longer"}

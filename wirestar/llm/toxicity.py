@@ -10,7 +10,7 @@ clauses through a logistic curve.
 The insult transducer is learned: stems (word beginnings) that stand in toxic labelled texts,
 in several different contexts, and hardly in clean ones. The other four are fixed word lists
 in four languages. The scan for stems is an Aho-Corasick automaton, so a text without any is
-read once at its speed; only clauses around a hit are parsed.
+read once at its speed; only clauses around a hit are parsed, each whole and once, however long.
 
 Learning uses a bounded sample: ``SAMPLE`` labelled documents, least hashed ids first, from
 rows whose crc32 of the id is not held out. A document's labels count as toxic if any is.
@@ -85,8 +85,8 @@ _FOUND = (
     StructType().add("score", DoubleType()).add("evidence", DoubleType()).add("clauses", LongType())
 )
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-_CLAUSE_END = re.compile(r"[.!?;:\n]")
-_CLAUSE_SPAN = 400
+_CLAUSE_ENDS = ".!?;:\n"
+_CLAUSE_END = re.compile(f"[{_CLAUSE_ENDS}]")
 
 
 @dataclass(frozen=True)
@@ -132,16 +132,15 @@ class Grammar:
             at = last - n + 1
             if at < done or (at and text[at - 1].isalpha()):
                 continue
-            begin = max(done, at - _CLAUSE_SPAN)
-            for end in _CLAUSE_END.finditer(text, begin, at):
-                begin = end.end()
-            stop = _CLAUSE_END.search(text, at, at + _CLAUSE_SPAN)
-            done = stop.start() if stop else min(len(text), at + _CLAUSE_SPAN)
+            begin = max(done, *(text.rfind(end, done, at) + 1 for end in _CLAUSE_ENDS))
+            stop = _CLAUSE_END.search(text, at)
+            done = stop.start() if stop else len(text)
             yield begin, done
 
     def clause_score(self, clause: str) -> float:
         total, negated_at, target, reported, matches = 0.0, -REACH - 1, False, False, []
-        for i, word in enumerate(_WORD.findall(clause)):
+        for i, found in enumerate(_WORD.finditer(clause)):
+            word = found[0]
             if word in self.negations or word.endswith("n't"):
                 negated_at = i
             target = target or word in self.targets
