@@ -1,5 +1,7 @@
 """Toxicity: the grammar's compositions, and held-out accuracy."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,19 @@ def test_stems_need_support_and_purity():
     assert m.choose_stems(counts, 0, 0) == ()
 
 
+def test_rare_stems_among_many_candidates_are_learned(spark, staging):
+    pick = random.Random(5)
+    filler = ["".join(pick.choice("abcdefghij") for _ in range(8)) for _ in range(5_000)]  # > 20,000 stems
+    rows = []
+    for i in range(30):  # "zzinsult" is the last by contexts, and by alphabet
+        pick.shuffle(filler)
+        rows.append((i, f"c{i % 6} zzinsult. " + " ".join([*filler, *reversed(filler)]), 1))
+    rows += [(100 + i, "calm words", 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic long")
+    model = m.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"), staging)
+    assert any("zzinsult".startswith(stem) for stem, _ in model.stems)
+
+
 def test_held_out_documents(spark, staging):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

@@ -51,7 +51,8 @@ SAME_WORD = 0.95
 #: The curve is set on one part in CALIBRATION of the sample, which teaches no stems; there a
 #: clean document over the threshold costs as much as FALSE_ALARM toxic ones under it.
 CALIBRATION, FALSE_ALARM = 4, 4
-MOST_CANDIDATES = 20_000
+#: Stems that a task counts before it passes them on.
+COUNTED = 200_000
 THRESHOLD = 0.7
 
 # Word lists. A trailing * stands for any ending.
@@ -200,6 +201,28 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many clean and toxic texts each stem stands; a full memory is passed on."""
+    counts: dict[str, list[int]] = {}
+
+    def rows() -> pa.RecordBatch:
+        columns = list(zip(*((s, *c) for s, c in counts.items()))) or [(), (), ()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))],
+            names=["stem", "clean", "toxic"],
+        )
+
+    for batch in batches:
+        for text, label in zip(batch["text"], batch["toxic"].to_pylist()):
+            words = set(_WORD.findall(text.as_py().lower()))
+            for stem in {w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n}:
+                counts.setdefault(stem, [0, 0])[label == 1] += 1
+            if len(counts) > COUNTED:
+                yield rows()
+                counts.clear()
+    yield rows()
+
+
 def hash_of(text: str) -> int:
     from zlib import adler32, crc32
 
@@ -208,40 +231,30 @@ def hash_of(text: str) -> int:
 
 
 def learn(docs: DataFrame, labels: DataFrame, staging: Staging, most: int = SAMPLE) -> Model:
-    """Stems and curve from a bounded sample; only counts of stems reach the driver."""
+    """Stems and curve from a bounded sample. All stems are counted and weighed in Spark; only
+    counts of those that tell reach the driver."""
     sample = labelled_sample(docs, labels, staging, most)
     own = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(CALIBRATION)) == 0
     unseen, sample = sample.where(own), sample.where(~own)
     toxic = sample.where("toxic = 1").select("text")
     contexts = toxic.mapInArrow(_contexts, "stem string, context long").distinct()
     candidates = contexts.groupBy("stem").agg(F.count("*").alias("contexts"))
-    candidates = candidates.where(F.col("contexts") >= LEAST_CONTEXTS)
-    top = candidates.orderBy(F.desc("contexts"), "stem").limit(MOST_CANDIDATES).collect()
-    wanted = frozenset(r.stem for r in top)
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list[int]] = {}
-        for batch in batches:
-            for text, label in zip(batch["text"], batch["toxic"].to_pylist()):
-                words = set(_WORD.findall(text.as_py().lower()))
-                for stem in {w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n} & wanted:
-                    counts.setdefault(stem, [0, 0])[label == 1] += 1
-        rows = [(s, *c) for s, c in counts.items()]
-        columns = list(zip(*rows)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))],
-            names=["stem", "clean", "toxic"],
-        )
-
+    candidates = candidates.where(F.col("contexts") >= LEAST_CONTEXTS).select("stem")
+    by_label = sample.groupBy((F.col("toxic") == 1).alias("toxic")).count()
+    totals = {r.toxic: r["count"] for r in by_label.collect()}
+    clean_total, toxic_total = totals.get(False, 0), totals.get(True, 0)
     counted = sample.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(
-        occurrences, "stem string, clean long, toxic long"
+        _occurrences, "stem string, clean long, toxic long"
     )
     counted = counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    by_label = sample.groupBy((F.col("toxic") == 1).alias("toxic")).count()
-    totals = {r.toxic: r["count"] for r in by_label.collect()}
+    # A stem that as good as always begins one longer stem is as strong as that one up to this
+    # factor, so all that choose_stems compares with are here.
+    weight = F.log((F.col("toxic") + 0.5) / (toxic_total + 1)) - F.log((F.col("clean") + 0.5) / (clean_total + 1))
+    strong = (F.col("toxic") >= LEAST_CONTEXTS) & (weight >= LEAST_WEIGHT + math.log(SAME_WORD) - 1e-6)
+    strong = counted.where(strong).join(candidates, "stem")
     stems = choose_stems(
-        [(r.stem, r.clean, r.toxic) for r in counted.collect()],  # at most MOST_CANDIDATES
-        totals.get(False, 0), totals.get(True, 0),
+        [(r.stem, r.clean, r.toxic) for r in strong.collect()],  # telling stems alone
+        clean_total, toxic_total,
     )
     return set_curve(unseen, Model(stems))
 
