@@ -94,3 +94,10 @@ def test_signature_estimates_similarity():
 def test_empty_table(spark, staging):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert m.near_duplicates(empty, staging).count() == 0
+
+
+def test_a_lower_threshold_than_the_bands_are_made_for_is_refused(spark, staging):
+    df = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    for operator in (m.near_duplicates, m.drop_near_duplicates):
+        with pytest.raises(ValueError, match="percent=50"):
+            operator(df, staging, percent=50)

@@ -354,7 +354,10 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+    """One row per document: doc_id, n_shingles, component_id, kept. ``percent`` is at least
+    ``PERCENT``, for which the bands and ``LEAST_AGREEING`` are made."""
+    if percent < PERCENT:
+        raise ValueError(f"percent={percent} is below {PERCENT}, so links would be missed")
     signed = staging.write(signatures(docs), "signed").df
     known = signed.where("doc_id is not null").dropDuplicates(["doc_id"])
     filled = known.where("set_hash is not null")
