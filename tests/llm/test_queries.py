@@ -19,6 +19,11 @@ COLUMNS = {
     "op8_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op9_minhash": ["doc_id", "n_shingles", "component_id", "kept"],
     "op10_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op11_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+    "op12_hard_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score",
+                            "negative_score"],
+    "op13_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                             "groups_sha256"],
 }
 
 
@@ -35,7 +40,7 @@ def test_columns_and_rows(spark, sf_dir, name):
     assert set(COLUMNS[name]) <= set(columns)
     if df_columns:
         assert df_columns[: len(COLUMNS[name])] == COLUMNS[name]
-    if name not in ("op7_transcripts", "op10_packing"):
+    if name not in ("op7_transcripts", "op10_packing", "op12_hard_negatives"):
         at = columns.index("doc_id")
         assert len({r[at] for r in rows}) == len(rows) == 200
     if name in ORACLE:

@@ -1,0 +1,128 @@
+import hashlib
+import math
+import zlib
+from collections import Counter
+
+import pytest
+
+from wirestar.llm import sharding
+from wirestar.llm.sharding import Shard, balanced_tree, shard_documents, with_new_shard
+
+
+def brute_shard(doc_id, tree):
+    """Descent in plain Python."""
+    def winner(children):
+        def draw(name, weight):
+            digits = hashlib.md5(f"{name}/{key}".encode()).hexdigest()[: sharding.DIGITS]
+            u = (int(digits, 16) + 0.5) / 16**sharding.DIGITS
+            return -math.log(u) / weight, name
+
+        return min(draw(n, w) for n, w in children.items())[1]
+
+    key = "null" if doc_id is None else str(doc_id)
+    tree = [s for s in tree if s.weight > 0]
+
+    def weights(level, shards):
+        sums = Counter()
+        for s in shards:
+            sums[level(s)] += s.weight
+        return sums
+
+    region = winner(weights(lambda s: s.region, tree))
+    tree = [s for s in tree if s.region == region]
+    rack = winner(weights(lambda s: s.rack, tree))
+    tree = [s for s in tree if s.rack == rack]
+    return int(winner(weights(lambda s: f"shard{s.number}", tree))[5:])
+
+
+def placed(spark, rows, tree, staging, grown=None, schema="doc_id long, text string"):
+    grown = grown or with_new_shard(tree)
+    df = shard_documents(spark.createDataFrame(rows, schema), tree, grown, staging)
+    return [r.asDict() for r in df.collect()]
+
+
+def test_whole_table_against_brute_force(spark, sf_dir, staging):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    tree = balanced_tree()
+    grown = with_new_shard(tree)
+    found = {r["doc_id"]: r for r in shard_documents(docs, tree, grown, staging).collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert found.keys() == texts.keys()
+    slots = Counter()
+    for doc_id in sorted(texts):
+        data, row = (texts[doc_id] or "").encode(), found[doc_id]
+        shard = brute_shard(doc_id, tree)
+        assert (row["size"], row["text_crc32"]) == (len(data) + 16, zlib.crc32(data))
+        assert (row["law"], row["shard"], row["slot"]) == ("key", shard, slots[shard])
+        assert row["grown_shard"] == brute_shard(doc_id, grown)
+        assert (row["region"], row["rack"]) == (tree[shard].region, tree[shard].rack)
+        slots[shard] += 1
+
+
+def shards_of(spark, tree, n=20_000):
+    ids = spark.range(n).withColumn("shard", sharding.shard_of(sharding.F.col("id"), tree))
+    return [r["shard"] for r in ids.orderBy("id").collect()]
+
+
+def test_new_shard_takes_rows_only_into_itself(spark):
+    before = shards_of(spark, balanced_tree())
+    after = shards_of(spark, with_new_shard(balanced_tree()))
+    moved = [(b, a) for b, a in zip(before, after) if b != a]
+    assert {a for _, a in moved} == {40}
+    assert abs(len(moved) - len(before) / 41) < 5 * (len(before) / 41) ** 0.5
+    assert len({b for b, _ in moved}) == 40
+
+
+def test_weights_decide_shares_and_movement_stays_in_the_subtree(spark):
+    tree = [Shard(f"r{i // 4}", f"k{i // 2}", i, 1.0 + i % 3) for i in range(12)]
+    before = shards_of(spark, tree)
+    total = sum(s.weight for s in tree)
+    for number, n in Counter(before).items():
+        expected = len(before) * tree[number].weight / total
+        assert abs(n - expected) < 5 * expected**0.5
+    raised = [Shard(s.region, s.rack, s.number, 3.0 * s.weight if s.number == 5 else s.weight) for s in tree]
+    moves = {(b, a) for b, a in zip(before, shards_of(spark, raised)) if b != a}
+    assert moves and all(tree[a].region == "r1" for _, a in moves)
+    assert all(a == 5 for b, a in moves if tree[b].rack == "k2")
+    assert all(tree[a].rack == "k2" for b, a in moves if tree[b].region == "r1")
+    lowered = [Shard(s.region, s.rack, s.number, 0.0 if s.number == 5 else s.weight) for s in tree]
+    moves = {(b, a) for b, a in zip(before, shards_of(spark, lowered)) if b != a}
+    assert moves and all(tree[b].region == "r1" for b, _ in moves)
+    assert 5 not in set(shards_of(spark, lowered))
+
+
+def test_order_of_the_tree_does_not_matter(spark):
+    tree = balanced_tree()
+    assert shards_of(spark, tree, 500) == shards_of(spark, tree[::-1], 500)
+
+
+def test_nulls_repeats_long_texts_and_extra_columns(spark, staging):
+    rows = [(1, "a", 9), (1, "a", 9), (1, "b", 9), (None, "a", 9), (None, None, 9), (2, "", 9),
+            (3, None, 9), (4, "é" * 300_000, 9)]
+    found = placed(spark, rows, balanced_tree(2), staging, schema="doc_id long, text string, shard int")
+    assert len(found) == len(rows)
+    for number in {r["shard"] for r in found}:
+        slots = sorted(r["slot"] for r in found if r["shard"] == number)
+        assert slots == list(range(len(slots)))
+    assert len({r["shard"] for r in found if r["doc_id"] is None}) == 1
+    assert {(r["size"], r["text_crc32"]) for r in found if r["doc_id"] in (2, 3)} == {(16, 0)}
+    assert {r["size"] for r in found if r["doc_id"] == 4} == {600_016}
+    last = max(found, key=lambda r: (r["doc_id"] is None, r["slot"]))
+    assert last["doc_id"] is None
+
+
+def test_hot_id_over_many_tasks(spark, staging):
+    hot = [(None, "copy")] * 3_000 + [(i, "x") for i in range(300)]
+    found = placed(spark, hot, balanced_tree(), staging)
+    number = brute_shard(None, balanced_tree())
+    slots = sorted(r["slot"] for r in found if r["shard"] == number)
+    assert slots == list(range(len(slots))) and len(slots) >= 3_000
+
+
+def test_empty_table(spark, staging):
+    assert placed(spark, [], balanced_tree(), staging) == []
+
+
+@pytest.mark.parametrize("shards", [1, 7])
+def test_small_trees(spark, shards):
+    assert set(shards_of(spark, balanced_tree(shards), 300)) == set(range(shards))

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from wirestar.llm import (
     exact_dedup,
+    hard_negatives,
     language_id,
     minhash,
     packing,
     secrets,
+    sharding,
     syncmers,
+    token_alignment,
     token_files,
     toxicity,
     transcripts,
@@ -26,6 +29,7 @@ from wirestar.sources.staging import Staging
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +79,22 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), BYTE_BPE, Staging(spark))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = sharding.balanced_tree()
+    grown = sharding.with_new_shard(tree)
+    return sharding.shard_documents(documents(spark, sf_dir), tree, grown, Staging(spark))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), Staging(spark))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(
+        documents(spark, sf_dir), BYTE_BPE, PIECE_BPE, Staging(spark)
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -86,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
+    "op11_sharding": op11_sharding,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
@@ -100,4 +123,27 @@ ORACLE: dict[str, str] = {
                CAST(1 AS INTEGER) AS chain_length
         FROM t WINDOW same AS (PARTITION BY norm)
     """,
+    "op12_hard_negatives": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same,
+                   CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+            FROM v a JOIN v r ON a.vec_id <> r.vec_id
+            WHERE a.vec_id % 50 = 0
+        ), p AS (
+            SELECT anchor_id, row_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id
+                                       ORDER BY score DESC, row_id) AS INTEGER) AS rank,
+               row_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3
+    """,
 }
