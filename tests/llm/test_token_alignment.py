@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from sentencepiece import SentencePieceProcessor
@@ -113,9 +114,16 @@ def test_every_character_before_and_after_a_cut(libraries):
         assert written.decode() == expected, hex(points[i])
 
 
-def test_links_of_repeated_ids_are_counted():
-    cuts = [([1, 1, 2], [5, 5]), ([1], [5])]
-    assert A.links(cuts) == {1 << A.B_BITS | 5: 5, 2 << A.B_BITS | 5: 2}
+@pytest.mark.parametrize("listed", [0, 3, 4_096])
+def test_links_of_small_and_large_groups(monkeypatch, listed):
+    monkeypatch.setattr(A, "LISTED", listed)
+    a, b = np.array([1, 1, 2, 1, 7]), np.array([5, 5, 5, 8])
+    pairs, times, by_group = A.links(a, b, np.array([3, 4, 5]), np.array([2, 3, 4]))
+    found = Counter()
+    for pair, n in zip(pairs.tolist(), times.tolist()):
+        found[pair >> A.B_BITS, pair & 0xFFFF] += n
+    assert found == {(1, 5): 5, (2, 5): 2, (7, 8): 1}
+    assert by_group.sum() == len(pairs) == len(times)
 
 
 def test_forgetting_and_long_chunks_change_nothing():

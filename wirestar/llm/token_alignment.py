@@ -6,15 +6,16 @@ that both dictionaries have, sorted, cut both id lists into groups, and every to
 a group is linked with every token of the other.
 
 A space or line feed after a visible character begins a token on both sides, and what stands before
-it does not matter to what follows. So texts are cut there, each different chunk is encoded and
-aligned once per worker, and a text's groups are those of its chunks in turn. The memory has a
-fixed size; when full it is emptied. Longer chunks are aligned each time.
+it does not matter to what follows. So texts are cut there, the different chunks that a worker does
+not remember are aligned together, and a text's groups are those of its chunks in turn. The memory
+has a fixed size: two generations, of which the older is forgotten when the younger is full.
 
-How many documents have a pair of ids linked is summed per task and then per pair, so a pair that
-all documents share is one row per task. The counts are then joined to each document's different
-pairs: broadcast where they were counted below ``BROADCAST_PAIRS``, else by a shuffle; the number
-of rows that have a pair there is at most the number of documents, so no pair is hotter than one
-in a document's many.
+Texts are read and tokenized once. Each document's numbers, its different pairs and how often
+each is linked are written to the shared folder. From there Spark counts the documents of each
+pair, summed per task first, so a pair that all documents share is one row per task. The counts
+are joined to the documents' pairs: broadcast where they were counted below ``BROADCAST_PAIRS``,
+else by a shuffle; a pair has at most one row of a document there, so none is hotter than one in
+a document's many.
 
 Nulls: a null text, an empty one, and one whose joined tokens are not the space and the text (the
 piece model writes U+2581 for a space, so a text that has it is not) have no tokens: all
@@ -32,10 +33,11 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wirestar.sources.staging import Staging
@@ -44,78 +46,91 @@ from wirestar.sources.staging import Staging
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: A chunk is encoded after this letter, a piece of its own, so that the dummy space is not its.
 _LEAD = "x"
-#: Chunks remembered by a worker, and the longest of them in characters.
-REMEMBERED = 150_000
+#: Chunks in a generation of a worker's memory, and the longest of them in characters.
+REMEMBERED = 120_000
 LONGEST = 48
-#: Different pairs that a task holds before it hands on their counts.
-HELD_PAIRS = 1_000_000
+#: New chunks in one text for the libraries.
+JOINED = 64
+#: Links of a group up to which they are listed; larger groups count equal ids first.
+LISTED = 4_096
 #: Pair counts that may be broadcast: about 50 MB.
 BROADCAST_PAIRS = 1_000_000
 #: Bits of a pair for the second id.
 B_BITS = 31
 
-_SUMS = (
-    "doc_id long, n_a long, n_b long, n_groups long, n_links long,"
-    " d0 long, d1 long, d2 long, d3 long, pairs array<bigint>, times array<bigint>"
-)
+_NUMBERS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+_ALIGNED = _NUMBERS + ", pairs array<bigint>, times array<bigint>"
 
 
 # --- alignment ----------------------------------------------------------------------------------
 
 
-def ends(sizes: list[int]) -> dict[int, int]:
+def ends(sizes: np.ndarray) -> dict[int, int]:
     """How many tokens end at or before each byte offset where one ends."""
-    found, at = {}, 0
-    for n, size in enumerate(sizes, 1):
-        at += size
-        found[at] = n
-    return found
+    return dict(zip(np.cumsum(sizes).tolist(), range(1, len(sizes) + 1)))
 
 
-def groups(
-    a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]
-) -> list[tuple[list[int], list[int]]]:
-    """The ids of both sides between offsets where tokens of both end."""
+def common_ends(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Offsets where tokens of both sides end, in order, and how many tokens each side has up to
+    there: where the groups end."""
     a_ends, b_ends = ends(a_sizes), ends(b_sizes)
-    cuts, i, j = [], 0, 0
-    for offset in sorted(a_ends.keys() & b_ends.keys()):
-        cuts.append((a[i : a_ends[offset]], b[j : b_ends[offset]]))
-        i, j = a_ends[offset], b_ends[offset]
-    return cuts
-
-
-def links(cuts: list[tuple[list[int], list[int]]]) -> Counter:
-    """How often each pair of ids is linked: in every group, all of one side with all of the
-    other. Equal ids of a side are counted before they are paired."""
-    found: Counter = Counter()
-    for left, right in cuts:
-        if len(left) == len(right) == 1:
-            found[left[0] << B_BITS | right[0]] += 1
-            continue
-        others = Counter(right).items()
-        for x, n in Counter(left).items():
-            for y, m in others:
-                found[x << B_BITS | y] += n * m
-    return found
-
-
-class Chunk:
-    """What a document needs of a chunk: numbers of tokens, groups and links, the groups as
-    text, and its different pairs with how often each is linked."""
-
-    __slots__ = ("sizes", "written", "pairs", "times")
-
-    def __init__(self, cuts: list[tuple[list[int], list[int]]]):
-        n_links = sum(len(a) * len(b) for a, b in cuts)
-        self.sizes = (
-            sum(len(a) for a, _ in cuts), sum(len(b) for _, b in cuts), len(cuts), n_links
-        )
-        self.written = ";".join(
-            ",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in cuts
-        ).encode()
-        found = links(cuts)
-        self.pairs = np.fromiter(found.keys(), np.int64, len(found)).tobytes()
-        self.times = np.fromiter(found.values(), np.int64, len(found)).tobytes()
+    offsets = sorted(a_ends.keys() & b_ends.keys())
+    return tuple(
+        np.fromiter(found, np.int64, len(offsets))
+        for found in (offsets, map(a_ends.get, offsets), map(b_ends.get, offsets))
+    )
+
+
+def links(a: np.ndarray, b: np.ndarray, a_cuts, b_cuts) -> tuple[np.ndarray, ...]:
+    """Pairs linked in each group, how often, and the number of them by group. A pair comes as
+    often as it is linked, but in large groups once."""
+    n_a, n_b = (np.diff(cuts, prepend=0) for cuts in (a_cuts, b_cuts))
+    listed = n_a * n_b
+    large = np.flatnonzero(listed > LISTED)
+    listed[large] = 0
+    total = np.cumsum(listed)
+    within = np.arange(total[-1] if len(total) else 0) - np.repeat(total - listed, listed)
+    width = np.repeat(n_b, listed)
+    left = a[np.repeat(a_cuts - n_a, listed) + within // np.maximum(width, 1)]
+    right = b[np.repeat(b_cuts - n_b, listed) + within % np.maximum(width, 1)]
+    pairs, times = left << B_BITS | right, np.ones(len(left), np.int64)
+    for g in reversed(large.tolist()):
+        x, n = np.unique(a[a_cuts[g] - n_a[g] : a_cuts[g]], return_counts=True)
+        y, m = np.unique(b[b_cuts[g] - n_b[g] : b_cuts[g]], return_counts=True)
+        listed[g] = len(x) * len(y)
+        at = int(total[g])
+        pairs = np.insert(pairs, at, ((x << B_BITS)[:, None] | y).reshape(-1))
+        times = np.insert(times, at, np.outer(n, m).reshape(-1))
+    return pairs, times, listed
+
+
+class Writer:
+    """Groups as text, ``a1,a2|b1;a3|b2,b3;``: an id is its digits and the sign after it."""
+
+    def __init__(self, size: int):
+        digits = np.arange(size).astype("S7").reshape(-1, 1).view(np.uint8).reshape(size, 7)
+        self.letters = np.concatenate([digits, np.zeros((size, 1), np.uint8)], axis=1)
+        self.lengths = (digits > 0).sum(axis=1) + 1
+
+    def write(self, a: np.ndarray, b: np.ndarray, a_cuts, b_cuts) -> tuple[bytes, np.ndarray]:
+        """The text, and where in it each group ends."""
+        n_a, n_b = (np.diff(cuts, prepend=0) for cuts in (a_cuts, b_cuts))
+        group_ends = a_cuts + b_cuts
+        ids = np.empty(len(a) + len(b), np.int64)
+        a_at = np.arange(len(a)) + np.repeat(b_cuts - n_b, n_a)
+        b_at = np.arange(len(b)) + np.repeat(a_cuts, n_b)
+        ids[a_at], ids[b_at] = a, b
+        letters = self.letters[ids]
+        letters[:, 7] = ord(",")
+        letters[group_ends - n_b - 1, 7] = ord("|")
+        letters[group_ends - 1, 7] = ord(";")
+        upto = np.cumsum(self.lengths[ids])
+        return letters.tobytes().translate(None, b"\0"), upto[group_ends - 1]
+
+
+#: Of a chunk: numbers of tokens of both sides, groups and links; the groups as text; its pairs
+#: and how often each is linked, as 64-bit integers.
+Chunk = tuple[tuple[int, int, int, int], bytes, bytes, bytes]
 
 
 @functools.lru_cache(maxsize=2)
@@ -135,12 +150,17 @@ class Aligner:
         self.a.no_padding()
         self.a.encode_special_tokens = True
         vocabulary = self.a.get_vocab(with_added_tokens=True)
-        self.a_size = {i: len(token) for token, i in vocabulary.items()}  # a character for a byte
+        self.a_sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.a_sizes[i] = len(token)  # one character stands for one byte
         self.b = SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [self._bytes_of(i) for i in range(self.b.get_piece_size())]
+        self.b_sizes = np.array(list(map(len, self.b_bytes)), np.int64)
         self.lead = self.b.encode(_LEAD)
+        self.writer = Writer(max(len(self.a_sizes), len(self.b_bytes)))
         self.remembered = remembered
-        self.known: dict[str, Chunk | None] = {}
+        self.young: dict[str, Chunk | None] = {}
+        self.old: dict[str, Chunk | None] = {}
 
     def _bytes_of(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -149,48 +169,81 @@ class Aligner:
         return piece.replace("▁", " ").encode()
 
     def _align(self, chunks: list[str]) -> list[Chunk | None]:
-        """Chunks aligned, or None where the joined tokens are not the chunk."""
-        a_ids = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
-        b_ids = self.b.encode([_LEAD + c for c in chunks], num_threads=1)
-        found = []
-        for chunk, a, b in zip(chunks, a_ids, b_ids):
-            data, b = chunk.encode(), b[len(self.lead) :]
-            a_sizes = [self.a_size[i] for i in a]
-            pieces = [self.b_bytes[i] for i in b]
-            whole = sum(a_sizes) == len(data) and b"".join(pieces) == data
-            found.append(Chunk(groups(a, b, a_sizes, list(map(len, pieces)))) if whole else None)
-        return found
+        """Chunks aligned, or None where the joined tokens are not the chunk. Where a chunk ends,
+        tokens of both sides end, so many are aligned in one pass."""
+        joined = ["".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)]
+        encoded = self.a.encode_batch_fast(joined, add_special_tokens=False)
+        a = np.fromiter(chain.from_iterable(e.ids for e in encoded), np.int64)
+        pieces = self.b.encode([_LEAD + text for text in joined], num_threads=1)
+        b_ids = list(chain.from_iterable(ids[len(self.lead) :] for ids in pieces))
+        data = "".join(joined).encode()
+        whole = b"".join(map(self.b_bytes.__getitem__, b_ids)) == data
+        if not whole or self.a_sizes[a].sum() != len(data):
+            if len(chunks) == 1:
+                return [None]
+            half = len(chunks) // 2
+            return self._align(chunks[:half]) + self._align(chunks[half:])
+        b = np.array(b_ids, np.int64)
+        offsets, a_cuts, b_cuts = common_ends(self.a_sizes[a], self.b_sizes[b])
+        pairs, times, listed = links(a, b, a_cuts, b_cuts)
+        written, written_ends = self.writer.write(a, b, a_cuts, b_cuts)
+        n_links = np.diff(a_cuts, prepend=0) * np.diff(b_cuts, prepend=0)
+        chunk_ends = np.cumsum([len(c.encode()) for c in chunks])
+        last = np.searchsorted(offsets, chunk_ends)  # a chunk's last group
+        upto = np.stack([a_cuts[last], b_cuts[last], last + 1, np.cumsum(n_links)[last]], axis=1)
+        sizes = list(map(tuple, np.diff(upto, axis=0, prepend=0).tolist()))
+        pair_cuts = (8 * np.cumsum(listed)[last]).tolist()
+        text_cuts = written_ends[last].tolist()
+        pairs, times = pairs.tobytes(), times.tobytes()
+        return [
+            (numbers, written[t:u], pairs[p:q], times[p:q])
+            for numbers, t, u, p, q in zip(
+                sizes, [0, *text_cuts], text_cuts, [0, *pair_cuts], pair_cuts
+            )
+        ]
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[list[Chunk], list[int], bytes]]:
         """Per text: its different chunks, how often it has each, and its groups as text. A text
         without tokens has no chunks."""
         cut = [_CUT.split(" " + t) if t else [] for t in texts]
-        if len(self.known) > self.remembered:
-            self.known.clear()
-        new = list({c for chunks in cut for c in chunks} - self.known.keys())
-        known = self.known
-        aligned = dict(zip(new, self._align(new))) if new else {}
-        known.update((c, found) for c, found in aligned.items() if len(c) <= LONGEST)
+        if len(self.young) > self.remembered:
+            self.old, self.young = self.young, {}
+        found, new = {}, []
+        for c in {c for chunks in cut for c in chunks}:
+            if c in self.young:
+                found[c] = self.young[c]
+            elif c in self.old:
+                found[c] = self.young[c] = self.old[c]
+            else:
+                new.append(c)
+        if new:
+            # White space alone could join what stands after it.
+            blank = [c for c in new if not c.strip()]
+            visible = [c for c in new if c.strip()]
+            aligned = [one for c in blank for one in self._align([c])]
+            aligned += self._align(visible) if visible else []
+            fresh = dict(zip(blank + visible, aligned))
+            found.update(fresh)
+            self.young.update((c, f) for c, f in fresh.items() if len(c) <= LONGEST)
         for chunks in cut:
             counted = Counter(chunks)
-            found = {c: known[c] if c in known else aligned[c] for c in counted}
-            if None in found.values():
+            own = [found[c] for c in counted]
+            if None in own:
                 yield [], [], b""
             else:
-                written = {c: f.written for c, f in found.items()}
-                yield (
-                    list(found.values()), list(counted.values()),
-                    b";".join(map(written.__getitem__, chunks)),
-                )
+                written = {c: f[1] for c, f in zip(counted, own)}
+                yield own, list(counted.values()), b"".join(map(written.get, chunks))[:-1]
 
 
 def document_pairs(chunks: list[Chunk], times: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """The different pairs of a document and how often each is linked."""
-    pairs = np.frombuffer(b"".join(c.pairs for c in chunks), np.int64)
-    linked = np.frombuffer(b"".join(c.times for c in chunks), np.int64)
-    linked = linked * np.repeat(times, [len(c.pairs) // 8 for c in chunks])
-    found, place = np.unique(pairs, return_inverse=True)
-    return found, np.bincount(place, weights=linked, minlength=len(found)).astype(np.int64)
+    pairs = np.frombuffer(b"".join(c[2] for c in chunks), np.int64)
+    linked = np.frombuffer(b"".join(c[3] for c in chunks), np.int64)
+    linked = linked * np.repeat(times, [len(c[2]) // 8 for c in chunks])
+    order = np.argsort(pairs, kind="stable")
+    pairs = pairs[order]
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    return pairs[first], np.add.reduceat(linked[order], first)
 
 
 # --- operator -----------------------------------------------------------------------------------
@@ -210,38 +263,35 @@ def _runs(batch: pa.RecordBatch, at_once: int = 1 << 18) -> Iterator[tuple[list,
         yield ids, texts
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, staging: Staging) -> tuple[DataFrame, int]:
+def aligned_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Of each row of ``docs``: doc_id, n_a, n_b, n_groups, n_links, groups_sha256, and the
+    different pairs with how often each is linked."""
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = aligner(a_path, b_path)
+        for batch in batches:
+            for ids, texts in _runs(batch):
+                rows = []
+                for doc_id, (chunks, times, written) in zip(ids, both.align(texts)):
+                    if not chunks:
+                        rows.append((doc_id, 0, 0, 0, 0, "", [], []))
+                        continue
+                    sizes = np.array([c[0] for c in chunks]) * np.array(times)[:, None]
+                    digest = hashlib.sha256(written).hexdigest()
+                    rows.append((doc_id, *sizes.sum(axis=0).tolist(), digest,
+                                 *document_pairs(chunks, times)))
+                kinds = [pa.int64()] * 5 + [pa.string()] + [pa.list_(pa.int64())] * 2
+                arrays = [pa.array(c, type=kind) for c, kind in zip(zip(*rows), kinds)]
+                names = [field.split()[0] for field in _ALIGNED.split(", ")]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return docs.select("doc_id", "text").mapInArrow(align, _ALIGNED)
+
+
+def pair_counts(aligned: DataFrame, staging: Staging) -> tuple[DataFrame, int]:
     """(pair, n, best): in how many documents each pair of ids is linked, and whether no other
     pair of its first id is in more. And the number of pairs."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = aligner(a_path, b_path)
-        held, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-        waiting, size = [], 0
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([held, *waiting])
-            weights = np.ones(len(keys))
-            weights[: len(held)] = counts
-            found, place = np.unique(keys, return_inverse=True)
-            return found, np.bincount(place, weights=weights, minlength=len(found)).astype(np.int64)
-
-        for batch in batches:
-            for _, texts in _runs(batch):
-                for chunks, times, _ in align.align(texts):
-                    if chunks:
-                        waiting.append(np.unique(np.frombuffer(
-                            b"".join(c.pairs for c in chunks), np.int64)))
-                        size += len(waiting[-1])
-                if size >= HELD_PAIRS:
-                    (held, counts), waiting, size = merged(), [], 0
-                    if len(held) >= HELD_PAIRS:
-                        yield pa.RecordBatch.from_arrays([held, counts], names=["pair", "n"])
-                        held, counts = held[:0], counts[:0]
-        held, counts = merged()
-        yield pa.RecordBatch.from_arrays([held, counts], names=["pair", "n"])
-
-    parts = docs.select("doc_id", "text").mapInArrow(count, "pair long, n long")
-    counted = staging.write(parts.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
+    apart = aligned.select(F.explode("pairs").alias("pair"))
+    counted = staging.write(apart.groupBy("pair").agg(F.count(F.lit(1)).alias("n")), "pair-counts")
     a_id = F.shiftright("pair", B_BITS)
     best = counted.df.groupBy(a_id.alias("a")).agg(F.max("n").alias("most"))  # at most a vocabulary
     marked = counted.df.join(F.broadcast(best), a_id == F.col("a"))
@@ -254,43 +304,23 @@ def align_documents(
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256."""
-    counts, n_pairs = pair_counts(docs, a_path, b_path, staging)
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = aligner(a_path, b_path)
-        for batch in batches:
-            for ids, texts in _runs(batch):
-                rows = []
-                for doc_id, (chunks, times, written) in zip(ids, align.align(texts)):
-                    if not chunks:
-                        rows.append((doc_id, 0, 0, 0, 0, *[None] * 6))
-                        continue
-                    sizes = np.array([c.sizes for c in chunks]) * np.array(times)[:, None]
-                    digest = np.frombuffer(hashlib.sha256(written).digest(), ">i8").tolist()
-                    rows.append((doc_id, *sizes.sum(axis=0).tolist(), *digest,
-                                 *document_pairs(chunks, times)))
-                kinds = [pa.int64()] * 9 + [pa.list_(pa.int64())] * 2
-                arrays = [pa.array(c, type=kind) for c, kind in zip(zip(*rows), kinds)]
-                names = [field.split()[0] for field in _SUMS.split(", ")]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    found = docs.select("doc_id", "text").mapInArrow(sums, _SUMS)
-    found = found.withColumn("row", F.monotonically_increasing_id())
-    pairs = F.explode_outer(F.arrays_zip("pairs", "times")).alias("linked")
-    apart = found.select(*(c for c in found.columns if c not in ("pairs", "times")), pairs)
-    apart = apart.select("*", F.col("linked.pairs").alias("pair"), F.col("linked.times").alias("times"))
+    aligned = aligned_documents(docs, a_path, b_path)
+    aligned = aligned.withColumn("row", F.monotonically_increasing_id())
+    aligned = staging.write(aligned, "aligned").df
+    counts, n_pairs = pair_counts(aligned, staging)
     if n_pairs <= broadcast_pairs:
         counts = F.broadcast(counts)
-    # Every value is a number, so the sums stay in the hash aggregation, and a document's rows
-    # are summed in the task that has them.
-    whole = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "d0", "d1", "d2", "d3"]
-    summed = apart.drop("linked").join(counts, "pair", "left").groupBy("row").agg(
-        *(F.max(c).alias(c) for c in whole),
+    linked = F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("times").alias("times")))
+    # A document's pairs are in one task, which sums them before they are shuffled.
+    sums = aligned.select("row", linked).join(counts, "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
-        F.sum(F.coalesce(F.col("n") * F.col("times"), F.lit(0))).alias("count_sum"),
+        F.sum(F.col("n") * F.col("times")).alias("count_sum"),
     )
-    digest = F.concat(*(F.lpad(F.lower(F.hex(d)), 16, "0") for d in whole[5:]))
-    return summed.select(
-        *whole[:5], "n_best", "count_sum",
-        F.coalesce(digest, F.lit("")).alias("groups_sha256"),
+    zero = F.lit(0).cast("long")
+    return aligned.select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256").join(
+        sums, "row", "left"
+    ).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        F.coalesce("n_best", zero).alias("n_best"), F.coalesce("count_sum", zero).alias("count_sum"),
+        "groups_sha256",
     )
