@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wirestar.functions import columns as C
 from wirestar.operators import aggregates, checks, dimensions, facts, history, packet_ids
@@ -25,6 +26,8 @@ from wirestar.sources.staging import Staged, Staging
 from wirestar.sources.tables import Warehouse, raw_packets
 from wirestar.sources.tables import daily_aggregate as daily_table
 from wirestar.streaming import capture
+from wirestar.streaming.held_back import AdmissionLog, read_held_back
+from wirestar.streaming.minute_state import MinuteTables, run_until_idle, write_minute_state
 
 SLICE_DAY = dt.date(2024, 1, 4)
 SPLIT = dt.datetime(2024, 1, 16)
@@ -383,9 +386,10 @@ def count_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.count_changes(checks.table_counts(before), checks.table_counts(after))
 
 
-def _traffic_rows(packets: DataFrame) -> DataFrame:
+def _traffic_rows(packets: DataFrame, *more: str) -> DataFrame:
     """Packets as the rows of traffic files, with a running total."""
     return packets.select(
+        *more,
         "user_name",
         F.col("time_stamp").cast("string").alias("time_stamp"),
         "source_ip",
@@ -562,6 +566,80 @@ def stream_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, capture.minute_totals_stream(_event_stream(spark, sf_dir)))
 
 
+#: How long the stateful streams' minutes are, so that they hold pairs worth ranking.
+STATE_SECONDS = 86_400
+
+
+def _disordered_files(spark: SparkSession, sf_dir: str, staging: Staging) -> str:
+    """The feed as traffic files of ten days each, cut at noon. One packet in 97 has lost its
+    time, and of the others one in 89 comes two files late."""
+    packets, number = read_packets(spark, sf_dir), F.col("event_id")
+    start = F.lit(dt.datetime(2024, 1, 1, 12)).cast("timestamp_ntz")
+    seconds = F.unix_micros(F.col("time_stamp").cast("timestamp")) - F.unix_micros(
+        start.cast("timestamp"))
+    file = F.floor(seconds / F.lit(10 * 86_400 * 1_000_000)) + F.when(number % 89 == 0, 2).otherwise(0)
+    name = F.format_string("feed-%04d", (file + 1).cast("int"))
+    lost = number % 97 == 0
+    packets = packets.withColumns({
+        "time_stamp": F.when(~lost, F.col("time_stamp")), "_file": name,
+    })
+    rows = _traffic_rows(packets, "_file").repartition("_file")
+    path = staging.path("source")
+    traffic_files.write_named(rows, F.col("_file"), path)
+    return path
+
+
+def _stateful(
+    spark: SparkSession, source: str, staging: Staging, hold: int = 0, resume=None,
+    read: tuple[str, ...] = (), show=None, pattern: str = "",
+) -> MinuteTables:
+    """The tables of a new stream over the files there are, without the files ``read``."""
+    log, path = staging.path("log"), staging.path("minute-state")
+    AdmissionLog(log).write(0, read)
+    packets = read_held_back(spark, source, log, hold, 1, pattern, "name")
+    run_until_idle(write_minute_state(
+        packets, path, staging.path("checkpoint"), seconds=STATE_SECONDS, resume=resume, show=show
+    ))
+    return MinuteTables(spark, path)
+
+
+def stream_held_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read of each file while the two newest wait."""
+    staging = Staging(spark)
+    source = _disordered_files(spark, sf_dir, staging)
+    return _stateful(spark, source, staging, hold=2).packets_read()
+
+
+def stream_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets that came too late or without a time, with the reason."""
+    staging = Staging(spark)
+    source = _disordered_files(spark, sf_dir, staging)
+    return _stateful(spark, source, staging).left_out().drop("batch")
+
+
+def stream_resumed_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed days of a stream that ends after half the files, and of one without its checkpoint
+    that goes on from the open sums."""
+    staging = Staging(spark)
+    source = _disordered_files(spark, sf_dir, staging)
+    first = _stateful(spark, source, staging, hold=3)
+    point = first.resume_point("10 minutes")
+    names = tuple(r[0] for r in point.files.collect())  # one per file of the folder
+    second = _stateful(spark, source, staging, resume=point, read=names)
+    return first.closed().unionByName(second.closed())
+
+
+def stream_top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 15 busiest pairs of the newest day so far, as shown after each file."""
+    staging = Staging(spark)
+    source = _disordered_files(spark, sf_dir, staging)
+    tables = _stateful(spark, source, staging, show=lambda df, batch: None)
+    files = tables.rows("read").select("batch", "file_name").distinct()
+    newest = Window.partitionBy("file_name")
+    shown = tables.top().join(files, "batch").withColumn("newest", F.max("minute").over(newest))
+    return shown.where(F.col("minute") == F.col("newest")).drop("newest", "batch")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -611,5 +689,9 @@ QUERIES: dict[str, Query] = {
         run_day,
         stream_minute_pairs,
         stream_minute_totals,
+        stream_held_back,
+        stream_left_out,
+        stream_resumed_minutes,
+        stream_top_pairs,
     )
 }

@@ -72,6 +72,7 @@ class HeldBackReader(DataSourceStreamReader):
         self.files, self.folder = _open(options["path"])
         self.log = AdmissionLog(options["log"])
         self.hold, self.most = int(options.get("hold", HOLD)), int(options.get("max_files", 0))
+        self.by_name = options.get("order", "time") == "name"
         self.ending, self.header = options.get("ending", ""), options.get("header") == "true"
         self.seen: set[str] | None = None
         self.last = 0
@@ -91,7 +92,7 @@ class HeldBackReader(DataSourceStreamReader):
         self._load()
         listed = self.files.get_file_info(fs.FileSelector(self.folder, allow_not_found=True))
         waiting = sorted(
-            (f.mtime_ns, f.base_name) for f in listed
+            (0 if self.by_name else f.mtime_ns, f.base_name) for f in listed
             if f.type == fs.FileType.File and f.base_name not in self.seen
             and f.base_name.endswith(self.ending) and f.base_name[0] not in "._"
         )
@@ -132,7 +133,8 @@ class HeldBackReader(DataSourceStreamReader):
 
 
 class HeldBackFiles(DataSource):
-    """``format("held_back_files")`` with the options path, log, hold, max_files, ending, header."""
+    """``format("held_back_files")`` with the options path, log, hold, max_files, order (by time or
+    name), ending and header."""
 
     @classmethod
     def name(cls) -> str:
@@ -152,13 +154,15 @@ def read_held_back(
     hold: int = HOLD,
     max_files: int = 0,
     ending: str = "",
+    order: str = "time",
 ) -> DataFrame:
-    """Packets of the traffic files under ``path``, with their ``file_name``, oldest file first.
-    The newest ``hold`` files wait; ``log`` is the folder of the source's own record, one per
+    """Packets of the traffic files under ``path``, with their ``file_name``, oldest file first:
+    by when it was last written, or by ``name`` where names count up. The newest ``hold`` files wait; ``log`` is the folder of the source's own record, one per
     stream. Lines are parsed by Spark as in a batch read, a field may not hold a line break."""
     spark.dataSource.register(HeldBackFiles)
     reader = spark.readStream.format("held_back_files").options(
-        path=path, log=log, hold=str(hold), max_files=str(max_files), ending=ending, header="true"
+        path=path, log=log, hold=str(hold), max_files=str(max_files), ending=ending, order=order,
+        header="true",
     )
     lines = reader.load().where(F.length(F.trim("value")) > 0)
     return lines.select("file_name", _parsed("value").alias("row")).select("file_name", "row.*").drop(
