@@ -6,6 +6,8 @@ Loads only insert: what a dimension already holds stays as it is. The one except
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -45,7 +47,10 @@ def new_addresses(ips: DataFrame, hours: DataFrame) -> DataFrame:
 
 
 def keyed_addresses(
-    new: DataFrame, last_key: int, staging: Staging, order_by: tuple[str, ...] = ("ip_address",)
+    new: DataFrame,
+    last_key: int | Callable[[int], int],
+    staging: Staging,
+    order_by: tuple[str, ...] = ("ip_address",),
 ) -> Staged:
     """Key new addresses in address order, after the last key so far."""
     numbered = number_rows(
@@ -112,7 +117,7 @@ def close_changed(users: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def next_users(
-    users: DataFrame, latest: DataFrame, last_key: int, staging: Staging
+    users: DataFrame, latest: DataFrame, last_key: int | Callable[[int], int], staging: Staging
 ) -> Staged:
     """State of ``users_dim`` after a batch with the ``latest`` addresses: changed rows closed, their successors and
     new users added (slowly changing dimension, type 2). Unchanged users keep their row.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,7 +89,9 @@ def new_facts(facts: DataFrame, staged: DataFrame, null_safe: bool = False) -> D
     return staged.join(old, same, "left_anti")
 
 
-def key_facts(new: DataFrame, last_key: int, staging: Staging, by_day: bool = False) -> Staged:
+def key_facts(
+    new: DataFrame, last_key: int | Callable[[int], int], staging: Staging, by_day: bool = False
+) -> Staged:
     """Key new rows by falling bandwidth, after the last key so far. ``by_day`` keys the
     days one after the other, as loading them singly would."""
     rest = [c for c in MEASURES if c != "kb_bandwidth"]

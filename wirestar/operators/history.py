@@ -7,6 +7,8 @@ days before it left behind, and that is a window over at most one row per user a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -62,7 +64,7 @@ def daily_changes(users: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-def keyed_changes(changes: DataFrame, last_key: int, staging: Staging) -> Staged:
+def keyed_changes(changes: DataFrame, last_key: int | Callable[[int], int], staging: Staging) -> Staged:
     """Changes with the ``new_key`` of the row each opens, by day and user name."""
     return number_rows(
         changes,

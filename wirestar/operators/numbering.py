@@ -7,7 +7,7 @@ per partition are summed up, and every row adds its partition's offset.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,10 +29,11 @@ def number_rows(
     name: str,
     staging: Staging,
     group_by: Sequence[str] = (),
-    start: int = 0,
+    start: int | Callable[[int], int] = 0,
     dtype: T.DataType | None = None,
 ) -> Staged:
-    """Add ``name``: ``start`` + 1, 2, 3, ... in the given order, per group if grouped.
+    """Add ``name``: ``start`` + 1, 2, 3, ... in the given order, per group if grouped. Where
+    ``start`` is a function, it is called once with the number of rows, if there are any.
 
     The order must be total, or equal rows swap numbers between runs. The range sort
     uses all of its columns, so neither a hot group nor a hot leading value gathers in
@@ -52,6 +53,8 @@ def number_rows(
         offsets = _offsets(rows, list(group_by), "_part", staging if group_by else None)
         rows = _join_offsets(rows, offsets, ["_part", *group_by])
         shift = F.col("_shift")
+    if callable(start):
+        start = start(staged.rows) if staged.rows else 0
     number = F.col("_position") + shift + F.lit(1 + start)
     numbered = rows.withColumn(name, number.cast(dtype or T.LongType()))
     return Staged(numbered.drop("_position", "_part", "_shift"), staged.rows)

@@ -40,7 +40,8 @@ def run_day(
     ``scope``, ``null_safe`` and ``half_open`` are those of ``aggregates.in_scope``,
     ``facts.new_facts`` and ``day_slice``. A batch older than a user's current row is refused
     unless ``allow_back_dated``. The loads only add what is missing, so a run that
-    failed half way is completed by running it again.
+    failed half way is completed by running it again. Loads of different days may run side by
+    side: they take turns for the dimensions, and load their facts at once.
     """
     warehouse.create()
     with Staging(spark) as staging:
@@ -48,20 +49,22 @@ def run_day(
         # Five loads read the hourly sums: computed once, and far smaller than the packets.
         hours = staging.write(aggregates.hourly(sliced), "hourly")
         latest = staging.write(aggregates.latest_local_ip(hours.df, private), "latest-ips").df
-        if not allow_back_dated:
-            _refuse_back_dated(dimensions.back_dated(warehouse.current_users(), latest), day)
-        added = _together(
-            date_dim=lambda: _load_dates(warehouse, hours.df, day, last_day or day),
-            ip_dim=lambda: _load_addresses(
-                warehouse, dimensions.new_addresses(warehouse.read("ip_dim"), hours.df), staging
-            ),
-            users_dim=lambda: _load_users(warehouse, aggregates.in_scope(latest, scope), staging),
-            direction_dim=lambda: _load_directions(warehouse),
-        )
+        with warehouse.lease("dimensions"):  # what one load adds, the next one finds
+            if not allow_back_dated:
+                _refuse_back_dated(dimensions.back_dated(warehouse.current_users(), latest), day)
+            added = _together(
+                date_dim=lambda: _load_dates(warehouse, hours.df, day, last_day or day),
+                ip_dim=lambda: _load_addresses(
+                    warehouse, dimensions.new_addresses(warehouse.read("ip_dim"), hours.df), staging
+                ),
+                users_dim=lambda: _load_users(warehouse, aggregates.in_scope(latest, scope), staging),
+                direction_dim=lambda: _load_directions(warehouse),
+            )
+            users = Sized(warehouse.current_users(), warehouse.last_key("users_dim"))
         added["packets_fact"] = _load_facts(
             warehouse,
             Sized(hours.df, hours.rows),
-            Sized(warehouse.current_users(), warehouse.last_key("users_dim")),
+            users,
             staging,
             day,
             last_day or day,
@@ -91,20 +94,18 @@ def _load_addresses(
     staging: Staging,
     order_by: tuple[str, ...] = ("ip_address",),
 ) -> int:
-    start = warehouse.last_key("ip_dim")
-    new = dimensions.keyed_addresses(unkeyed, start, staging, order_by)
+    new = dimensions.keyed_addresses(unkeyed, warehouse.claims("ip_dim"), staging, order_by)
     if new.rows:
-        warehouse.mark_key("ip_dim", start + new.rows)
         warehouse.append("ip_dim", new.df)
     return new.rows
 
 
 def _load_users(warehouse: Warehouse, latest: DataFrame, staging: Staging) -> int:
-    start = warehouse.last_key("users_dim")
-    state = dimensions.next_users(warehouse.current_users(), latest, start, staging)
+    version = warehouse.users_version()
+    keys = warehouse.claims("users_dim")
+    state = dimensions.next_users(warehouse.current_users(), latest, keys, staging)
     if state.rows:  # every change adds a row, so without one the state is the same
-        warehouse.mark_key("users_dim", start + state.rows)
-        warehouse.replace_users(state.df)
+        warehouse.replace_users(state.df, version)
     return state.rows
 
 
@@ -135,10 +136,8 @@ def _load_facts(
     rows = facts.fact_staging(hours, users, sized, directions, private)
     held = warehouse.facts_between(_day_number(first), _day_number(last))
     new = facts.new_facts(held, rows, null_safe)
-    start = warehouse.last_key("packets_fact")
-    keyed = facts.key_facts(new, start, staging, by_day)
+    keyed = facts.key_facts(new, warehouse.claims("packets_fact"), staging, by_day)
     if keyed.rows:
-        warehouse.mark_key("packets_fact", start + keyed.rows)
         warehouse.append("packets_fact", keyed.df, several_days=first != last)
     return keyed.rows
 
@@ -163,40 +162,40 @@ def run_history(
     with Staging(spark) as staging:
         sliced = day_slice(packets, first, last, half_open)
         hours = staging.write(aggregates.hourly(sliced), "hourly")
-        held_users = warehouse.current_users()
-        daily = staging.write(history.daily_local_ips(hours.df, scope, private), "daily-ips").df
-        if not allow_back_dated:
-            everyone = daily
-            if scope != "per_user":
-                everyone = history.daily_local_ips(hours.df, "per_user", private)
-            _refuse_back_dated(dimensions.back_dated(held_users, everyone), first)
-
-        def load_users() -> int:
-            nonlocal in_effect
-            start = warehouse.last_key("users_dim")
-            changes = history.keyed_changes(
-                history.daily_changes(held_users, daily), start, staging
+        with warehouse.lease("dimensions"):
+            version, held_users = warehouse.users_version(), warehouse.current_users()
+            daily = staging.write(history.daily_local_ips(hours.df, scope, private), "daily-ips").df
+            if not allow_back_dated:
+                everyone = daily
+                if scope != "per_user":
+                    everyone = history.daily_local_ips(hours.df, "per_user", private)
+                _refuse_back_dated(dimensions.back_dated(held_users, everyone), first)
+
+            def load_users() -> int:
+                nonlocal in_effect
+                changes = history.keyed_changes(
+                    history.daily_changes(held_users, daily), warehouse.claims("users_dim"), staging
+                )
+                in_effect = staging.write(
+                    history.users_in_effect(held_users, changes.df, hours.df), "users-in-effect"
+                )
+                if changes.rows:
+                    state = history.users_after_history(held_users, changes.df)
+                    warehouse.replace_users(state, version)
+                return changes.rows
+
+            in_effect = None
+            added = _together(
+                date_dim=lambda: _load_dates(warehouse, hours.df, first, last),
+                ip_dim=lambda: _load_addresses(
+                    warehouse,
+                    history.new_addresses_by_day(warehouse.read("ip_dim"), hours.df),
+                    staging,
+                    ("day", "ip_address"),
+                ),
+                users_dim=load_users,
+                direction_dim=lambda: _load_directions(warehouse),
             )
-            in_effect = staging.write(
-                history.users_in_effect(held_users, changes.df, hours.df), "users-in-effect"
-            )
-            if changes.rows:
-                warehouse.mark_key("users_dim", start + changes.rows)
-                warehouse.replace_users(history.users_after_history(held_users, changes.df))
-            return changes.rows
-
-        in_effect = None
-        added = _together(
-            date_dim=lambda: _load_dates(warehouse, hours.df, first, last),
-            ip_dim=lambda: _load_addresses(
-                warehouse,
-                history.new_addresses_by_day(warehouse.read("ip_dim"), hours.df),
-                staging,
-                ("day", "ip_address"),
-            ),
-            users_dim=load_users,
-            direction_dim=lambda: _load_directions(warehouse),
-        )
         added["packets_fact"] = _load_facts(
             warehouse,
             Sized(history.with_day(hours.df), hours.rows),

@@ -57,7 +57,8 @@ class Staged:
 
 
 class Staging:
-    """Staged tables of one job. ``with Staging(spark) as staging`` drops them at the end;
+    """Staged tables of one job. ``with Staging(spark) as staging`` drops them at the end,
+    unless it ends with an error;
     otherwise the ``owned_staging`` block around it does, or else they stay as long as the
     checkpoint folder keeps them."""
 
@@ -91,5 +92,8 @@ class Staging:
     def __enter__(self) -> Staging:
         return self
 
-    def __exit__(self, *exc) -> None:
-        self.clear()
+    def __exit__(self, kind, *exc) -> None:
+        """After an error the staged tables stay: one may be the only copy of rows that a
+        failed write was to replace."""
+        if kind is None:
+            self.clear()

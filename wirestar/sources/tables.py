@@ -7,9 +7,15 @@ packets and the daily aggregate may also be tables of the session's catalog.
 from __future__ import annotations
 
 import contextlib
+import json
+import os
+import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +26,9 @@ from wirestar.operators.packet_ids import refuse_repeated_keys, upsert
 from wirestar.schemas import DAILY_AGGREGATE, RAW_PACKETS, STAR_SCHEMA, empty
 from wirestar.sources.staging import Staging
 
+#: Files that are moved into a table side by side.
+MOVES_AT_ONCE = 16
+
 
 class PartitionedTable:
     """A Parquet table partitioned by one column of its schema, in a folder or, with
@@ -46,6 +55,7 @@ class PartitionedTable:
             writer.parquet(self.path)
 
     def read(self) -> DataFrame:
+        self.finish_swaps()
         if self.catalog_name:
             return self.spark.table(self.catalog_name).select(*self.schema.names)
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
@@ -67,9 +77,13 @@ class PartitionedTable:
         writer.insertInto(self.catalog_name, overwrite)
 
     def upsert(self, batch: DataFrame, keys: list[str], staging: Staging) -> None:
-        """Replace rows of the batch's keys and add its other rows. Only the partitions
-        the batch touches are read and rewritten. Keys must include the partition. A batch
-        that holds a key twice is refused before anything is written."""
+        """Replace rows of the batch's keys and add its other rows. Keys must include the
+        partition. A batch that holds a key twice is refused before anything is written.
+
+        In a folder, only files that hold a key of the batch are read whole and written anew;
+        all others stay. In a catalog's table the days that the batch touches are. Until all new
+        files are written nothing has changed; then a plan of the swap is written, which any
+        later reader or writer of this table completes if it finds it (``finish_swaps``)."""
         fixed = staging.write(batch.select(*self.schema.names), "upsert-batch").df
         refuse_repeated_keys(fixed, keys)
         # One value per day of the batch.
@@ -77,16 +91,65 @@ class PartitionedTable:
         if not days:
             return
         touched = self.read().where(F.col(self.partition).isin(days))
-        merged = staging.write(upsert(touched, fixed, keys), "upsert-merged").df
         if self.catalog_name:
-            self._insert(merged, overwrite=True)
+            self._insert(staging.write(upsert(touched, fixed, keys), "upsert-merged").df, True)
+            return
+        table = self.spark.read.schema(self.schema).parquet(self.path)
+        in_days = table.where(F.col(self.partition).isin(days))
+        named = in_days.select(*keys, F.col("_metadata.file_path").alias("_file"))
+        hit = named.join(fixed.select(*keys), keys, "left_semi").select("_file").distinct()
+        old = sorted(r[0] for r in hit.collect())  # names of files, of which the driver has all
+        rows = fixed
+        if old:
+            # A condition on the path prunes the files that are listed for the scan.
+            rows = upsert(in_days.where(F.col("_metadata.file_path").isin(old)), fixed, keys)
+        work = f"{self.path}/_swap-{uuid.uuid4().hex}"
+        rows.select(*self.schema.names).write.partitionBy(self.partition).parquet(work)
+        self._plan_swap(work, old)
+        self.finish_swaps()
+
+    def _plan_swap(self, work: str, old: list[str]) -> None:
+        """What a swap does, in a file that stands when its name does."""
+        part, fs = _hadoop(self.spark, f"{work}/_plan.part")
+        stream = fs.create(part, True)
+        stream.write(bytearray(json.dumps(old).encode()))
+        stream.close()
+        _rename(fs, part, _hadoop(self.spark, f"{work}/_plan")[0])
+
+    def finish_swaps(self) -> None:
+        """Complete swaps that were planned: new files move into their partitions, then the
+        files that they replace are deleted, then the plan. Each step may be repeated. A working
+        folder without a plan is of an upsert that runs or has failed, and is left alone."""
+        if self.catalog_name:
             return
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
-            .parquet(self.path)
-        )
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        uri = self.spark.sparkContext._jvm.java.net.URI
+        pattern, fs = _hadoop(self.spark, f"{self.path}/_swap-*/_plan")
+        for plan in fs.globStatus(pattern) or []:
+            work = plan.getPath().getParent()
+            stream = fs.open(plan.getPath())
+            old = json.loads(bytes(stream.readAllBytes()))
+            stream.close()
+            for part in fs.globStatus(path(work, f"{self.partition}=*/*.parquet")) or []:
+                day = path(self.path, part.getPath().getParent().getName())
+                fs.mkdirs(day)
+                _rename(fs, part.getPath(), path(day, part.getPath().getName()))
+            for name in old:
+                fs.delete(path(uri(name)), False)
+            fs.delete(work, True)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """Hadoop's path and its file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _rename(fs, source, target) -> None:
+    """A file system may tell a failed rename by its result alone. A source that is gone has
+    been moved by another who completes the same swap."""
+    if not fs.rename(source, target) and fs.exists(source):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
 
 
 def _lake_table(
@@ -130,6 +193,10 @@ def put_items(rows: DataFrame, open_writer: Callable[[], ItemWriter], key: list[
     rows.dropDuplicates(key).foreachPartition(send)
 
 
+class ChangedMeanwhile(RuntimeError):
+    """Another load has changed what this one started from."""
+
+
 class Warehouse:
     """The star schema. Four tables are append-only. Of ``users_dim`` the current rows are a
     new version folder after each change, and the highest finished one counts; the rows that a
@@ -137,9 +204,11 @@ class Warehouse:
     state alone and its repetition overwrites what it left, closed rows are never written
     again, and only ``keep`` versions of the current rows are kept.
 
-    The highest key of each keyed table is in a table of its own (``key_marks``), raised before
-    the rows that use the new keys are written. A load that fails in between leaves a gap in
-    the keys and never uses one twice; no load reads keys from its table.
+    Keys are claimed before the rows that use them are written: claim number n of a table is a
+    file that only one load can create (``key_claims``), and it holds the highest key given out so
+    far. A load that finds its number taken reads the new claim and tries the next one, so loads
+    side by side never use a key twice. A load that fails leaves a gap in the keys. No load reads
+    keys from its table. Claims are never deleted, as a slow load might then claim an old number.
     """
 
     VERSIONED = "users_dim"
@@ -158,9 +227,7 @@ class Warehouse:
         return f"{self.location}/{table}"
 
     def _files(self, path: str):
-        """Hadoop's path and its file system."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop, hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return _hadoop(self.spark, path)
 
     def _finished(self, folder: str) -> list[str]:
         """Folders of the pattern that a finished write has marked."""
@@ -175,8 +242,27 @@ class Warehouse:
             path, fs = self._files(f"{self.location}/{folder}/version={version}")
             fs.delete(path, True)
 
+    @contextlib.contextmanager
+    def lease(self, name: str, wait_seconds: float = 3600) -> Iterator[None]:
+        """A block that only one load runs at a time; others wait for it. The lease of a load
+        whose driver was lost has to be deleted, which the error of those that wait says."""
+        path, until = f"{self.location}/_leases/{name}", time.time() + wait_seconds
+        while not self._create_file(path, str(time.time())):
+            if time.time() > until:
+                raise RuntimeError(f"{path} is held; if no load runs, delete it")
+            time.sleep(0.2)
+        try:
+            yield
+        finally:
+            held, fs = self._files(path)
+            fs.delete(held, False)
+
     def create(self) -> None:
-        """Create the tables that are not there, and the key marks from the tables' keys."""
+        """Create the tables that are not there, and the first key claims from their keys."""
+        with self.lease("create"):
+            self._create()
+
+    def _create(self) -> None:
         there = self._finished("*")
         for table, rules in STAR_SCHEMA.items():
             if table == self.VERSIONED:
@@ -190,24 +276,65 @@ class Warehouse:
                 writer = writer.partitionBy(rules.partition)
             writer.parquet(self._path(table))
         for table in self.KEYED:
-            if not self._versions(f"key_marks/{table}"):
-                self.mark_key(table, last_key(self.read(table), STAR_SCHEMA[table].key))
+            if not self._claims(table):
+                highest = last_key(self.read(table), STAR_SCHEMA[table].key)
+                self._create_file(self._claim_path(table, 1), str(highest))
+
+    def _claim_path(self, table: str, n: int) -> str:
+        return f"{self.location}/key_claims/{table}/{n:09d}"
+
+    def _claims(self, table: str) -> list[int]:
+        pattern, fs = self._files(f"{self.location}/key_claims/{table}/[0-9]*")
+        return sorted(int(s.getPath().getName()) for s in fs.globStatus(pattern) or [])
+
+    def _create_file(self, path: str, text: str) -> bool:
+        """Create a file unless it is there, as one step, and tell whether it was created."""
+        hadoop, fs = self._files(path)
+        if hadoop.toUri().getScheme() in (None, "file") and fs.getScheme() == "file":
+            local = hadoop.toUri().getPath()  # Hadoop's local files only look before they create
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            try:
+                with open(local, "x") as file:
+                    file.write(text)
+            except FileExistsError:
+                return False
+            return True
+        try:
+            stream = fs.create(hadoop, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        return True
+
+    def _read_file(self, path: str) -> str:
+        """A small file's text; one that another load is just writing is waited for."""
+        hadoop, fs = self._files(path)
+        for _ in range(100):
+            if size := fs.getFileStatus(hadoop).getLen():
+                stream = fs.open(hadoop)
+                text = "".join(chr(stream.read()) for _ in range(size))
+                stream.close()
+                return text
+            time.sleep(0.1)
+        raise RuntimeError(f"{path} is empty: the load that created it has failed; delete it")
 
     def last_key(self, table: str) -> int:
-        """The highest key given out so far, from the table's mark: one row."""
-        version = self._versions(f"key_marks/{table}")[-1]
-        mark = self.spark.read.schema("last_key long").parquet(
-            f"{self.location}/key_marks/{table}/version={version}"
-        )
-        return mark.first()[0]
-
-    def mark_key(self, table: str, last: int) -> None:
-        """Raise the mark of a table before rows with keys up to ``last`` are written."""
-        folder = f"key_marks/{table}"
-        version = max(self._versions(folder), default=0) + 1
-        mark = self.spark.range(1).select(F.lit(last).cast("long").alias("last_key")).coalesce(1)
-        mark.write.mode("overwrite").parquet(f"{self.location}/{folder}/version={version}")
-        self._drop_old(folder)
+        """The highest key given out so far."""
+        return int(self._read_file(self._claim_path(table, self._claims(table)[-1])))
+
+    def claim_keys(self, table: str, n: int) -> int:
+        """The key before a range of ``n`` that no other load gets."""
+        while True:
+            number = self._claims(table)[-1]
+            last = int(self._read_file(self._claim_path(table, number)))
+            if self._create_file(self._claim_path(table, number + 1), str(last + n)):
+                return last
+
+    def claims(self, table: str) -> Callable[[int], int]:
+        return lambda n: self.claim_keys(table, n)
 
     def read(self, table: str) -> DataFrame:
         """A table's rows. The fact table also shows its partition column ``date_day``:
@@ -217,6 +344,10 @@ class Warehouse:
         schema = self._schema(table)
         return self.spark.read.schema(schema).parquet(self._path(table))
 
+    def users_version(self) -> int:
+        """The version of ``users_dim`` that a change starts from."""
+        return self._versions()[-1]
+
     def current_users(self) -> DataFrame:
         """The current rows of ``users_dim``, without its closed ones."""
         schema = STAR_SCHEMA[self.VERSIONED].schema
@@ -252,19 +383,49 @@ class Warehouse:
             rows = rows.withColumn(rules.partition, C.day_of_key(F.col("date_key")))
             if several_days:
                 rows = rows.hint("rebalance", F.col(rules.partition))
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if rules.partition:
             writer = writer.partitionBy(rules.partition)
-        writer.parquet(self._path(table))
+        # Spark's committer deletes what another append to the same folder has not finished.
+        work = f"{self._path(table)}/_append-{uuid.uuid4().hex}"
+        writer.parquet(work)
+        self._move_parts(work, self._path(table))
         return seen.get["rows"]
 
-    def replace_users(self, state: DataFrame) -> None:
+    def _move_parts(self, work: str, target: str) -> None:
+        """Files of a finished write into the table, several at once, then the folder goes."""
+        folder, fs = self._files(work)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        found = [*(fs.globStatus(path(folder, "part-*")) or []),
+                 *(fs.globStatus(path(folder, "*=*/part-*")) or [])]
+
+        def move(part) -> None:
+            inside = part.getParent().getName() if "=" in part.getParent().getName() else ""
+            into = path(f"{target}/{inside}" if inside else target)
+            fs.mkdirs(into)
+            _rename(fs, part, path(into, part.getName()))
+
+        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+            list(pool.map(move, [f.getPath() for f in found]))
+        fs.delete(folder, True)
+
+    def replace_users(self, state: DataFrame, since: int = 0) -> None:
         """The current rows after a change, and the rows it has closed, as one ``state``
-        without rows closed before."""
+        without rows closed before. A change is refused if another has been finished after the
+        version ``since`` that it started from."""
         version = max(self._versions(), default=0) + 1
-        state = state.select(*STAR_SCHEMA[self.VERSIONED].schema.names)
         folder = f"{self.location}/users_dim"
-        closed, current = state.where("not current_flag"), state.where("current_flag")
-        closed.write.mode("overwrite").parquet(f"{folder}/closed/version={version}")
-        current.write.mode("overwrite").parquet(f"{folder}/current/version={version}")
+        claim = f"{folder}/_claim-{version}"
+        if (since and since != version - 1) or not self._create_file(claim, str(version)):
+            raise ChangedMeanwhile(
+                f"another load changes users_dim: load again (if none runs, delete {claim})"
+            )
+        try:
+            state = state.select(*STAR_SCHEMA[self.VERSIONED].schema.names)
+            closed, current = state.where("not current_flag"), state.where("current_flag")
+            closed.write.mode("overwrite").parquet(f"{folder}/closed/version={version}")
+            current.write.mode("overwrite").parquet(f"{folder}/current/version={version}")
+        finally:  # a finished version needs no claim, a failed one may be tried again
+            claimed, fs = self._files(claim)
+            fs.delete(claimed, False)
         self._drop_old("users_dim/current")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,9 @@ from pyspark.sql import types as T
 from wirestar.functions import columns as C
 from wirestar.schemas import TRAFFIC_CSV
 
+#: Names whose files are moved into place side by side.
+MOVES_AT_ONCE = 16
+
 # Columns go by position and the header line is skipped, whatever it says. A row that
 # does not fit the schema fails the job; with column pruning a row with too few or too
 # many fields would pass. Empty fields are null by default; the option adds the text NULL.
@@ -56,13 +60,21 @@ def _quoted_empty_to_null(field: T.StructField):
     return column
 
 
+def _move(fs, source, target) -> None:
+    """A file system may tell a failed rename by its result alone."""
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source.toString()} to {target.toString()}")
+
+
 def write_named(rows: DataFrame, name: Column, destination: str, compression: str = "none") -> None:
     """Rows as CSV files of the given names under ``destination``. Files that are there stay,
     but for those of an equal name, which are replaced. Rows of a name that several tasks hold
     become several files, ``name-00000.csv`` and so on, each with the header.
 
-    Spark writes each name's rows into a folder of its own in a working folder; what was
-    written is then moved, which changes names only.
+    Spark writes each name's rows into a folder of its own in a working folder. Then, name by
+    name and several names at once, the files that are there move into the working folder and the
+    new ones into their place. If a move fails, that name's old files move back and the working
+    folder stays; only when all is in place is it deleted, with the old files in it.
     """
     spark, work = rows.sparkSession, f"{destination}/_work-{uuid.uuid4().hex}"
     options = {"header": "true", "compression": compression}
@@ -70,17 +82,31 @@ def write_named(rows: DataFrame, name: Column, destination: str, compression: st
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     ending = ".csv.gz" if compression == "gzip" else ".csv"
-    for folder in fs.globStatus(path(f"{work}/_file=*")) or []:
-        base = unquote(folder.getPath().getName().removeprefix("_file="))
-        for old in fs.globStatus(path(f"{destination}/{base}*{ending}")) or []:
-            rest = old.getPath().getName().removeprefix(base).removesuffix(ending)
-            if re.fullmatch(r"(-\d{5})?", rest):
-                fs.delete(old.getPath(), False)
-        parts = fs.globStatus(path(f"{folder.getPath().toString()}/part-*"))
+
+    def put(folder) -> None:
+        base = unquote(folder.getName().removeprefix("_file="))
+        found = fs.globStatus(path(f"{destination}/{base}*{ending}")) or []
+        old = [p.getPath() for p in found if re.fullmatch(
+            r"(-\d{5})?", p.getPath().getName().removeprefix(base).removesuffix(ending))]
+        parts = fs.globStatus(path(f"{folder.toString()}/part-*"))
         parts = sorted(p.getPath().toString() for p in parts)
+        moves = [(p, path(f"{folder.toString()}/_old-{p.getName()}")) for p in old]
         for n, part in enumerate(parts):
             number = f"-{n:05d}" if len(parts) > 1 else ""
-            fs.rename(path(part), path(f"{destination}/{base}{number}{ending}"))
+            moves.append((path(part), path(f"{destination}/{base}{number}{ending}")))
+        done = []
+        try:
+            for source, target in moves:
+                _move(fs, source, target)
+                done.append((source, target))
+        except Exception:
+            for source, target in reversed(done):
+                fs.rename(target, source)
+            raise
+
+    folders = [f.getPath() for f in fs.globStatus(path(f"{work}/_file=*")) or []]
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        list(pool.map(put, folders))
     fs.delete(path(work), True)
 
 
