@@ -101,3 +101,17 @@ def test_a_lower_threshold_than_the_bands_are_made_for_is_refused(spark, staging
     for operator in (m.near_duplicates, m.drop_near_duplicates):
         with pytest.raises(ValueError, match="percent=50"):
             operator(df, staging, percent=50)
+
+
+def test_rows_of_a_repeated_id_are_told_apart(spark, staging):
+    w, v = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, w, 1), (2, v, 2), (2, w + " x", 3), (3, v + " z", 4), (4, "other words stand here alone", 5),
+            (4, "and these are not those at all", 6), (5, v, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    found = sorted(tuple(r) for r in m.near_duplicates(df, staging).collect())
+    assert len(found) == len(rows)
+    assert [(r[0], r[2], r[3]) for r in found if r[0] != 2] == [
+        (1, 1, True), (3, 2, False), (4, 4, True), (4, 4, True), (5, 2, False)]
+    assert sorted((r[2], r[3]) for r in found if r[0] == 2) == [(1, False), (2, True)]
+    kept = m.drop_near_duplicates(df, staging).select("n").collect()
+    assert sorted(r.n for r in kept) == [1, 2, 5, 6]

@@ -54,10 +54,11 @@ def test_base_spans_equal_python(result):
     assert sorted(got) == sorted(want)
 
 
-def test_added_spans_only_where_they_look_live(result):
+def test_added_spans_are_reported_with_their_verdict(result):
     by_id = {r.doc_id: r for r in result}
     assert by_id[8].spans == "bearer:0:37,upper_hex:38:70" and by_id[8].n_live == 2
-    assert by_id[11].spans == by_id[12].spans == by_id[13].spans == ""
+    # Copies of one text are one owner, so their value is no example.
+    assert [(by_id[i].spans, by_id[i].n_live) for i in (11, 12, 13)] == [("bearer:0:37", 1)] * 3
 
 
 def test_copied_value_is_an_example(result):
@@ -90,7 +91,7 @@ def test_copies_of_one_text_are_one_owner(spark, staging):
     rows += [(100 + i, f"{i}: {shown}", "abc"[i]) for i in range(3)]  # three texts, three owners
     rows += [(200, f"own {shown[7:]}", "a"), (201, "x " + "A1" * 16, "a"), (202, "y " + "A1" * 16, "a"), (203, "z " + "A1" * 16, "b")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    by_id = {r.doc_id: r for r in m.digest(m.scan(df, staging, per_text=True)).collect()}
+    by_id = {r.doc_id: r for r in m.digest(m.scan(df, staging)).collect()}
     assert all((r.n_live, r.n_example, r.most_owners) == (1, 0, 1) for i, r in by_id.items() if i < 30)
     assert by_id[0].spans == "bearer:4:41" and by_id[1].spans == "bearer:5:42"
     assert [(by_id[i].spans, by_id[i].n_live, by_id[i].n_example) for i in (100, 101, 102)] == [("bearer:3:40", 0, 1)] * 3

@@ -81,3 +81,24 @@ def test_empty_table(spark, staging):
     path = staging.path("tokens")
     m.write_tokens(spark.createDataFrame([], "doc_id long, text string"), path, VOCABULARY, staging)
     assert m.read_tokens(spark, path).count() == 0
+
+
+def test_white_space_alone_and_among_other_texts():
+    """Every white-space character as a text of its own, learned with and without others."""
+    from tokenizers import Tokenizer
+
+    from wirestar.llm.byte_bpe import ChunkEncoder
+    from wirestar.llm.queries import BYTE_BPE
+
+    library = Tokenizer.from_file(BYTE_BPE)
+    blanks = [chr(c) for c in range(0x110000) if chr(c).isspace()] + ["\u180e", "\u200b", "\ufeff"]
+    texts = ["hello"] + [t for c in blanks for t in (c, c + c, c + "x", "x" + c, f"a {c} b")] + ["other"]
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+    def ids(found, encode):
+        return [np.frombuffer(f, encode.dtype).tolist() for f in found]
+
+    together = ChunkEncoder(BYTE_BPE)
+    assert ids(together.encode(texts), together) == expected
+    apart = ChunkEncoder(BYTE_BPE)
+    assert [ids(apart.encode([t]), apart)[0] for t in texts] == expected

@@ -67,9 +67,9 @@ def test_long_conversation_in_chunks_equals_whole(spark, staging):
     rows = [("c", i, "user" if i % 2 == 0 else "assistant", f"line {i}?\nand more of it" if i % 3 else "Yes.") for i in range(300)]
     rows += [("d", 0, "user", None), ("d", 1, "assistant", ""), (None, 0, "user", "x"), ("d", 2, "stranger", "y")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id string, turn long, role string, text string, state int")
-    model = m.learn(m.transcript_lines(df))
-    whole = m.decode(m.transcript_lines(df, 10**9), model, staging).collect()
-    parts = m.decode(m.transcript_lines(df, 100), model, staging).collect()
+    model = m.learn(m.transcript_lines(df, staging))
+    whole = m.decode(m.transcript_lines(df, staging, 10**9), model, staging).collect()
+    parts = m.decode(m.transcript_lines(df, staging, 60), model, staging).collect()
 
     def joined(found):
         found = sorted((r for r in found if r.conv_id == "c"), key=lambda r: (r.chunk, r.turn))
@@ -84,3 +84,20 @@ def test_long_conversation_in_chunks_equals_whole(spark, staging):
 def test_empty_table(spark, staging):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert m.format_conversations(empty, staging).count() == 0
+
+
+def test_every_turn_and_role_is_kept_in_order(spark, staging):
+    rows = [("a", 1, "user", "one?\ntwo"), ("a", 1, "assistant", "uno\ndos"), ("a", 2, "tool", "t1\nt2"),
+            ("a", None, None, "last"), ("b", 0, "tool", "alone"), ("b", 0, "tool", "alone")]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    lines = m.transcript_lines(df, staging, 3).orderBy("conv_id", "line_no").collect()
+    assert [r.line_no for r in lines] == [0, 1, 2, 3, 4, 5, 6, 0, 1]
+    assert [r.chunk for r in lines] == [0, 0, 0, 1, 1, 1, 2, 0, 0]
+    ends = [r.line.split()[-1] for r in lines]
+    assert ends == ["one?", "two", "uno", "dos", "t1", "t2", "last", "alone", "alone"]
+    assert [r.state for r in lines] == [2, 3, 4, 5, None, None, None, None, None]
+    model = m.learn(m.transcript_lines(df, staging))
+    found = m.decode(m.transcript_lines(df, staging, 3), model, staging).collect()
+    assert sum(r.n_lines for r in found) == 9 and {r.conv_id for r in found} == {"a", "b"}
+    said = "".join(r.chat for r in found)
+    assert all(word in said for word in ("two", "dos", "t1", "t2", "last")) and said.count("alone") == 2

@@ -182,9 +182,9 @@ class ChunkEncoder:
     def _learn(self, chunks: list[bytes]) -> np.ndarray:
         """Encode new chunks and note their ids. Chunks without white space but a first blank
         go to the library many in a text, a line feed after each, and the ids' byte lengths
-        tell where each ends."""
+        tell where each ends. Chunks of white space alone would join that around them."""
         texts = [c.decode() for c in chunks]
-        plain = [not any(map(str.isspace, t[1:])) and t not in " \n" for t in texts]
+        plain = [not any(map(str.isspace, t[1:])) and not t.isspace() for t in texts]
         simple = [t for t, p in zip(texts, plain) if p]
         found: list[np.ndarray] = []
         if simple:

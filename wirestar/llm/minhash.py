@@ -18,10 +18,14 @@ Components come from alternating large-star and small-star steps, each a written
 
 Chance of missing a pair of similarity 0.75 in all bands: (1 - 0.75 ** 5) ** 56 < 3e-7.
 
+Rows are told apart by their place in the first read, which is written, so an id may repeat: each
+row has its own set and links, and gives a row. A component's id is the smallest of its rows'.
+
 Nulls: a null text counts as empty; texts without words have the empty set, are linked with
 nothing, and are their own component. Rows with a null ``doc_id`` are their own component of
-null id and stay. Rows that repeat an id are given once. An empty table gives an empty result.
-Extra columns are ignored.
+null id and stay, and link nothing. Rows that repeat an id and its text have equal results. A
+text's set is held whole, so memory grows with the longest text. An empty table gives an empty
+result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -128,7 +132,8 @@ def band_keys(signature: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, set_hash (null for the empty set), signature."""
+    """Per row of ``docs``: node (its number), doc_id, text_key (hash of the text), n_shingles,
+    set_hash (null for the empty set), signature."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(), Signer()
         for batch in batches:
@@ -139,33 +144,42 @@ def signatures(docs: DataFrame) -> DataFrame:
                 hashes.append(hashlib.blake2b(found, digest_size=16).digest() if len(found) else None)
                 signed.append(signer.sign(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(hashes, pa.binary()),
-                 pa.array(signed, pa.binary())],
-                names=["doc_id", "n_shingles", "set_hash", "signature"],
+                [batch["node"], batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()),
+                 pa.array(hashes, pa.binary()), pa.array(signed, pa.binary())],
+                names=["node", "doc_id", "text_key", "n_shingles", "set_hash", "signature"],
             )
 
-    schema = "doc_id long, n_shingles long, set_hash binary, signature binary"
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(sign, schema)
+    schema = (
+        "node long, doc_id long, text_key long, n_shingles long, set_hash binary, signature binary"
+    )
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("node"), "doc_id", text_key().alias("text_key"),
+        text_or_empty().alias("text"),
+    )
+    return rows.mapInArrow(sign, schema)
+
 
+def text_key() -> Column:
+    return F.xxhash64(text_or_empty())
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, signature, shingles) with the full sets as array<bigint>."""
+
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(node, signature, shingles) of ``texts`` (node, text), the full sets as array<bigint>."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, signer = Shingler(), Signer()
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
+            for node, text in zip(batch["node"].to_pylist(), batch["text"]):
                 found = shingler.shingles(text.as_py())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([doc_id], pa.int64()),
+                        pa.array([node], pa.int64()),
                         pa.array([signer.sign(found).tobytes()], pa.binary()),
                         pa.array([found.view(np.int64)], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "signature", "shingles"],
+                    names=["node", "signature", "shingles"],
                 )
 
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return texts.mapInArrow(gather, "doc_id long, signature binary, shingles array<bigint>")
+    return texts.mapInArrow(gather, "node long, signature binary, shingles array<bigint>")
 
 
 # --- links ----------------------------------------------------------------------------------
@@ -190,11 +204,12 @@ def linked_sets(a: Column, b: Column, percent: int = PERCENT) -> Column:
 
 
 def confirm(
-    pairs: DataFrame, signed: DataFrame, docs: DataFrame, staging: Staging, percent: int = PERCENT
+    pairs: DataFrame, representatives: DataFrame, docs: DataFrame, staging: Staging,
+    percent: int = PERCENT,
 ) -> DataFrame:
     """Pairs (u, v) of representatives that are linked: signatures first, then full sets. Only
     texts that a surviving pair names are read again."""
-    signed = signed.select("doc_id", "signature", "n_shingles")
+    signed = representatives.select("node", "signature", "n_shingles")
     left = signed.toDF("u", "signature_u", "n_u")
     right = signed.toDF("v", "signature_v", "n_v")
     sized = pairs.join(left, "u").join(right, "v").where(
@@ -202,17 +217,23 @@ def confirm(
     )
     near = sized.where(_agreeing("signature_u", "signature_v") >= LEAST_AGREEING)
     near = staging.write(near.select("u", "v"), "near").df
-    sets = sets_of(near.select(F.explode(F.array("u", "v")).alias("doc_id")), docs, staging)
-    sets = sets.select("doc_id", "shingles")
+    ends = near.select(F.explode(F.array("u", "v")).alias("node"))
+    sets = sets_of(ends, representatives, docs, staging)
+    sets = sets.select("node", "shingles")
     left, right = sets.toDF("u", "set_u"), sets.toDF("v", "set_v")
     found = near.join(left, "u").join(right, "v").where(linked_sets(F.col("set_u"), F.col("set_v"), percent))
     return staging.write(found.select("u", "v"), "links").df
 
 
-def sets_of(ids: DataFrame, docs: DataFrame, staging: Staging) -> DataFrame:
-    ids = staging.write(ids.distinct(), "needed").df
-    needed = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return staging.write(shingle_sets(needed), "sets").df
+def sets_of(
+    nodes: DataFrame, representatives: DataFrame, docs: DataFrame, staging: Staging
+) -> DataFrame:
+    """Signature and full set of each of the ``nodes``, from a row of its id and text."""
+    named = representatives.select("node", "doc_id", "text_key")
+    needed = staging.write(named.join(nodes.distinct(), "node"), "needed").df
+    texts = docs.select("doc_id", text_key().alias("text_key"), text_or_empty().alias("text"))
+    found = texts.join(needed, ["doc_id", "text_key"]).select("node", "text")
+    return staging.write(shingle_sets(found.dropDuplicates(["node"])), "sets").df
 
 
 def leftovers(
@@ -220,9 +241,8 @@ def leftovers(
     percent: int = PERCENT,
 ) -> DataFrame:
     """Links between members of one bucket that are in different components so far."""
-    named = components.select(F.col("node").alias("doc_id"), "component")
-    members = buckets.join(named, "doc_id", "left").select(
-        "key", "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component")
+    members = buckets.join(components, "node", "left").select(
+        "key", "node", "n_shingles", F.coalesce("component", "node").alias("component")
     )
     members = staging.write(members, "members").df
     mixed = members.groupBy("key").agg(
@@ -233,38 +253,38 @@ def leftovers(
     ).where("least < most").select("key", "n", "total")
     open_members = staging.write(members.join(mixed, "key"), "open").df
     small = open_members.where(F.col("n") <= SMALL_BUCKET)
-    other = small.select("key", F.col("doc_id").alias("v"), F.col("component").alias("component_v"))
-    pairs = small.withColumnRenamed("doc_id", "u").join(other, "key")
+    other = small.select("key", F.col("node").alias("v"), F.col("component").alias("component_v"))
+    pairs = small.withColumnRenamed("node", "u").join(other, "key")
     pairs = pairs.where("u < v and component != component_v").select("u", "v").distinct()
     links = confirm(pairs, signed, docs, staging, percent)
     large = open_members.where(F.col("n") > SMALL_BUCKET)
     if large.isEmpty():
         return links
-    return links.unionByName(_compare_blocks(large, docs, staging, percent))
+    return links.unionByName(_compare_blocks(large, signed, docs, staging, percent))
 
 
 def _compare_blocks(
-    large: DataFrame, docs: DataFrame, staging: Staging, percent: int
+    large: DataFrame, signed: DataFrame, docs: DataFrame, staging: Staging, percent: int
 ) -> DataFrame:
     """Buckets dealt into blocks; each two blocks meet in one task with signatures and sets.
     How many blocks a bucket has follows from its members and their shingles, so that a task's
     memory has a bound also where long texts meet."""
-    sets = sets_of(large.select("doc_id"), docs, staging)
+    sets = sets_of(large.select("node"), signed, docs, staging)
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
-    own = F.pmod(F.xxhash64("doc_id"), blocks)
+    own = F.pmod(F.xxhash64("node"), blocks)
     meets = F.transform(
         F.sequence(F.lit(0).cast("long"), blocks - 1),
         lambda other: F.struct(
             F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("block")
         ),
     )
-    rows = large.join(sets, "doc_id")
-    rows = rows.select("key", "doc_id", "component", "signature", "shingles", F.inline(meets))
+    rows = large.join(sets, "node")
+    rows = rows.select("key", "node", "component", "signature", "shingles", F.inline(meets))
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates("doc_id")
+        part = part.drop_duplicates("node")
         found = links_between(
-            part["doc_id"].to_numpy(), part["component"].to_numpy(), list(part["signature"]),
+            part["node"].to_numpy(), part["component"].to_numpy(), list(part["signature"]),
             list(part["shingles"]), percent,
         )
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
@@ -354,67 +374,76 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept. ``percent`` is at least
-    ``PERCENT``, for which the bands and ``LEAST_AGREEING`` are made."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept. ``percent`` is at
+    least ``PERCENT``, for which the bands and ``LEAST_AGREEING`` are made."""
+    return _components_of(docs, staging, percent).drop("text_key")
+
+
+def _components_of(docs: DataFrame, staging: Staging, percent: int) -> DataFrame:
     if percent < PERCENT:
         raise ValueError(f"percent={percent} is below {PERCENT}, so links would be missed")
     signed = staging.write(signatures(docs), "signed").df
-    known = signed.where("doc_id is not null").dropDuplicates(["doc_id"])
-    filled = known.where("set_hash is not null")
+    filled = signed.where("doc_id is not null and set_hash is not null")
     classes = filled.groupBy("set_hash").agg(
-        F.min("doc_id").alias("leader"), F.count("*").alias("copies")
+        F.min(F.struct("doc_id", "node")).alias("leader"), F.count("*").alias("copies")
+    )
+    classes = classes.select(
+        "set_hash", "copies", F.col("leader.doc_id").alias("least"), F.col("leader.node").alias("node")
     )
     classes = staging.write(classes, "classes").df
-    leaders = filled.join(classes.select(F.col("leader").alias("doc_id")), "doc_id", "left_semi")
+    leaders = filled.join(classes.select("node"), "node", "left_semi")
     leaders = staging.write(leaders, "leaders").df
     buckets = _buckets(leaders, staging)
-    stars = buckets.join(buckets.groupBy("key").agg(F.min("doc_id").alias("u")), "key")
-    stars = stars.select("u", F.col("doc_id").alias("v")).where("u < v").distinct()
+    stars = buckets.join(buckets.groupBy("key").agg(F.min("node").alias("u")), "key")
+    stars = stars.select("u", F.col("node").alias("v")).where("u < v").distinct()
     first = confirm(stars, leaders, docs, staging, percent)
     components = staging.write(connected(first, staging), "components").df
     rest = leftovers(buckets, components, leaders, docs, staging, percent)
     so_far = components.select(F.col("node").alias("u"), F.col("component").alias("v"))
     edges = so_far.where("u != v").unionByName(rest)
     components = staging.write(connected(edges, staging), "components").df
-    ends = classes.select("set_hash", "leader").join(
-        components.withColumnRenamed("node", "leader"), "leader", "left"
-    )
-    ends = ends.select("set_hash", F.coalesce("component", "leader").alias("component_id"))
-    # Only sets of several documents or with links need looking up.
-    moved = classes.where("copies > 1").select("set_hash").unionByName(
-        ends.join(classes, "set_hash").where("component_id != leader").select("set_hash")
-    ).distinct()
-    ends = staging.write(ends.join(moved, "set_hash", "left_semi"), "ends").df
-    unknown = signed.where("doc_id is null").select("doc_id", "n_shingles", "set_hash")
-    documents = known.select("doc_id", "n_shingles", "set_hash").unionByName(unknown)
+    # Classes with links, and the smallest id of their component.
+    linked = classes.select("set_hash", "least", "node").join(components, "node")
+    ids = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    linked = linked.join(ids, "component").select("set_hash", "component_id")
+    # Only sets of several rows or with links need looking up.
+    copied = classes.where("copies > 1").select("set_hash", F.col("least").alias("component_id"))
+    ends = copied.join(linked, "set_hash", "left_anti").unionByName(linked)
+    ends = staging.write(ends, "ends").df
     component = F.coalesce(
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")), F.col("doc_id")
     )
-    return documents.join(ends, "set_hash", "left").select(
+    return signed.select("doc_id", "text_key", "n_shingles", "set_hash").join(
+        ends, "set_hash", "left"
+    ).select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "text_key",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs`` that stay, with all their columns: the smallest id of each component,
-    and all rows without an id."""
-    found = near_duplicates(docs, staging, percent)
-    name = free_name(docs, "_gone")
-    gone = found.where("not kept").select(F.col("doc_id").alias(name))
+    """Rows of ``docs`` that stay, with all their columns: those with the smallest id of their
+    component, and all rows without an id."""
+    found = _components_of(docs, staging, percent)
+    name, key, own = (free_name(docs, n) for n in ("_gone", "_gone_key", "_text_key"))
+    gone = found.where("not kept").select(
+        F.col("doc_id").alias(name), F.col("text_key").alias(key)
+    ).distinct()
     gone = staging.write(gone, "gone").df
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    same = (F.col("doc_id") == F.col(name)) & (F.col(own) == F.col(key))
+    return docs.withColumn(own, text_key()).join(gone, same, "left_anti").drop(own)
 
 
 def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:
-    """(key, doc_id, n_shingles) of all band buckets with at least two members."""
+    """(key, node, n_shingles) of all band buckets with at least two members."""
     @F.pandas_udf(ArrayType(LongType()))
     def keys(signature: pd.Series) -> pd.Series:
         return pd.Series([band_keys(np.frombuffer(s, "<u2")).view(np.int64) for s in signature])
 
-    banded = leaders.select("doc_id", "n_shingles", F.explode(keys("signature")).alias("key"))
+    banded = leaders.select("node", "n_shingles", F.explode(keys("signature")).alias("key"))
     banded = staging.write(banded, "bands").df
     shared = banded.groupBy("key").count().where("count > 1").select("key")
-    return staging.write(banded.join(shared, "key").select("key", "doc_id", "n_shingles"), "shared-bands").df
+    return staging.write(banded.join(shared, "key").select("key", "node", "n_shingles"), "shared-bands").df

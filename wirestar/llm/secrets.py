@@ -3,11 +3,9 @@
 Patterns find candidates with their spans. Each candidate's value is hashed, and for each hash
 the whole corpus is asked in how many repositories and with how many owners it stands. An
 example that many owners have copied is public; a value that one owner alone has looks live.
-Base spans are always reported, with that verdict. ``scan`` counts rows as they stand, and weak
-patterns add a span only where the value looks live. With ``per_text``, as the registered query
-and the pipeline have it, copies of one text (case and white space aside) count once, for the
-repository and owner of the least id; an example needs ``EXAMPLE_OWNERS`` owners and as many
-repositories; and added spans are reported with their verdict, as base spans are.
+Copies of one text (case and white space aside) count once, for the repository and owner of the
+least id; an example needs ``EXAMPLE_OWNERS`` owners and as many repositories. All spans are
+reported with their verdict.
 
 All work is column expressions. Spans count code points, end exclusive. Positions come from
 cutting the text at the matches: lengths of what lies between and of the matches add up.
@@ -137,22 +135,19 @@ def candidates(
     return rows.withColumn("spans", found).withColumn("text_hash", text_hash).drop("text")
 
 
-def ownership(found: DataFrame, per_text: bool = False) -> DataFrame:
-    """Per value hash: in how many repositories and with how many owners it stands. With
-    ``per_text`` the rows of one text are first one, that of the least id. Counted in steps,
-    each combined before its shuffle, so no value's rows meet in one task."""
+def ownership(found: DataFrame) -> DataFrame:
+    """Per value hash: in how many repositories and with how many owners it stands.
+    The rows of one text are first one, that of the least id. Counted in steps, each combined
+    before its shuffle, so no value's rows meet in one task."""
     value = F.explode(F.expr("array_distinct(transform(spans, s -> xxhash64(s.value)))"))
     place = (
         F.coalesce("owner", F.lit("")).alias("owner"),
         F.coalesce("repository", F.lit("")).alias("repository"),
     )
-    if per_text:
-        entry = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *place)
-        entries = found.select("text_hash", entry.alias("entry"), value.alias("hash"))
-        entries = entries.groupBy("hash", "text_hash").agg(F.min("entry").alias("entry"))
-        places = entries.select("entry.owner", "entry.repository", "hash").distinct()
-    else:
-        places = found.select(*place, value.alias("hash")).distinct()
+    entry = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *place)
+    entries = found.select("text_hash", entry.alias("entry"), value.alias("hash"))
+    entries = entries.groupBy("hash", "text_hash").agg(F.min("entry").alias("entry"))
+    places = entries.select("entry.owner", "entry.repository", "hash").distinct()
     per_owner = places.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
     return per_owner.groupBy("hash").agg(
         F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories")
@@ -166,24 +161,18 @@ def scan(
     owner: Column | None = None,
     example_owners: int = EXAMPLE_OWNERS,
     keep: Sequence[str] = (),
-    per_text: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, columns to ``keep`` and ``spans``, an array of structs with start, end,
     kind, owners, repositories and live, by start and kind. Without a ``repository`` each
-    document is one; the ``owner`` is by default its source. ``per_text``: copies of one text
-    count once, both counts decide, and no span is left out."""
+    document is one; the ``owner`` is by default its source."""
     repository = F.col("doc_id") if repository is None else repository
     owner = F.col("source") if owner is None else owner
     found = staging.write(candidates(docs, repository, owner, keep), "candidates").df
     spans = found.select("row", F.inline("spans")).withColumn("hash", F.xxhash64("value"))
     with_any = found.where(F.size("spans") > 0)
-    judged = spans.join(ownership(with_any, per_text), "hash")  # AQE splits a hot value's rows
-    live = F.col("owners") < example_owners
-    if per_text:
-        live = live | (F.col("repositories") < example_owners)
-    else:
-        strong = [i for i, kind in enumerate(KINDS) if kind.base]
-        judged = judged.where(F.col("kind").isin(strong) | live)
+    judged = spans.join(ownership(with_any), "hash")  # AQE splits a hot value's rows
+    few = [F.col(c) < example_owners for c in ("owners", "repositories")]
+    live = few[0] | few[1]
     details = F.struct(
         "start", "kind", "end", "owners", "repositories", live.alias("live")
     )
@@ -258,7 +247,7 @@ def mask_live(docs: DataFrame, staging: Staging) -> DataFrame:
     their texts as well."""
     sha, id_, text_, spans = (free_name(docs, n) for n in ("_sha", "_id", "_text", "_spans"))
     rows = docs.withColumn(sha, F.sha2(text_or_empty().cast("binary"), 256))
-    scanned = scan(rows, staging, keep=[sha], per_text=True)
+    scanned = scan(rows, staging, keep=[sha])
     live = scanned.where(F.exists("spans", lambda s: s["live"]))
     live = live.select(
         F.col("doc_id").alias(id_), F.col(sha).alias(text_), F.col("spans").alias(spans)

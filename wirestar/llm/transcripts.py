@@ -12,9 +12,13 @@ borders, and the chunks are decoded between them. That is exactly Viterbi on the
 
 Canonical turns drop the markers and stand between ``<|role|>`` and ``<|end|>`` lines.
 
-Nulls: a null line counts as a blank one; lines of a null conversation are one conversation.
-Equal line numbers are ordered by text. An empty table gives an empty result. Extra columns
-are ignored.
+Every turn is in a transcript. One whose role is null or none of the three stands there without a
+marker, and its lines teach the model nothing; they are given the likeliest role like any other.
+
+Nulls: a null line counts as a blank one; lines of a null conversation are one conversation; turns
+without a number come last. Turns with one number follow each other whole, by role, a hash
+of the text and place of reading; repeated rows are turns of their own. A very long turn is cut into chunks like
+any other lines. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wirestar.llm.common import id_remainder
+from wirestar.operators.numbering import number_rows
 from wirestar.sources.staging import Staging
 
 ROLES = ("system", "user", "assistant")
@@ -209,30 +214,40 @@ def _table(rows: list[tuple], names: list[str], schema: str) -> pa.RecordBatch:
     )
 
 
-def transcript_lines(conversations: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def transcript_lines(
+    conversations: DataFrame, staging: Staging, chunk: int = CHUNK
+) -> DataFrame:
     """Lines of rough transcripts, as if pasted from many places, made from ``conversations``
-    (conv_id, turn, role, text), with the true ``state`` of each line.
+    (conv_id, turn, role, text), with the true ``state`` of each line, null where the role is
+    none of ``ROLES``.
 
-    How speakers are marked differs by conversation, and one turn in six has no marker. A
-    line's number is its turn's and its own; a chunk is a stretch of turns of about ``chunk``
-    lines, so no conversation is gathered to number its lines.
+    How speakers are marked differs by conversation, and one turn in six has no marker. Lines
+    are numbered over their conversation without gathering it, and a chunk is ``chunk`` of them.
     """
     role = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role")).cast("int") - 1
+    role = F.when(role >= 0, role)
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(_STYLES)))
     names = F.array(*(F.array(*(F.lit(n) for n in style)) for style in _STYLES))
     bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)) == 0
-    mark = F.when(bare, "").otherwise(F.get(F.get(names, style), role))
-    turns = conversations.where(F.col("role").isin(*ROLES)).select(
+    mark = F.when(bare, "").otherwise(F.coalesce(F.get(F.get(names, style), role), F.lit("")))
+    turns = conversations.select(
         F.col("conv_id").cast("string").alias("conv_id"),
-        F.coalesce("turn", F.lit(0)).cast("long").alias("turn"),
+        F.col("turn").cast("long").alias("turn"),
         role.alias("r"),
+        F.xxhash64("role", "text").alias("said"),
+        F.monotonically_increasing_id().alias("row"),
         F.concat(mark, F.coalesce("text", F.lit(""))).alias("text"),
     )
-    lines = turns.select("conv_id", "turn", "r", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    return lines.select(
+    lines = turns.select(
+        "conv_id", "turn", "r", "said", "row", F.posexplode(F.split("text", "\n")).alias("i", "line")
+    )
+    order = [F.col("turn").asc_nulls_last(), F.col("r").asc_nulls_last(), "said", "row", "i"]
+    order = [F.col(c) if isinstance(c, str) else c for c in order]
+    numbered = number_rows(lines, order, "line_no", staging, group_by=["conv_id"], start=-1).df
+    return numbered.select(
         "conv_id",
-        F.floor(F.col("turn") * 4 / chunk).alias("chunk"),  # about four lines a turn
-        (F.col("turn") * 2**20 + F.col("i")).alias("line_no"),
+        F.floor(F.col("line_no") / chunk).alias("chunk"),
+        "line_no",
         "line",
         (2 * F.col("r") + (F.col("i") > 0).cast("int")).alias("state"),
     )
@@ -247,10 +262,13 @@ def learn(lines: DataFrame) -> Model:
         before = None
         for row in held:
             state = row["state"]
+            if state is None:
+                before = None
+                continue
             keys = [(str(i), v, state) for i, v in enumerate(features(row["line"] or ""))]
             if before is not None:
                 keys.append(("move", before, state))
-            elif row["chunk"] == 0:
+            elif row["line_no"] == 0:
                 keys.append(("begin", 0, state))
             for key in keys:
                 counts[key] = counts.get(key, 0) + 1
@@ -323,6 +341,6 @@ def _borders(lines: DataFrame, model: Model) -> DataFrame:
 def format_conversations(conversations: DataFrame, staging: Staging) -> DataFrame:
     """Canonical turns of all ``conversations``' transcripts, with the model learned on those
     that are not held out."""
-    lines = staging.write(transcript_lines(conversations), "lines").df
+    lines = staging.write(transcript_lines(conversations, staging), "lines").df
     known = lines.where(F.coalesce(id_remainder(F.col("conv_id"), FOLDS) != HELD_OUT, F.lit(False)))
     return decode(lines, learn(known), staging)
