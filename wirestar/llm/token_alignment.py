@@ -47,7 +47,7 @@ _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 #: A chunk is encoded after this letter, a piece of its own, so that the dummy space is not its.
 _LEAD = "x"
 #: Chunks in a generation of a worker's memory, and the longest of them in characters.
-REMEMBERED = 120_000
+REMEMBERED = 200_000
 LONGEST = 48
 #: New chunks in one text for the libraries.
 JOINED = 64
@@ -128,9 +128,10 @@ class Writer:
         return letters.tobytes().translate(None, b"\0"), upto[group_ends - 1]
 
 
-#: Of a chunk: numbers of tokens of both sides, groups and links; the groups as text; its pairs
-#: and how often each is linked, as 64-bit integers.
-Chunk = tuple[tuple[int, int, int, int], bytes, bytes, bytes]
+#: Of a chunk: how many tokens both sides have, groups, links and listed pairs; the groups as text;
+#: the pairs and how often each is linked. All but the text are 64-bit integers.
+Chunk = tuple[bytes, bytes, bytes, bytes]
+_NUMBERS_OF_CHUNK = 5
 
 
 @functools.lru_cache(maxsize=2)
@@ -190,15 +191,16 @@ class Aligner:
         n_links = np.diff(a_cuts, prepend=0) * np.diff(b_cuts, prepend=0)
         chunk_ends = np.cumsum([len(c.encode()) for c in chunks])
         last = np.searchsorted(offsets, chunk_ends)  # a chunk's last group
-        upto = np.stack([a_cuts[last], b_cuts[last], last + 1, np.cumsum(n_links)[last]], axis=1)
-        sizes = list(map(tuple, np.diff(upto, axis=0, prepend=0).tolist()))
-        pair_cuts = (8 * np.cumsum(listed)[last]).tolist()
-        text_cuts = written_ends[last].tolist()
+        n_pairs = np.cumsum(listed)[last]
+        upto = [a_cuts[last], b_cuts[last], last + 1, np.cumsum(n_links)[last], n_pairs]
+        numbers = np.diff(np.stack(upto, axis=1), axis=0, prepend=0).astype(np.int64).tobytes()
+        width = 8 * _NUMBERS_OF_CHUNK
+        pair_cuts, text_cuts = (8 * n_pairs).tolist(), written_ends[last].tolist()
         pairs, times = pairs.tobytes(), times.tobytes()
         return [
-            (numbers, written[t:u], pairs[p:q], times[p:q])
-            for numbers, t, u, p, q in zip(
-                sizes, [0, *text_cuts], text_cuts, [0, *pair_cuts], pair_cuts
+            (numbers[i : i + width], written[t:u], pairs[p:q], times[p:q])
+            for i, t, u, p, q in zip(
+                range(0, len(numbers), width), [0, *text_cuts], text_cuts, [0, *pair_cuts], pair_cuts
             )
         ]
 
@@ -235,21 +237,24 @@ class Aligner:
                 yield own, list(counted.values()), b"".join(map(written.get, chunks))[:-1]
 
 
-def document_pairs(chunks: list[Chunk], times: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The different pairs of a document and how often each is linked."""
-    pairs = np.frombuffer(b"".join(c[2] for c in chunks), np.int64)
-    linked = np.frombuffer(b"".join(c[3] for c in chunks), np.int64)
-    linked = linked * np.repeat(times, [len(c[2]) // 8 for c in chunks])
+def document_sums(chunks: list[Chunk], times: list[int]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Of a document: its numbers of tokens, groups and links, its different pairs, and how often
+    each is linked."""
+    numbers, _, pairs, linked = map(b"".join, zip(*chunks))
+    sizes = np.frombuffer(numbers, np.int64).reshape(-1, _NUMBERS_OF_CHUNK)
+    times = np.array(times)
+    linked = np.frombuffer(linked, np.int64) * np.repeat(times, sizes[:, 4])
+    pairs = np.frombuffer(pairs, np.int64)
     order = np.argsort(pairs, kind="stable")
     pairs = pairs[order]
     first = np.flatnonzero(np.diff(pairs, prepend=-1))
-    return pairs[first], np.add.reduceat(linked[order], first)
+    return (times @ sizes[:, :4]).tolist(), pairs[first], np.add.reduceat(linked[order], first)
 
 
 # --- operator -----------------------------------------------------------------------------------
 
 
-def _runs(batch: pa.RecordBatch, at_once: int = 1 << 18) -> Iterator[tuple[list, list]]:
+def _runs(batch: pa.RecordBatch, at_once: int = 1 << 20) -> Iterator[tuple[list, list]]:
     """Ids and texts of a batch, about ``at_once`` bytes of text at a time."""
     ids, texts, size = [], [], 0
     for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -275,10 +280,9 @@ def aligned_documents(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     if not chunks:
                         rows.append((doc_id, 0, 0, 0, 0, "", [], []))
                         continue
-                    sizes = np.array([c[0] for c in chunks]) * np.array(times)[:, None]
+                    sizes, pairs, linked = document_sums(chunks, times)
                     digest = hashlib.sha256(written).hexdigest()
-                    rows.append((doc_id, *sizes.sum(axis=0).tolist(), digest,
-                                 *document_pairs(chunks, times)))
+                    rows.append((doc_id, *sizes, digest, pairs, linked))
                 kinds = [pa.int64()] * 5 + [pa.string()] + [pa.list_(pa.int64())] * 2
                 arrays = [pa.array(c, type=kind) for c, kind in zip(zip(*rows), kinds)]
                 names = [field.split()[0] for field in _ALIGNED.split(", ")]
