@@ -19,9 +19,10 @@ from wirestar.operators import aggregates, checks, dimensions, facts, history, p
 from wirestar.operators.lookups import Sized
 from wirestar.operators.slices import day_slice as slice_days
 from wirestar.plans import warehouse_load
-from wirestar.schemas import DATE_DIM, DIRECTION_DIM, IP_DIM, PACKETS_FACT, USERS_DIM, empty
+from wirestar.schemas import DAILY_AGGREGATE, DATE_DIM, DIRECTION_DIM, IP_DIM, PACKETS_FACT, USERS_DIM, empty
 from wirestar.sources import reports, traffic_files
 from wirestar.sources.event_feed import EVENTS, packets_from_events, read_events, read_packets
+from wirestar.sources.item_store import put_in_store, read_store
 from wirestar.sources.staging import Staged, Staging
 from wirestar.sources.tables import Warehouse, raw_packets
 from wirestar.sources.tables import daily_aggregate as daily_table
@@ -160,6 +161,17 @@ def daily_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def daily_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KB per user and day put into the item store: with wrong sums, then in two puts that
+    overlap, and read back."""
+    path, key = Staging(spark).path("items"), ["date", "user_name"]
+    totals, split = aggregates.totals_by_day(read_packets(spark, sf_dir)), f"{SPLIT:%Y-%m-%d}"
+    wrong = totals.withColumn("total_bandwidth_kb", F.lit(0).cast("decimal(38,0)"))
+    for rows in (wrong, totals.where(F.col("date") >= split), totals):
+        put_in_store(rows.select(*DAILY_AGGREGATE.names), path, key)
+    return read_store(spark, path, DAILY_AGGREGATE, key)
+
+
 def minute_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Minute files written by two runs of a stream over the feed's traffic files, the second
     run finding only the files that are new, read back. Minutes still open are not there."""
@@ -649,6 +661,7 @@ QUERIES: dict[str, Query] = {
         raw_upsert_stored,
         traffic_csv,
         daily_aggregate,
+        daily_items,
         minute_files,
         hourly,
         daily_by_user,
