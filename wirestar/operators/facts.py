@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wirestar.functions import columns as C
 from wirestar.operators.lookups import BROADCAST_BYTES, Sized, left_lookup
@@ -29,19 +30,23 @@ def fact_staging(
     a user without one gets a NULL key, as does a packet without an external end.
 
     If ``users`` and ``hours`` have a ``day``, users are looked up by name and day
-    instead, in the rows that ``history.users_in_effect`` gives.
+    instead, in the rows that ``history.users_in_effect`` or ``users_on_days`` gives. If
+    ``users`` have a ``time_hour``, as those of ``history.users_at_hours``, they are looked up
+    by name and hour; a row without an hour then gets no user.
     """
-    by_day = "day" in users.df.columns
-    held = users.df if by_day else users.df.where("current_flag")
-    day = [F.col("day").alias("_day")] if by_day else []
-    named = held.select("user_key", F.col("user_name").alias("_name"), "local_ip", *day)
+    moment = next((c for c in ("day", "time_hour") if c in users.df.columns), None)
+    held = users.df if moment else users.df.where("current_flag")
+    at = [F.col(moment).alias("_moment")] if moment else []
+    named = held.select("user_key", F.col("user_name").alias("_name"), "local_ip", *at)
     sources = ips.df.select(
         F.col("ip_key").alias("source_ip_key"), F.col("ip_address").alias("_source")
     )
     destinations = ips.df.select(
         F.col("ip_key").alias("destination_ip_key"), F.col("ip_address").alias("_destination")
     )
-    user_keys = (["user_name", "day"], ["_name", "_day"]) if by_day else (["user_name"], ["_name"])
+    user_keys = (["user_name"], ["_name"])
+    if moment:
+        user_keys = (["user_name", moment], ["_name", "_moment"])
     rows = hours.df
     for dim, row_keys, dim_keys in (
         (Sized(named, users.rows), *user_keys),
@@ -89,6 +94,25 @@ def new_facts(facts: DataFrame, staged: DataFrame, null_safe: bool = False) -> D
     return staged.join(old, same, "left_anti")
 
 
+def with_held_keys(held: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows``, which replace the ``held`` ones, with the ``packets_key`` of the held row that
+    is the same but for its bandwidth, NULL if there is none.
+
+    Sums of one hour may differ in their last digit from run to run, so bandwidth alone makes no
+    new row. Rows without a user can be the same; then the largest meets the largest, so that
+    no key is given twice.
+    """
+    same = [c for c in MEASURES if c != "kb_bandwidth"]
+    # A group is the users unknown to the dimension who had one hour and address pair in common.
+    largest_first = Window.partitionBy(*same).orderBy(F.desc_nulls_last("kb_bandwidth"))
+    place = F.row_number().over(largest_first)
+    old = held.withColumn("_n", place).select(
+        "packets_key", *(F.col(c).alias(f"_{c}") for c in same), F.col("_n").alias("_place")
+    )
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same] + [F.col("_n") == F.col("_place")]
+    return rows.withColumn("_n", place).join(old, on, "left").select("packets_key", *MEASURES)
+
+
 def key_facts(
     new: DataFrame, last_key: int | Callable[[int], int], staging: Staging, by_day: bool = False
 ) -> Staged:

@@ -317,6 +317,40 @@ def fact_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scd2_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user dimension after loading every second day first and then those between."""
+    loads = _Loads(spark, sf_dir)
+    daily = loads.staging.write(history.daily_local_ips(loads.hours.df), "daily-ips").df
+    odd = daily.where("day(day) % 2 = 1")
+    first = history.splice_versions(empty(spark, USERS_DIM), odd, 0, loads.staging)
+    held = loads.staging.write(first.df, "odd-days").df
+    both = history.splice_versions(held, daily, first.rows, loads.staging)
+    return both.df.drop("user_key", "since")
+
+
+def fact_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows with each user's row of the hour."""
+    loads = _Loads(spark, sf_dir)
+    daily = history.daily_local_ips(loads.hours.df)
+    opened = history.daily_changes(empty(spark, USERS_DIM), daily)
+    versions = history.versions_seen(history.keyed_changes(opened, 0, loads.staging).df)
+    users = loads.staging.write(history.users_at_hours(versions, loads.hours.df), "users-at-hours")
+    return loads.facts(users, loads.all_addresses())
+
+
+def fact_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts of the first load replaced after the second: users with a new row get it, and
+    all other rows keep their keys."""
+    loads = _Loads(spark, sf_dir)
+    ips, first = loads.all_addresses(), loads.users_before()
+    held = facts.key_facts(loads.facts_before(first, ips), 0, loads.staging)
+    again = loads.facts_before(loads.users_after(first), ips)
+    rows = loads.staging.write(facts.with_held_keys(held.df, again), "replaced").df
+    fresh = rows.where("packets_key IS NULL").drop("packets_key")
+    added = facts.key_facts(fresh, held.rows, loads.staging)
+    return rows.where("packets_key IS NOT NULL").unionByName(added.df)
+
+
 def fact_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _Loads(spark, sf_dir).new_facts()
 
@@ -678,8 +712,11 @@ QUERIES: dict[str, Query] = {
         scd2_state,
         scd2_state_batch_latest,
         scd2_history,
+        scd2_any_order,
         fact_staging,
         fact_history,
+        fact_as_of,
+        fact_replaced,
         fact_new,
         fact_new_null_safe,
         fact_keyed,
