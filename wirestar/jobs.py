@@ -69,6 +69,22 @@ def backfill(spark: SparkSession, args: argparse.Namespace) -> None:
         print(f"{table}: {rows} added")
 
 
+def replace(spark: SparkSession, args: argparse.Namespace) -> None:
+    """One day, or ``--day`` to ``--last-day``, in place of its facts, in any order."""
+    added = warehouse_load.replace_days(
+        spark,
+        raw_packets(spark, args.lake).read(),
+        Warehouse(spark, args.warehouse),
+        args.day,
+        args.last_day,
+        half_open=args.half_open,
+        scope=args.scope,
+        at_hour=args.at_hour,
+    )
+    for table, rows in added.items():
+        print(f"{table}: {rows} added")
+
+
 def count(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     warehouse = Warehouse(spark, args.warehouse)
     warehouse.create()
@@ -148,6 +164,7 @@ JOBS = {
     "archive": (archive, ["files", "archive"]),
     "ingest": (ingest_files, ["files", "lake"]),
     "load": (load, ["lake", "warehouse", "day"]),
+    "replace": (replace, ["lake", "warehouse", "day"]),
     "backfill": (backfill, ["lake", "warehouse", "day", "last_day"]),
     "count": (count, ["warehouse"]),
     "check": (check, ["warehouse"]),
@@ -174,6 +191,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--null-safe", action="store_true")
     parser.add_argument("--half-open", action="store_true")
     parser.add_argument("--allow-back-dated", action="store_true")
+    parser.add_argument("--at-hour", action="store_true", help="facts get the user row of their hour")
     parser.add_argument("--user", help="user name in minute files")
     parser.add_argument("--out", help="folder for minute files or totals")
     parser.add_argument("--checkpoint", help="folder for stream checkpoints")

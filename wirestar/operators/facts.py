@@ -96,21 +96,37 @@ def new_facts(facts: DataFrame, staged: DataFrame, null_safe: bool = False) -> D
 
 def with_held_keys(held: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows``, which replace the ``held`` ones, with the ``packets_key`` of the held row that
-    is the same but for its bandwidth, NULL if there is none.
+    is the same, or else is the same but for its bandwidth; NULL if there is none.
 
     Sums of one hour may differ in their last digit from run to run, so bandwidth alone makes no
-    new row. Rows without a user can be the same; then the largest meets the largest, so that
-    no key is given twice.
+    new row. Rows without a user can be the same in all else; of those that no row equals, the
+    largest meets the largest, so that no key is given twice. Both tables are shuffled once.
     """
     same = [c for c in MEASURES if c != "kb_bandwidth"]
+    old = held.select(*MEASURES, "packets_key", F.lit(True).alias("_old"))
+    new = rows.select(*MEASURES, F.lit(False).alias("_old"))
     # A group is the users unknown to the dimension who had one hour and address pair in common.
-    largest_first = Window.partitionBy(*same).orderBy(F.desc_nulls_last("kb_bandwidth"))
-    place = F.row_number().over(largest_first)
-    old = held.withColumn("_n", place).select(
-        "packets_key", *(F.col(c).alias(f"_{c}") for c in same), F.col("_n").alias("_place")
+    # What follows is all within these groups, so this placing of the rows serves every step.
+    both = old.unionByName(new, allowMissingColumns=True).repartition(*same)
+    alike = Window.partitionBy(*MEASURES, "_old").orderBy("packets_key")
+    met = (
+        both.withColumn("_n", F.row_number().over(alike))
+        .groupBy(*MEASURES, "_n")
+        .agg(
+            F.max("packets_key").alias("packets_key"),
+            F.bool_or("_old").alias("_was"),
+            F.bool_or(~F.col("_old")).alias("_is"),
+        )
+        .withColumn("_alone", F.col("_was") != F.col("_is"))
     )
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same] + [F.col("_n") == F.col("_place")]
-    return rows.withColumn("_n", place).join(old, on, "left").select("packets_key", *MEASURES)
+    by_size = Window.partitionBy(*same, "_was", "_is").orderBy(
+        F.desc_nulls_last("kb_bandwidth"), "packets_key", "_n"
+    )
+    beside = Window.partitionBy(*same, "_alone", "_place")
+    # The held row at the same place among the rows that are left.
+    left = F.max(F.when(F.col("_alone"), F.col("packets_key"))).over(beside)
+    placed = met.withColumn("_place", F.row_number().over(by_size)).withColumn("_left", left)
+    return placed.where("_is").select(F.coalesce("packets_key", "_left").alias("packets_key"), *MEASURES)
 
 
 def key_facts(

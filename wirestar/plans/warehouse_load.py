@@ -9,10 +9,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wirestar.functions import columns as C
 from wirestar.operators import aggregates, checks, dimensions, facts, history
 from wirestar.operators.lookups import Sized
 from wirestar.operators.slices import day_slice
-from wirestar.schemas import DIRECTIONS, PRIVATE_ADDRESS
+from wirestar.schemas import DIRECTIONS, PACKETS_FACT, PRIVATE_ADDRESS
 from wirestar.sources.staging import Staging
 from wirestar.sources.tables import Warehouse
 
@@ -42,6 +43,8 @@ def run_day(
     unless ``allow_back_dated``. The loads only add what is missing, so a run that
     failed half way is completed by running it again. Loads of different days may run side by
     side: they take turns for the dimensions, and load their facts at once.
+
+    ``replace_days`` loads batches in any order instead, see that function.
     """
     warehouse.create()
     with Staging(spark) as staging:
@@ -49,6 +52,7 @@ def run_day(
         # Five loads read the hourly sums: computed once, and far smaller than the packets.
         hours = staging.write(aggregates.hourly(sliced), "hourly")
         latest = staging.write(aggregates.latest_local_ip(hours.df, private), "latest-ips").df
+        daily = history.daily_local_ips(hours.df, scope, private)
         with warehouse.lease("dimensions"):  # what one load adds, the next one finds
             if not allow_back_dated:
                 _refuse_back_dated(dimensions.back_dated(warehouse.current_users(), latest), day)
@@ -59,6 +63,7 @@ def run_day(
                 ),
                 users_dim=lambda: _load_users(warehouse, aggregates.in_scope(latest, scope), staging),
                 direction_dim=lambda: _load_directions(warehouse),
+                user_days=lambda: warehouse.see_users(daily),
             )
             users = Sized(warehouse.current_users(), warehouse.last_key("users_dim"))
         added["packets_fact"] = _load_facts(
@@ -74,12 +79,123 @@ def run_day(
         return added
 
 
-def _together(**loads: Callable[[], int]) -> dict[str, int]:
+def replace_days(
+    spark: SparkSession,
+    packets: DataFrame,
+    warehouse: Warehouse,
+    day: dt.date,
+    last_day: dt.date | None = None,
+    *,
+    half_open: bool = False,
+    scope: str = "per_user",
+    at_hour: bool = False,
+    private: str = PRIVATE_ADDRESS,
+) -> dict[str, int]:
+    """Load ``day`` to ``last_day``, or load them again, in place of the facts they have: the
+    result is that of the right order, whatever is loaded before and after. Returns the rows
+    added per table, of the fact those with new keys.
+
+    Users' versions are spliced between the stored ones. Facts get the version that their user
+    had at the end of their day, as loads in order find it, or ``at_hour`` the version of their
+    hour. A fact that differs from a held one by nothing but its bandwidth keeps its key, held
+    ones that are not among the new are gone, and days that stay the same are not written.
+
+    A version that is spliced in splits or lengthens others: loaded days after it still have
+    the keys they were loaded with, until they are replaced too.
+    """
+    last = last_day or day
+    warehouse.create()
+    with Staging(spark) as staging:
+        sliced = day_slice(packets, day, last, half_open)
+        hours = staging.write(aggregates.hourly(sliced), "hourly")
+        daily = staging.write(history.daily_local_ips(hours.df, scope, private), "daily-ips").df
+        with warehouse.lease("dimensions"):
+            warehouse.see_users(daily)
+            versions = None
+
+            def load_users() -> int:
+                nonlocal versions
+                versions, added = _splice_users(warehouse, hours.df, staging)
+                return added
+
+            added = _together(
+                date_dim=lambda: _load_dates(warehouse, hours.df, day, last),
+                ip_dim=lambda: _load_addresses(
+                    warehouse, dimensions.new_addresses(warehouse.read("ip_dim"), hours.df), staging
+                ),
+                users_dim=load_users,
+                direction_dim=lambda: _load_directions(warehouse),
+            )
+        if at_hour:
+            found, rows = history.users_at_hours(versions, hours.df), hours.df
+        else:
+            found, rows = history.users_on_days(versions, hours.df), history.with_day(hours.df)
+        in_effect = staging.write(found, "users-in-effect")
+        users = Sized(in_effect.df, in_effect.rows)
+        added["packets_fact"] = _replace_facts(
+            warehouse, Sized(rows, hours.rows), users, staging, day, last, private
+        )
+        return added
+
+
+def _splice_users(
+    warehouse: Warehouse, hours: DataFrame, staging: Staging
+) -> tuple[DataFrame, int]:
+    """All versions of the users of the hours, and how many of them are new."""
+    version, keys = warehouse.users_version(), warehouse.claims("users_dim")
+    stored = warehouse.read("users_dim")
+    named = hours.select("user_name").distinct()
+    held = stored.join(named, "user_name", "left_semi")
+    seen = warehouse.users_seen().join(named, "user_name", "left_semi")
+    spliced = history.splice_versions(held, seen, keys, staging)
+    versions = staging.write(spliced.df, "versions")
+    state = versions.df.drop("since")
+    if not _unlike(state, held).isEmpty():
+        others = stored.join(named, "user_name", "left_anti")
+        warehouse.replace_users(others.unionByName(state), version, whole=True)
+    return versions.df, spliced.rows
+
+
+def _replace_facts(
+    warehouse: Warehouse,
+    hours: Sized,
+    users: Sized,
+    staging: Staging,
+    first: dt.date,
+    last: dt.date,
+    private: str,
+) -> int:
+    ips = Sized(warehouse.read("ip_dim"), warehouse.last_key("ip_dim"))
+    again = facts.fact_staging(hours, users, ips, warehouse.read("direction_dim"), private)
+    held = warehouse.facts_between(_day_number(first), _day_number(last)).select(*PACKETS_FACT.names)
+    rows = staging.write(facts.with_held_keys(held, again), "replaced").df
+    fresh = rows.where("packets_key IS NULL").drop("packets_key")
+    added = facts.key_facts(fresh, warehouse.claims("packets_fact"), staging)
+    now = rows.where("packets_key IS NOT NULL").unionByName(added.df)
+    day = C.day_of_key(F.col("date_key")).alias("day")
+    unlike = _unlike(now, held)
+    changed = sorted(r[0] for r in unlike.select(day).distinct().collect())  # days of the batch
+    if changed:
+        warehouse.replace_facts(now.where(C.day_of_key(F.col("date_key")).isin(changed)), changed)
+    return added.rows
+
+
+def _unlike(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows that one of the tables has more often than the other."""
+    columns = a.columns
+    one, other = a.withColumn("_n", F.lit(1)), b.select(*columns, F.lit(-1).alias("_n"))
+    counted = one.unionByName(other).groupBy(*columns).agg(F.sum("_n").alias("_n"))
+    return counted.where("_n <> 0").drop("_n")
+
+
+def _together(**loads: Callable[[], int | None]) -> dict[str, int]:
     """Run the dimension loads side by side: none reads what another writes, and each
-    alone leaves most of a cluster idle. If one fails, the others finish, then it raises."""
+    alone leaves most of a cluster idle. If one fails, the others finish, then it raises.
+    Loads that return nothing are not counted."""
     with ThreadPoolExecutor(len(loads)) as pool:
         running = {table: pool.submit(load) for table, load in loads.items()}
-    return {table: load.result() for table, load in running.items()}
+    done = {table: load.result() for table, load in running.items()}
+    return {table: rows for table, rows in done.items() if rows is not None}
 
 
 def _load_dates(warehouse: Warehouse, hours: DataFrame, first: dt.date, last: dt.date) -> int:
@@ -195,6 +311,7 @@ def run_history(
                 ),
                 users_dim=load_users,
                 direction_dim=lambda: _load_directions(warehouse),
+                user_days=lambda: warehouse.see_users(daily),
             )
         added["packets_fact"] = _load_facts(
             warehouse,

@@ -65,6 +65,17 @@ USERS_DIM = T.StructType(
     ]
 )
 
+#: What one load saw of a user on one day: the last address, when it was seen last and first.
+USER_DAYS = T.StructType(
+    [
+        T.StructField("user_name", T.StringType()),
+        T.StructField("day", T.DateType()),
+        T.StructField("local_ip", T.StringType()),
+        T.StructField("start_date", T.TimestampNTZType()),
+        T.StructField("first_seen", T.TimestampNTZType()),
+    ]
+)
+
 DATE_DIM = T.StructType(
     [
         T.StructField("date_key", T.IntegerType()),

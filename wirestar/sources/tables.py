@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from wirestar.functions import columns as C
 from wirestar.operators.numbering import last_key
 from wirestar.operators.packet_ids import refuse_repeated_keys, upsert
-from wirestar.schemas import DAILY_AGGREGATE, RAW_PACKETS, STAR_SCHEMA, empty
+from wirestar.schemas import DAILY_AGGREGATE, RAW_PACKETS, STAR_SCHEMA, USER_DAYS, empty
 from wirestar.sources.staging import Staging
 
 #: Files that are moved into a table side by side.
@@ -108,6 +108,22 @@ class PartitionedTable:
         self._plan_swap(work, old)
         self.finish_swaps()
 
+    def replace_partitions(self, rows: DataFrame, values: list) -> None:
+        """``rows`` in place of all that the partitions of ``values`` hold, in a folder's table.
+        They are written whole beside it before the planned swap, so they may be read from it."""
+        self.finish_swaps()
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        old = []
+        for value in values:
+            pattern, fs = _hadoop(self.spark, f"{self.path}/{self.partition}={value}")
+            found = fs.globStatus(folder(pattern, "*.parquet")) or []
+            old += [f.getPath().toUri().toString() for f in found]
+        work = f"{self.path}/_swap-{uuid.uuid4().hex}"
+        rows = rows.select(*self.schema.names).hint("rebalance", F.col(self.partition))
+        rows.write.partitionBy(self.partition).parquet(work)
+        self._plan_swap(work, sorted(old))
+        self.finish_swaps()
+
     def _plan_swap(self, work: str, old: list[str]) -> None:
         """What a swap does, in a file that stands when its name does."""
         part, fs = _hadoop(self.spark, f"{work}/_plan.part")
@@ -202,7 +218,12 @@ class Warehouse:
     new version folder after each change, and the highest finished one counts; the rows that a
     change closes are added once, in a folder of the same version. So a failed write leaves the
     state alone and its repetition overwrites what it left, closed rows are never written
-    again, and only ``keep`` versions of the current rows are kept.
+    again, and only ``keep`` versions of the current rows are kept. A change of closed rows, which
+    a batch between loaded ones makes, writes all closed rows anew and marks its version as
+    whole: closed rows of versions before it no longer count.
+
+    Beside the star stands ``user_days``: what each load saw of its users on each day, from which
+    such a batch is spliced in. Rows that repeat in it are of no effect.
 
     Keys are claimed before the rows that use them are written: claim number n of a table is a
     file that only one load can create (``key_claims``), and it holds the highest key given out so
@@ -341,6 +362,8 @@ class Warehouse:
         filter on it to read only some days."""
         if table == self.VERSIONED:
             return self.current_users().unionByName(self._closed_users())
+        if table == "packets_fact":
+            self._fact_table().finish_swaps()
         schema = self._schema(table)
         return self.spark.read.schema(schema).parquet(self._path(table))
 
@@ -359,7 +382,35 @@ class Warehouse:
         schema = STAR_SCHEMA[self.VERSIONED].schema
         versioned = T.StructType([*schema, T.StructField("version", T.LongType())])
         closed = self.spark.read.schema(versioned).parquet(f"{self.location}/users_dim/closed")
-        return closed.where(F.col("version") <= self._versions()[-1]).select(*schema.names)
+        newest = self._versions()[-1]
+        pattern, fs = self._files(f"{self.location}/users_dim/_whole-*")
+        marked = [int(s.getPath().getName().split("-")[1]) for s in fs.globStatus(pattern) or []]
+        whole = max((v for v in marked if v <= newest), default=0)
+        return closed.where(F.col("version").between(whole, newest)).select(*schema.names)
+
+    def _fact_table(self) -> PartitionedTable:
+        name = "packets_fact"
+        return PartitionedTable(self.spark, self._path(name), self._schema(name), "date_day")
+
+    def replace_facts(self, rows: DataFrame, days: list[int]) -> None:
+        """``rows`` in place of all facts of the days ``yyyyMMdd``, which they lie in."""
+        day = C.day_of_key(F.col("date_key"))
+        self._fact_table().replace_partitions(rows.withColumn("date_day", day), days)
+
+    def see_users(self, daily: DataFrame) -> None:
+        """Keep what a load saw of its users: ``history.daily_local_ips``. At most one row per
+        user and day, in one file."""
+        work = f"{self.location}/user_days/_append-{uuid.uuid4().hex}"
+        daily.select(*USER_DAYS.names).coalesce(1).write.parquet(work)
+        self._move_parts(work, f"{self.location}/user_days")
+
+    def users_seen(self) -> DataFrame:
+        """All that loads have seen of users; what one load saw twice is there twice."""
+        path = f"{self.location}/user_days"
+        folder, fs = self._files(path)
+        if not fs.exists(folder):  # a warehouse of before
+            return empty(self.spark, USER_DAYS)
+        return self.spark.read.schema(USER_DAYS).parquet(path)
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t).select(*STAR_SCHEMA[t].schema.names) for t in STAR_SCHEMA}
@@ -409,10 +460,10 @@ class Warehouse:
             list(pool.map(move, [f.getPath() for f in found]))
         fs.delete(folder, True)
 
-    def replace_users(self, state: DataFrame, since: int = 0) -> None:
+    def replace_users(self, state: DataFrame, since: int = 0, whole: bool = False) -> None:
         """The current rows after a change, and the rows it has closed, as one ``state``
-        without rows closed before. A change is refused if another has been finished after the
-        version ``since`` that it started from."""
+        without rows closed before, or with all of them if ``whole``. A change is refused if
+        another has been finished after the version ``since`` that it started from."""
         version = max(self._versions(), default=0) + 1
         folder = f"{self.location}/users_dim"
         claim = f"{folder}/_claim-{version}"
@@ -421,6 +472,12 @@ class Warehouse:
                 f"another load changes users_dim: load again (if none runs, delete {claim})"
             )
         try:
+            marker = f"{folder}/_whole-{version}"  # counts when the version does
+            if whole:
+                self._create_file(marker, str(version))
+            else:
+                marked, fs = self._files(marker)
+                fs.delete(marked, False)  # of a failed change
             state = state.select(*STAR_SCHEMA[self.VERSIONED].schema.names)
             closed, current = state.where("not current_flag"), state.where("current_flag")
             closed.write.mode("overwrite").parquet(f"{folder}/closed/version={version}")
