@@ -2,6 +2,7 @@ import pytest
 
 from tests.conftest import rows
 from wirestar.operators import checks
+from wirestar.operators.lookups import Sized
 from wirestar.schemas import STAR_SCHEMA, empty
 
 FOUND = ("table_name", "rule", "column_name", "value", "n_rows")
@@ -66,3 +67,24 @@ def test_count_changes(spark):
     before = spark.createDataFrame([("IP DIM COUNT", 3)], "table_name string, n_rows long")
     after = spark.createDataFrame([("IP DIM COUNT", 8)], "table_name string, n_rows long")
     assert rows(checks.count_changes(before, after)) == [("IP DIM COUNT", 3, 8, 5)]
+
+
+@pytest.mark.parametrize("limit", [64 * 1024 * 1024, 0])
+def test_only_new_values_are_compared(spark, tmp_path, limit):
+    spark.range(0, 100_000).toDF("k").write.parquet(str(tmp_path / "old"))
+    old = spark.read.parquet(str(tmp_path / "old"))
+    new = spark.createDataFrame([(99_990,), (100_001,), (100_001,), (100_002,), (None,)], "k long")
+    found = checks.duplicates_after(old, Sized(new, 5), "t", "k", limit)
+    assert rows(found, *FOUND) == [("t", "unique", "k", "100001", 2), ("t", "unique", "k", "99990", 2)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,99990)" in plan  # reaches the files' statistics
+    none = checks.duplicates_after(old, Sized(new.where("false"), 0), "t", "k", limit)
+    assert rows(none) == []
+
+
+def test_keys_of_other_days_are_found(spark, clean):
+    schema = STAR_SCHEMA["packets_fact"].schema
+    facts = [(n, None, None, None, None, None, None, 1.0) for n in (7, 8, 9)]
+    day, others = spark.createDataFrame(facts[1:], schema), spark.createDataFrame(facts[:2], schema)
+    found = checks.check_star_schema(clean, day, others)
+    assert rows(found, *FOUND) == [("packets_fact", "unique", "packets_key", "8", 2)]

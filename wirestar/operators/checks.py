@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wirestar.operators.lookups import BROADCAST_BYTES, Sized
 from wirestar.schemas import STAR_SCHEMA, TableRules
 
 REPORT = ["table_name", "rule", "column_name", "value", "n_rows"]
@@ -38,6 +39,32 @@ def duplicates(df: DataFrame, table: str, column: str, rule: str = "unique") ->
     )
 
 
+def duplicates_after(
+    old: DataFrame, new: Sized, table: str, column: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``duplicates`` of both tables together, if ``old`` has none by itself: values of ``new``
+    rows that repeat among them or are in ``old``.
+
+    Of ``old``, only what lies between the least and the greatest new value is read, by a
+    filter that Parquet's statistics serve; after a load with claimed keys that is next to
+    nothing. Those rows meet the new values where they are, and only hits are shuffled; beyond
+    ``broadcast_bytes`` of new values it is a shuffle join, which Spark may thin out by a Bloom
+    filter of them.
+    """
+    least, most = new.df.agg(F.min(column), F.max(column)).first()
+    counted = new.df.where(F.col(column).isNotNull()).groupBy(column)
+    counted = counted.agg(F.count(F.lit(1)).alias("n"))
+    near = old.where(F.col(column).between(F.lit(least), F.lit(most)))
+    held, values = near.select(F.col(column).alias("_held")), new.df.select(column)
+    if new.fits_broadcast(broadcast_bytes):
+        values = F.broadcast(values)
+    hits = held.join(values, F.col("_held") == F.col(column), "left_semi")
+    hits = hits.groupBy("_held").agg(F.count(F.lit(1)).alias("_n_held"))
+    both = counted.join(hits, F.col(column) == F.col("_held"), "left")
+    n = F.col("n") + F.coalesce("_n_held", F.lit(0))
+    return both.where(n > 1).select(*_report(table, "unique", column, F.col(column), n))
+
+
 def several_current(users: DataFrame, table: str = "users_dim") -> DataFrame:
     """Users with more than one current row."""
     current = users.where("current_flag")
@@ -128,14 +155,22 @@ def all_orphans(
 
 
 def check_table(
-    tables: dict[str, DataFrame], table: str, rows: DataFrame | None = None
+    tables: dict[str, DataFrame],
+    table: str,
+    rows: DataFrame | None = None,
+    others: DataFrame | None = None,
 ) -> DataFrame:
     """All declared rules of one star-schema table, or of some of its ``rows``, such as those
-    of the days a load has added. A table is read at most three times: for keys that repeat,
+    of the days a load has added; with the ``others`` of the table, their values must not be
+    there either. A table is read at most three times: for keys that repeat,
     for counts of NULLs and lengths, and for the references of all its columns."""
     rules: TableRules = STAR_SCHEMA[table]
     df = tables[table] if rows is None else rows
-    found = [duplicates(df, table, c) for c in rules.unique]
+    if others is None:
+        found = [duplicates(df, table, c) for c in rules.unique]
+    else:
+        sized = Sized(df, df.count())
+        found = [duplicates_after(others, sized, table, c) for c in rules.unique]
     found.append(nulls(df, table, rules.not_null))
     if rules.max_length:
         found.append(too_long(df, table, rules.max_length))
@@ -149,12 +184,15 @@ def check_table(
 
 
 def check_star_schema(
-    tables: dict[str, DataFrame], fact_rows: DataFrame | None = None
+    tables: dict[str, DataFrame],
+    fact_rows: DataFrame | None = None,
+    other_facts: DataFrame | None = None,
 ) -> DataFrame:
-    """All rules of all tables; of the fact only ``fact_rows`` if given."""
-    some = {"packets_fact": fact_rows}
+    """All rules of all tables; of the fact only ``fact_rows`` if given, whose keys
+    ``other_facts`` must not have."""
+    some = {"packets_fact": (fact_rows, other_facts)}
     return reduce(
-        DataFrame.unionByName, (check_table(tables, t, some.get(t)) for t in STAR_SCHEMA)
+        DataFrame.unionByName, (check_table(tables, t, *some.get(t, ())) for t in STAR_SCHEMA)
     )
 
 

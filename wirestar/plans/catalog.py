@@ -535,6 +535,18 @@ def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_unique_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the second part of the feed, some of which were given before or twice."""
+    packets = read_packets(spark, sf_dir)
+    old = packets.where(F.col("time_stamp") < _at(SPLIT)).select("event_id")
+    again = F.when(F.col("event_id") % 13 == 0, F.floor(F.col("event_id") / 2))
+    new = packets.where(F.col("time_stamp") >= _at(SPLIT)).select(
+        F.coalesce(again, F.col("event_id")).alias("event_id")
+    )
+    staged = Staging(spark).write(new, "new-keys")
+    return checks.duplicates_after(old, Sized(staged.df, staged.rows), "packets", "event_id")
+
+
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     packets = read_packets(spark, sf_dir).withColumns(
         {
@@ -731,6 +743,7 @@ QUERIES: dict[str, Query] = {
         conv_report_parse,
         protocol_report_parse,
         dq_unique,
+        dq_unique_after,
         dq_not_null,
         dq_check,
         dq_foreign_key,

@@ -340,11 +340,14 @@ def violations(
     warehouse: Warehouse, first: dt.date | None = None, last: dt.date | None = None
 ) -> DataFrame:
     """Rule violations of the star schema; none after a load. With days, of the fact only
-    their partitions are checked, as after a load of these days."""
-    rows = None
+    their partitions are checked, as after a load of these days, and of the others only
+    whether they have one of their keys."""
+    rows = others = None
     if first is not None:
-        rows = warehouse.facts_between(_day_number(first), _day_number(last or first))
-    return checks.check_star_schema(warehouse.tables(), rows)
+        days = _day_number(first), _day_number(last or first)
+        rows = warehouse.facts_between(*days)
+        others = warehouse.read("packets_fact").where(~F.col("date_day").between(*days))
+    return checks.check_star_schema(warehouse.tables(), rows, others)
 
 
 def counts(warehouse: Warehouse) -> DataFrame:
