@@ -206,15 +206,19 @@ COUNT_LABELS = {
 }
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count per table: ``table_name, n_rows``."""
-    counts = [
-        tables[t].agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(label).alias("table_name"), "n_rows"
-        )
-        for t, label in COUNT_LABELS.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+def table_counts(tables: dict[str, DataFrame | list[DataFrame]]) -> DataFrame:
+    """Row count per table: ``table_name, n_rows``. A table may be given as its parts, each of
+    which is counted by itself."""
+
+    def rows(label: str, table: DataFrame | list[DataFrame]) -> DataFrame:
+        parts = table if isinstance(table, list) else [table]
+        counted = [part.agg(F.count(F.lit(1)).alias("n_rows")) for part in parts]
+        # Footers of no files at all give no count.
+        n_rows = F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows")
+        total = reduce(DataFrame.unionByName, counted).agg(n_rows)
+        return total.select(F.lit(label).alias("table_name"), "n_rows")
+
+    return reduce(DataFrame.unionByName, (rows(v, tables[t]) for t, v in COUNT_LABELS.items()))
 
 
 def count_changes(before: DataFrame, after: DataFrame) -> DataFrame:

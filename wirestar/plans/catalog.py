@@ -150,6 +150,17 @@ def raw_upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def stored_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets per day of a stored table after an upsert, from the footers of its files."""
+    staging = Staging(spark)
+    table = raw_packets(spark, staging.path("lake"))
+    table.create()
+    existing, batch = _sent_again(spark, sf_dir)
+    table.append(existing, compact=True)
+    table.upsert(batch, ["partition_date", "id"], staging)
+    return table.partition_counts()
+
+
 def daily_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KB per user and day put into the stored aggregate, twice, and read back."""
     staging = Staging(spark)
@@ -395,7 +406,7 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules over a star with faults: addresses and hours of the second load are missing
     from their dimensions, and the facts of one direction have another one's key."""
-    star = _star(spark, sf_dir, keyed=False)
+    star, staging = _star(spark, sf_dir, keyed=False), Staging(spark)
     split = int(f"{SPLIT:%Y%m%d}00")
     facts_rows = star["packets_fact"].withColumns(
         {
@@ -405,8 +416,8 @@ def dq_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     faulty = {
         "ip_dim": star["ip_dim"].where("ip_key % 3 > 0"),
-        "date_dim": star["date_dim"].where(F.col("date_key") < split),
-        "packets_fact": facts_rows,
+        "date_dim": staging.write(star["date_dim"].where(F.col("date_key") < split), "dates").df,
+        "packets_fact": staging.write(facts_rows, "facts").df,  # each rule reads them
     }
     return checks.check_star_schema({**star, **faulty})
 
@@ -705,6 +716,7 @@ QUERIES: dict[str, Query] = {
         row_id,
         raw_upsert,
         raw_upsert_stored,
+        stored_day_counts,
         traffic_csv,
         daily_aggregate,
         daily_items,

@@ -351,4 +351,5 @@ def violations(
 
 
 def counts(warehouse: Warehouse) -> DataFrame:
-    return checks.table_counts(warehouse.tables())
+    """Row count per table, from the footers of the stored files."""
+    return checks.table_counts(warehouse.parts())

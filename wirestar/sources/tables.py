@@ -30,6 +30,15 @@ from wirestar.sources.staging import Staging
 MOVES_AT_ONCE = 16
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` that counts the rows of Parquet files, as a whole or by
+    partition, from their footers and reads no column. Its relations have to be read by it."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session
+
+
 class PartitionedTable:
     """A Parquet table partitioned by one column of its schema, in a folder or, with
     ``catalog_name``, under a name in the session's catalog."""
@@ -60,6 +69,16 @@ class PartitionedTable:
             return self.spark.table(self.catalog_name).select(*self.schema.names)
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
+    def partition_counts(self) -> DataFrame:
+        """Rows of each partition: its column and ``n_rows``. Of a folder only the footers of
+        the files are read; a table of the catalog is counted by a scan."""
+        if self.catalog_name:
+            rows = self.read()
+        else:
+            self.finish_swaps()
+            rows = footer_session(self.spark).read.schema(self.schema).parquet(self.path)
+        return rows.groupBy(self.partition).agg(F.count(F.lit(1)).alias("n_rows"))
+
     def append(self, rows: DataFrame, compact: bool = False) -> None:
         """Append rows. No shuffle by default, as traffic files hold one day each;
         ``compact`` rebalances mixed input into few files per day, splitting big days."""
@@ -415,6 +434,13 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.read(t).select(*STAR_SCHEMA[t].schema.names) for t in STAR_SCHEMA}
 
+    def parts(self) -> dict[str, list[DataFrame]]:
+        """Each table as the stored parts that it is the union of, for counting their rows from
+        the footers of the files: columns must not be read from them."""
+        files = Warehouse(footer_session(self.spark), self.location, self.keep)
+        found = {t: [files.read(t)] for t in STAR_SCHEMA if t != self.VERSIONED}
+        return {**found, self.VERSIONED: [files.current_users(), files._closed_users()]}
+
     def create_views(self) -> None:
         """Temporary views of the tables as they are now, for ``spark.sql``."""
         for table, df in self.tables().items():
