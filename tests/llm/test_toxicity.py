@@ -25,6 +25,54 @@ def test_composition(rules):
     assert rules.evidence("trashcan")[0] == 0  # an exact word, not a beginning
 
 
+def readings(rules, words):
+    """Each telling word as a head, weighed by plain rules of where other words stand."""
+    symbols = [rules.read(w) for w in words]
+    for at, (symbol, weight) in enumerate(symbols):
+        if not symbol & (m.INSULT | m.THREAT):
+            continue
+
+        def where(bit):
+            return [i for i, (x, _) in enumerate(symbols) if x & bit]
+
+        if any(at - m.REACH <= i <= at for i in where(m.NEGATION)):
+            weight *= m.NEGATED
+        targets, reports = where(m.TARGET), where(m.REPORT)
+        before, after = any(i <= at for i in targets), any(i > at for i in targets)
+        if symbol & m.INSULT:
+            weight *= m.INSULT_AT["before" if before else "after" if after else "nobody"]
+        else:
+            weight *= m.THREAT_AT["after"] if after else m.THREAT_AT["before"] if before else 0.0
+        if reports:
+            weight *= m.REPORTED["before" if reports[0] <= at else "after"]
+        yield weight
+
+
+def test_machine_equals_a_search_of_all_readings(rules):
+    pick, bag = random.Random(3), "idiot scum kill hurt you they not don't said wrote vequan a house of".split()
+    for _ in range(3_000):
+        words = [pick.choice(bag) for _ in range(pick.randrange(14))]
+        want = sum(readings(rules, words))
+        assert rules.clause_score(" ".join(words)) == pytest.approx(want, abs=1e-9), words
+
+
+def test_places_of_targets_and_reports(rules):
+    score = rules.clause_score
+    assert score("you idiot") > score("idiot you") > score("idiot")
+    assert score("kill you") > score("you kill") > score("kill") == 0
+    assert score("idiot") > score("idiot she said") / m.INSULT_AT["after"] > score("he said idiot") / m.INSULT_AT["before"]
+
+
+def test_composition_has_all_readings_of_one_head():
+    machine = m.insult_transducer().then(m.threat_transducer())
+    both = [m.INSULT, m.THREAT, m.INSULT]
+    paths = [(machine.start, ())]
+    for symbol in both:
+        paths = [(to, (*out, o)) for state, out in paths for to, o, _ in machine.arcs.get((state, symbol), ())]
+    heads = sorted(tuple(bool(o & m.HEAD) for o in out) for state, out in paths if state in machine.ends)
+    assert heads == [(False, False, True), (False, True, False), (True, False, False)]
+
+
 def test_clauses_are_scored_apart(rules):
     together, apart = rules.evidence("you idiot")[0], rules.evidence("you. idiot")[0]
     assert together > apart

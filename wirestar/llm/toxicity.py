@@ -1,22 +1,26 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five transducers read a clause: insults and threats emit weights, targets, negation and
-reported speech emit marks. Their composition is one pass over the clause's words with a
-small state (words since the last negation, target seen, speech reported), which turns each
-insult or threat into a weighted match: more against a target, less when negated or only
-reported. A clause is scored by its matches, never a word alone, and a document by its
-clauses through a logistic curve.
-
-The insult transducer is learned: stems (word beginnings) that stand in toxic labelled texts,
-in several different contexts, and hardly in clean ones. The other four are fixed word lists
-in four languages. The scan for stems is an Aho-Corasick automaton, so a text without any is
+Five weighted transducers read the words of a clause as symbols. Those of insults and of threats
+mark one telling word as the head of a reading, at that word's weight. Those of negation, targets
+and reported speech weigh a reading by where their words stand: a negation up to ``REACH`` words
+before the head, a target before or after it (an insult's comes first, "you idiot", a threat's
+last, "kill you", and a threat without one is no reading), a reporting verb before or after it.
+They are composed once into a single machine. A clause's score is the sum of the weights of all
+its readings, found in one pass that keeps the weight so far of each state; so a clause is scored
+as a whole, never a word alone. A document is scored by its clauses through a logistic curve.
+
+The words of the insult transducer are learned: stems (word beginnings) that stand in toxic
+labelled texts, in several different contexts, and hardly in clean ones. Those of the other four
+are fixed lists in four languages. The scan for stems is an Aho-Corasick automaton, so a text without any is
 read once at its speed; only clauses around a hit are parsed, each whole and once, however long.
 
 Learning uses a bounded sample: ``SAMPLE`` labelled documents, least hashed ids first, from
-rows whose crc32 of the id is not held out. A document's labels count as toxic if any is.
+rows whose crc32 of the id is not held out. A document's labels count as toxic if any is; of an
+id with several texts the least one teaches.
 
 Nulls: a null text counts as empty and scores as a text without matches; null labels and ids
-teach nothing. Repeated rows are scored each. Without labels the fixed insults alone apply.
+teach nothing. Repeated rows are scored each. Without labels the fixed insults alone apply. An
+empty table gives an empty result.
 Extra columns are ignored.
 """
 
@@ -26,7 +30,7 @@ import functools
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,7 +83,10 @@ REPORTS = (
 
 #: Words after a negation that it still reaches.
 REACH = 3
-FACTORS = {"targeted": 1.5, "negated": 0.5, "reported": 0.6}
+NEGATED = 0.5
+INSULT_AT = {"nobody": 1.0, "before": 1.5, "after": 1.25}
+THREAT_AT = {"before": 0.75, "after": 1.5}
+REPORTED = {"before": 0.6, "after": 0.8}
 THREAT_WEIGHT, BUILT_IN_WEIGHT, MOST_WEIGHT = 2.0, 4.0, 8.0
 
 _FOUND = (
@@ -100,8 +107,144 @@ class Model:
     bias: float = -3.0
 
 
+# --- transducers ----------------------------------------------------------------------------
+
+#: What a word is, as bits of its symbol; the last two are set by a transducer on a head.
+NEGATION, TARGET, REPORT, INSULT, THREAT, INSULT_HEAD, THREAT_HEAD = (1 << i for i in range(7))
+HEAD = INSULT_HEAD | THREAT_HEAD
+_WORDS = range(INSULT_HEAD)
+_MARKED = [x for x in range(THREAT_HEAD << 1) if x & HEAD != HEAD]
+
+#: Of a state and a symbol: the next states, the symbols written, and the weights.
+Moves = Callable[[Hashable, int], Iterable[tuple[Hashable, int, float]]]
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """Arcs (state, symbol) -> (next state, symbol written, weight), and the weight of ending in
+    a state. A state that is not in ``ends`` accepts nothing."""
+
+    start: Hashable
+    arcs: dict[tuple[Hashable, int], tuple[tuple[Hashable, int, float], ...]]
+    ends: dict[Hashable, float]
+
+    @staticmethod
+    def of(
+        start: Hashable, moves: Moves, end: Callable[[Hashable], float], symbols: Iterable[int]
+    ) -> Transducer:
+        """All states that ``moves`` reaches from ``start``; an end of weight 0 is none."""
+        arcs, found, open_states = {}, {start}, [start]
+        while open_states:
+            state = open_states.pop()
+            for symbol in symbols:
+                out = tuple(moves(state, symbol))
+                if out:
+                    arcs[state, symbol] = out
+                fresh = {to for to, _, _ in out} - found
+                found |= fresh
+                open_states += fresh
+        return Transducer(start, arcs, {x: end(x) for x in found if end(x)})
+
+    def then(self, other: Transducer, symbols: Iterable[int] = _WORDS) -> Transducer:
+        """The composition: ``other`` reads what this one writes, and weights multiply."""
+
+        def moves(pair, symbol):
+            for p, written, w in self.arcs.get((pair[0], symbol), ()):
+                for q, out, v in other.arcs.get((pair[1], written), ()):
+                    yield (p, q), out, w * v
+
+        def end(pair):
+            return self.ends.get(pair[0], 0.0) * other.ends.get(pair[1], 0.0)
+
+        return Transducer.of((self.start, other.start), moves, end, symbols)
+
+
+def insult_transducer() -> Transducer:
+    """Passes words on, and may mark one insult as the head."""
+
+    def moves(taken, x):
+        yield taken, x, 1.0
+        if x & INSULT and not taken:
+            yield True, x | INSULT_HEAD, 1.0
+
+    return Transducer.of(False, moves, lambda _: 1.0, _WORDS)
+
+
+def threat_transducer() -> Transducer:
+    """Marks one threat as the head unless an insult is; a reading has just one head."""
+
+    def moves(taken, x):
+        if not x & HEAD:
+            yield taken, x, 1.0
+            if x & THREAT and not taken:
+                yield True, x | THREAT_HEAD, 1.0
+        elif not taken:
+            yield True, x, 1.0
+
+    return Transducer.of(False, moves, float, _MARKED)
+
+
+def negation_transducer() -> Transducer:
+    """The state is how many more words a negation reaches, or -1 behind the head."""
+
+    def moves(left, x):
+        if left >= 0 and x & HEAD:
+            yield -1, x, NEGATED if left or x & NEGATION else 1.0
+        elif left >= 0:
+            yield REACH if x & NEGATION else max(left - 1, 0), x, 1.0
+        else:
+            yield left, x, 1.0
+
+    return Transducer.of(0, moves, lambda _: 1.0, _MARKED)
+
+
+def target_transducer() -> Transducer:
+    """The state is where a target stands, as seen from the head once that is read."""
+
+    def moves(state, x):
+        head, at = state
+        if not head and x & HEAD:
+            head = x & HEAD
+        if x & TARGET and head == THREAT_HEAD and state[0]:
+            at = "after"
+        elif x & TARGET and at == "nobody":
+            at = "after" if state[0] else "before"
+        yield (head, at), x, 1.0
+
+    def end(state):
+        return {0: {}, INSULT_HEAD: INSULT_AT, THREAT_HEAD: THREAT_AT}[state[0]].get(state[1], 0.0)
+
+    return Transducer.of((0, "nobody"), moves, end, _MARKED)
+
+
+def report_transducer() -> Transducer:
+    """The state is whether the head is read, and where the first reporting verb stands."""
+
+    def moves(state, x):
+        behind, at = state
+        if x & REPORT and not at:
+            at = "after" if behind else "before"
+        yield (behind or bool(x & HEAD), at), x, 1.0
+
+    return Transducer.of((False, ""), moves, lambda state: REPORTED.get(state[1], 1.0), _MARKED)
+
+
+@functools.cache
+def clause_machine() -> Transducer:
+    """All five composed, with numbers as states."""
+    machine = insult_transducer().then(threat_transducer()).then(negation_transducer())
+    machine = machine.then(target_transducer()).then(report_transducer())
+    number = defaultdict(lambda: len(number))
+    arcs = {
+        (number[state], symbol): tuple((number[to], out, w) for to, out, w in moves)
+        for (state, symbol), moves in machine.arcs.items()
+    }
+    ends = {number[state]: w for state, w in machine.ends.items()}
+    return Transducer(number[machine.start], arcs, ends)
+
+
 class Grammar:
-    """The composed transducers of a model."""
+    """The composed transducers with the words of a model."""
 
     def __init__(self, model: Model):
         import ahocorasick
@@ -138,23 +281,28 @@ class Grammar:
             done = stop.start() if stop else len(text)
             yield begin, done
 
+    def read(self, word: str) -> tuple[int, float]:
+        """The symbol of a lower-case word, and its weight as a head."""
+        symbol = NEGATION * (word in self.negations or word.endswith("n't"))
+        symbol |= TARGET * (word in self.targets) | REPORT * (word in self.reports)
+        if weight := self._weight(self.insults, word):
+            return symbol | INSULT, weight
+        weight = self._weight(self.threats, word)
+        return symbol | THREAT * (weight > 0), weight
+
     def clause_score(self, clause: str) -> float:
-        total, negated_at, target, reported, matches = 0.0, -REACH - 1, False, False, []
-        for i, found in enumerate(_WORD.finditer(clause)):
-            word = found[0]
-            if word in self.negations or word.endswith("n't"):
-                negated_at = i
-            target = target or word in self.targets
-            reported = reported or word in self.reports
-            weight = self._weight(self.insults, word)
-            threat = 0.0 if weight else self._weight(self.threats, word)
-            if weight or threat:
-                matches.append((weight, threat, i - negated_at <= REACH))
-        for weight, threat, negated in matches:
-            match = weight + (threat if target else 0.0)  # a threat needs someone to threaten
-            total += match * (FACTORS["negated"] if negated else 1.0)
-        total *= FACTORS["targeted"] if target else 1.0
-        return total * (FACTORS["reported"] if reported else 1.0)
+        """Sum of the weights of all readings."""
+        machine = clause_machine()
+        weights = {machine.start: 1.0}
+        for found in _WORD.finditer(clause):
+            symbol, weight = self.read(found[0])
+            following: dict[int, float] = {}
+            for state, so_far in weights.items():
+                for to, out, w in machine.arcs.get((state, symbol), ()):
+                    more = so_far * w * (weight if out & HEAD else 1.0)
+                    following[to] = following.get(to, 0.0) + more
+            weights = following
+        return sum(w * machine.ends.get(state, 0.0) for state, w in weights.items())
 
     def evidence(self, text: str) -> tuple[float, int]:
         """Sum of clause scores, and how many clauses matched."""
@@ -182,7 +330,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, staging: Staging, most:
     kept = kept.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     kept = kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    sample = texts.join(F.broadcast(kept), "doc_id").dropDuplicates(["doc_id"])  # <= most rows
+    sample = texts.join(F.broadcast(kept), "doc_id")  # of an id that repeats, the least text
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return staging.write(sample, "sample").df
 
 
