@@ -1,6 +1,8 @@
 """Fingerprints against a plain implementation on strings."""
 
+import base64
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,7 +66,7 @@ def test_edited_text_and_direct_fingerprint(spark, result):
     assert set(result) == set(edited)
     df = spark.createDataFrame(list(edited.items()), "doc_id long, text string")
     text = F.col("text")
-    direct = df.select("doc_id", m.written(m.sketch(m.anchors(text), text)).alias("f")).collect()
+    direct = df.select("doc_id", m.written(m.hashes(m.anchors(text), text)).alias("f")).collect()
     for row in direct:
         got = result[row.doc_id]
         want = hashlib.sha256(edited[row.doc_id].encode()).hexdigest()
@@ -79,6 +81,35 @@ def test_ends_and_ties(result):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.aligned_edited <= 1 for r in result.values())
 
 
+def test_fingerprint_has_every_anchor_and_likeness_is_that_of_the_whole_sets(result):
+    def parts(fingerprint):
+        data = base64.b64decode(fingerprint)
+        return {data[i : i + 4] for i in range(0, len(data), 4)}
+
+    ids = [i for i, _ in TEXTS]
+    for i, following in zip(ids, [*ids[1:], ids[0]]):
+        own, row = parts(result[i].fingerprint), result[i]
+        for other, got in ((parts(row.edited_fingerprint), row.near_edited), (parts(result[following].fingerprint), row.near_next)):
+            assert got == pytest.approx(len(own & other) / len(own | other) if own | other else 1.0)
+    assert len(parts(result[5001].fingerprint)) > 64
+
+
+def test_a_shared_passage_of_long_texts_always_shows(spark, staging):
+    pick = random.Random(7)
+
+    def prose(n):
+        return "".join(pick.choice("abcdefghijklmnop ") for _ in range(n))
+
+    rows = []
+    for i in range(0, 40, 2):
+        passage = prose(800)
+        rows += [(i, passage + prose(19_200)), (i + 1, passage + prose(19_200))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    near = {r.doc_id: r.near_next for r in m.edited_with_next(df, staging).collect()}
+    assert all(near[i] > 0.01 for i in range(0, 40, 2))
+    assert all(near[i] < 0.01 for i in range(1, 40, 2))
+
+
 def test_moved_passage_aligns_at_its_shift(spark):
     text = TEXTS[7][1]
     df = spark.createDataFrame([(text, "seven: " + text)], "a string, b string")

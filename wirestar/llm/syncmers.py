@@ -6,9 +6,10 @@ code points alone, so a passage has the same anchors in whatever text it stands,
 spliced from two others has their anchors except around the seam.
 
 An anchor is a long: its position in the upper 32 bits, the hash of its content in the lower
-32. The fingerprint is the ``SKETCH`` smallest distinct anchor hashes in hexadecimal, and two
-fingerprints are as alike as the share of common hashes among the smallest of both: an
-unbiased estimate of the Jaccard similarity of the anchor sets.
+32. The fingerprint is the hashes of all anchors, each at its first place in the text, four bytes
+each in base64: about as long as the text. Two fingerprints are as alike as the Jaccard
+similarity of their hashes, without a sketch, so a passage that long texts share always shows.
+``aligned`` matches anchors by position.
 
 All work is column expressions. A text is cut into overlapping pieces first, so the
 intermediate arrays stay small however long the text is.
@@ -16,7 +17,8 @@ intermediate arrays stay small however long the text is.
 Nulls: a null text counts as empty. An empty text has the empty fingerprint, alike (1.0) only
 to another empty one. A text without anchors, as every one shorter than ``K``, has one anchor
 over its whole content. Equal texts have equal fingerprints. Rows with a null ``doc_id`` are
-put before all others; ties of ids are broken by text. Extra columns are ignored.
+put before all others; ties of ids are broken by text, and rows that repeat follow one another.
+Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ S = 5
 #: An anchor has ten inner substrings: two at its edges and eight between.
 K = S + 9
 PIECE = 128
-SKETCH = 64
 #: Documents of so many neighbouring ids form a bucket in which the next one is looked up.
 BUCKET_IDS = 512
 
@@ -91,29 +92,30 @@ def spliced(
     return F.concat(before, across, after)
 
 
-def sketch(found: Column, text: Column, size: int = SKETCH) -> Column:
-    """The smallest distinct hashes of ``found``, sorted; the whole text's hash if there are
+def hashes(found: Column, text: Column) -> Column:
+    """The distinct hashes of ``found`` in order of place; the whole text's hash if there are
     none; nothing for an empty text."""
-    hashes = F.array_distinct(F.transform(found, lambda a: a.bitwiseAND(F.lit(_LOW))))
     whole = F.array(F.xxhash64(text).bitwiseAND(F.lit(_LOW)))
     none = F.array().cast("array<bigint>")
     return (
-        F.when(F.size(found) > 0, F.slice(F.sort_array(hashes), 1, size))
+        F.when(F.size(found) > 0, F.array_distinct(F.transform(found, lambda a: a.bitwiseAND(F.lit(_LOW)))))
         .when(F.length(text) > 0, whole)
         .otherwise(none)
     )
 
 
 def written(hashes: Column) -> Column:
-    return F.array_join(F.transform(hashes, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    def digits(x: Column) -> Column:
+        return F.substring(F.hex(x.bitwiseOR(F.lit(_LOW + 1))), 2, 8)
 
+    return F.base64(F.unhex(F.array_join(F.transform(hashes, digits), "")))
 
-def likeness(a: Column, b: Column, size: int = SKETCH) -> Column:
-    """Estimated Jaccard similarity of two sketches, from 0 to 1."""
-    smallest = F.slice(F.sort_array(F.array_union(a, b)), 1, size)
-    common = F.array_intersect(F.array_intersect(smallest, a), b)
-    both = F.size(smallest)
-    return F.when(both == 0, F.lit(1.0)).otherwise(F.size(common) / both)
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard similarity of two arrays of distinct hashes, from 0 to 1."""
+    common = F.size(F.array_intersect(a, b))
+    either = F.size(a) + F.size(b) - common
+    return F.when(either == 0, F.lit(1.0)).otherwise(common / either)
 
 
 def aligned(a: Column, b: Column, shift: int = 0) -> Column:
@@ -218,9 +220,9 @@ def fingerprint_edits(rows: DataFrame) -> DataFrame:
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.size("own").alias("n_anchors"),
         aligned(F.col("own"), F.col("mixed")).alias("aligned_edited"),
-        sketch(F.col("own"), text).alias("own"),
-        sketch(F.col("other"), following).alias("other"),
-        sketch(F.col("mixed"), F.col("edited")).alias("mixed"),
+        hashes(F.col("own"), text).alias("own"),
+        hashes(F.col("other"), following).alias("other"),
+        hashes(F.col("mixed"), F.col("edited")).alias("mixed"),
     )
     return rows.select(
         "doc_id",
