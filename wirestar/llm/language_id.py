@@ -10,11 +10,14 @@ A temperature is fitted on a part of the sample that training does not see, and
 rejection threshold: the confidence that all but ``REJECTED`` of the right predictions reach.
 
 Learning uses a bounded sample: at most ``PER_LANGUAGE`` documents of each language, least
-hashed ids first, from rows that are not held out; of each only its bucket counts travel.
+hashed ids first, and ``SAMPLE`` in all, one of each language after another, from rows that are
+not held out; of each only its bucket counts travel. More than ``SAMPLE`` languages are not all
+learned. Of an id with several texts in a language the least one teaches.
 
 Nulls: texts that are null or have no letter get ``und`` with score 0 and are rejected. Rows
 with a null language teach nothing; without any language everything is ``und``. Repeated rows
-are predicted each. Extra columns are ignored.
+are predicted each. Extra columns are ignored. An empty table gives an empty result. A very long
+text is read whole and adds the counts of at most ``BUCKETS`` subwords to the model.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from wirestar.sources.staging import Staging
 SIZES = (2, 4)
 BUCKETS = 1 << 15
 DIMENSIONS = 12
-PER_LANGUAGE = 500
+PER_LANGUAGE, SAMPLE = 500, 20_000
 FOLDS, HELD_OUT = 5, 0
 EPOCHS, RATE = 12, 1.0
 CALIBRATION = 5
@@ -113,6 +116,7 @@ def learning_sample(docs: DataFrame, staging: Staging, most: int = PER_LANGUAGE)
     picked = known.withColumn("n", F.row_number().over(spread)).where(F.col("n") <= share)
     whole = Window.partitionBy("lang").orderBy("n", "h", "doc_id")
     picked = picked.withColumn("m", F.row_number().over(whole)).where(F.col("m") <= most)
+    picked = picked.orderBy("m", "lang", "doc_id").limit(SAMPLE)
     picked = staging.write(picked.select("doc_id", "lang"), "picked").df
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,9 +133,10 @@ def learning_sample(docs: DataFrame, staging: Staging, most: int = PER_LANGUAGE)
             )
 
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    rows = texts.join(F.broadcast(picked), "doc_id")  # at most PER_LANGUAGE of each language
+    rows = texts.join(F.broadcast(picked), "doc_id")  # at most SAMPLE ids
+    rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     schema = "doc_id long, lang string, buckets array<bigint>, counts array<bigint>"
-    return rows.dropDuplicates(["doc_id", "lang"]).mapInArrow(count, schema)
+    return rows.mapInArrow(count, schema)
 
 
 def learn(docs: DataFrame, staging: Staging) -> Model:
