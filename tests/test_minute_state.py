@@ -3,10 +3,13 @@
 import gzip
 import os
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from tests.conftest import HEADER, rows
+from tests.oracle_check import oracle_rows, spark_rows
 from tests.test_streaming import line
 from wirestar.operators import aggregates
 from wirestar.sources.traffic_files import read_traffic
@@ -160,3 +163,39 @@ def test_busiest_pairs_of_the_minute_so_far(feed):
     minutes = {str(r["minute"]) for r in feed.tables.top(2).collect()}
     assert "2024-01-02 10:20:00" in minutes
     assert [n for n, _ in feed.shown][:3] == [0, 1, 2]
+
+
+STREAMS = ["stream_held_back", "stream_left_out", "stream_resumed_minutes", "stream_top_pairs"]
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_a_session_with_the_default_state_store_will_do(spark, tmp_path, name):
+    """Days without KB, and events without a time, are in it."""
+    events = spark.range(1, 1200).selectExpr(
+        "id as event_id",
+        "case when id % 41 > 0 then timestamp_ntz'2024-01-01 13:00:00'"
+        " + make_dt_interval(0, 0, 0, id * 2160) end as ts",
+        "id % 7 as user_id", "'view' as event_type",
+        "case when id % 40 >= 5 then cast(id % 100 as double) end as value", "'{}' as props")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    before = spark.conf.get(minute_state.STATE_STORE)
+    spark.conf.set(minute_state.STATE_STORE, minute_state.DEFAULT_STORE)
+    try:
+        got = spark_rows(contract.queries()[name](spark, str(tmp_path)))
+        assert spark.conf.get(minute_state.STATE_STORE) == minute_state.DEFAULT_STORE
+    finally:
+        spark.conf.set(minute_state.STATE_STORE, before)
+    assert got[1] and got == oracle_rows(duck, contract.oracle_sql()[name])
+
+
+def test_a_pair_without_kb_has_no_sum(feed, spark):
+    put(feed.folder, "a.csv", line("10:00:10", kb=""), line("10:00:10", "10.0.0.9", kb=""))
+    put(feed.folder, "b.csv", line("10:00:20", "10.0.0.9", kb="3"), line("10:30:00"))
+    put(feed.folder, "c.csv", line("11:00:00"))
+    feed.run()
+    packets = read_traffic(spark, str(feed.folder)).where("time_stamp < timestamp_ntz'2024-01-02 10:10'")
+    closed = feed.tables.closed().where("minute < timestamp_ntz'2024-01-02 10:10'")
+    assert rows(closed) == rows(aggregates.minute_pairs(packets))
+    assert {r.kb_bandwidth for r in closed.collect()} == {None, 3.0}

@@ -637,17 +637,21 @@ def stream_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: How long the stateful streams' minutes are, so that they hold pairs worth ranking.
 STATE_SECONDS = 86_400
+#: The file of events without a time. By name it is older than the numbered ones.
+NO_DAY = "dateless"
 
 
 def _disordered_files(spark: SparkSession, sf_dir: str, staging: Staging) -> str:
     """The feed as traffic files of ten days each, cut at noon. One packet in 97 has lost its
-    time, and of the others one in 89 comes two files late."""
+    time, and of the others one in 89 comes two files late. Events without a time are in a file
+    without a number."""
     packets, number = read_packets(spark, sf_dir), F.col("event_id")
     start = F.lit(dt.datetime(2024, 1, 1, 12)).cast("timestamp_ntz")
     seconds = F.unix_micros(F.col("time_stamp").cast("timestamp")) - F.unix_micros(
         start.cast("timestamp"))
     file = F.floor(seconds / F.lit(10 * 86_400 * 1_000_000)) + F.when(number % 89 == 0, 2).otherwise(0)
-    name = F.format_string("feed-%04d", (file + 1).cast("int"))
+    numbered = F.format_string("feed-%04d", (file + 1).cast("int"))
+    name = F.when(file.isNotNull(), numbered).otherwise(NO_DAY)
     lost = number % 97 == 0
     packets = packets.withColumns({
         "time_stamp": F.when(~lost, F.col("time_stamp")), "_file": name,
@@ -673,10 +677,11 @@ def _stateful(
 
 
 def stream_held_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows read of each file while the two newest wait."""
+    """Rows read of each numbered file while the two newest wait."""
     staging = Staging(spark)
     source = _disordered_files(spark, sf_dir, staging)
-    return _stateful(spark, source, staging, hold=2).packets_read()
+    read = _stateful(spark, source, staging, hold=2).packets_read()
+    return read.where(~F.col("file_name").startswith(NO_DAY))
 
 
 def stream_left_out(spark: SparkSession, sf_dir: str) -> DataFrame:

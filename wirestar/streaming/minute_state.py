@@ -21,13 +21,15 @@ is not negative, so a pair that did not change cannot rise.
 
 from __future__ import annotations
 
+import contextlib
+import threading
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.window import Window
 
@@ -47,9 +49,17 @@ _OUT = (
 _COLUMNS = [field.split()[0] for field in _OUT.split(", ")]
 _TEXT = ["kind", "file_name", "user_name", "source_ip", "destination_ip"]
 _WHOLE = ["start_us", "time_us", "latest_us"]
+_REAL = ["kb", "delta"]
 _STATE = "sources array<string>, destinations array<string>, kb array<double>"
 
 
+def _plus(a: float | None, b: float | None) -> float | None:
+    """As SQL sums: what is missing adds nothing, and the sum of nothing is missing. Pandas shows
+    missing numbers as NaN."""
+    a, b = (None if x is None or x != x else x for x in (a, b))
+    return b if a is None else a if b is None else a + b
+
+
 class MinuteSums(StatefulProcessor):
     """State of one minute and lane. ``floor_us`` is a watermark from before this stream."""
 
@@ -60,13 +70,13 @@ class MinuteSums(StatefulProcessor):
         self.handle = handle
         self.sums = handle.getValueState("sums", _STATE)
 
-    def _held(self) -> dict[tuple[str, str], float]:
+    def _held(self) -> dict[tuple[str, str], float | None]:
         if not self.sums.exists():
             return {}
         sources, destinations, kb = self.sums.get()
         return dict(zip(zip(sources, destinations), kb))
 
-    def _hold(self, start_us: int, sums: dict[tuple[str, str], float], new: bool) -> None:
+    def _hold(self, start_us: int, sums: dict[tuple[str, str], float | None], new: bool) -> None:
         self.sums.update(([a for a, _ in sums], [b for _, b in sums], list(sums.values())))
         if new:
             self.handle.registerTimer((start_us + self.length_us) // 1000)
@@ -77,7 +87,8 @@ class MinuteSums(StatefulProcessor):
         found = pd.DataFrame(columns).assign(kind=kind).reindex(columns=_COLUMNS)
         text = found[_TEXT].astype(object)
         return found.assign(
-            **text.where(text.notna(), None), **found[_WHOLE].astype("Int64")
+            **text.where(text.notna(), None), **found[_WHOLE].astype("Int64"),
+            **found[_REAL].astype("float64"),
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -87,7 +98,7 @@ class MinuteSums(StatefulProcessor):
             kind = "timeless"
         else:
             kind = "late" if start_us + self.length_us <= closed_us else None
-        grown: dict[tuple[str, str], float] = {}
+        grown: dict[tuple[str, str], float | None] = {}
         latest, read = NO_TIME, pd.Series(dtype="int64")
         for part in rows:
             read = read.add(part.groupby("file_name", dropna=False).size(), fill_value=0)
@@ -96,7 +107,7 @@ class MinuteSums(StatefulProcessor):
                 continue
             latest = max(latest, int(part["time_us"].max()))
             for a, b, kb in zip(part["source_ip"], part["destination_ip"], part["kb"]):
-                grown[a, b] = grown.get((a, b), 0.0) + (kb if kb == kb else 0.0)
+                grown[a, b] = _plus(grown.get((a, b)), kb)
         yield self._rows(
             "read", {"file_name": list(read.index), "delta": read.to_numpy(dtype="float64")}
         )
@@ -105,7 +116,7 @@ class MinuteSums(StatefulProcessor):
         held = self._held()
         new = not held
         for pair, kb in grown.items():
-            held[pair] = held.get(pair, 0.0) + kb
+            held[pair] = _plus(held.get(pair), kb)
         self._hold(start_us, held, new)
         yield self._rows("running", {
             "source_ip": [a for a, _ in grown], "destination_ip": [b for _, b in grown],
@@ -123,7 +134,7 @@ class MinuteSums(StatefulProcessor):
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         held = zip(initialState["source_ip"], initialState["destination_ip"], initialState["kb"])
-        self._hold(int(key[0]), {(a, b): kb for a, b, kb in held}, True)
+        self._hold(int(key[0]), {(a, b): _plus(None, kb) for a, b, kb in held}, True)
 
     def close(self) -> None: ...
 
@@ -275,6 +286,43 @@ def _merge_top(tables: MinuteTables, batch_id: int, n: int) -> None:
     ranked.repartition(1).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
 
+#: Where Spark holds state of our own. Its default keeps one kind of state a store; timers are a
+#: second.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+DEFAULT_STORE = (
+    "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+)
+ROCKS_DB_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_one_start = threading.Lock()
+
+
+@contextlib.contextmanager
+def _store_with_timers(spark: SparkSession) -> Iterator[None]:
+    """RocksDB as the state store of a stream started in the block, where the session has the
+    default. A stream takes its settings when it starts, so the session gets its own back."""
+    with _one_start:
+        before = spark.conf.get(STATE_STORE, None)
+        if before not in (None, DEFAULT_STORE):
+            yield
+            return
+        spark.conf.set(STATE_STORE, ROCKS_DB_STORE)
+        try:
+            yield
+        finally:
+            if before is None:
+                spark.conf.unset(STATE_STORE)
+            else:
+                spark.conf.set(STATE_STORE, before)
+
+
+class MinuteStateWriter(DataStreamWriter):
+    """A writer whose stream finds a state store that holds timers, whatever the session has."""
+
+    def start(self, *args, **options) -> StreamingQuery:
+        with _store_with_timers(self._spark):
+            return super().start(*args, **options)
+
+
 def write_minute_state(
     packets: DataFrame,
     path: str,
@@ -299,8 +347,8 @@ def write_minute_state(
             show(tables.top(batch_id), batch_id)
 
     return (
-        minute_states(packets, lateness, seconds, resume)
-        .writeStream.outputMode("update")
+        MinuteStateWriter(minute_states(packets, lateness, seconds, resume))
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
