@@ -28,6 +28,43 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+#: Bits of ``with_chance`` for each key, and at most.
+BITS_PER_KEY, MOST_BITS = 32, 2**26
+
+
+def with_chance(
+    df: DataFrame, key: str | Column, keys: DataFrame, n_keys: int, name: str
+) -> DataFrame:
+    """``df`` with a boolean ``name``: false only where ``key`` is not among the ``n_keys`` values
+    of the one column of ``keys``. Rows without a chance need not be shuffled to be joined. Bitmaps
+    of the keys' hashes are broadcast, 8 MB at most; beyond that more rows have a chance."""
+    bits = min(MOST_BITS, max(2**15, 1 << (BITS_PER_KEY * n_keys).bit_length()))
+
+    def slot(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits))
+
+    part, bitmap = free_name(df, "_part"), free_name(df, "_bitmap")
+    slots = keys.select(slot(F.col(keys.columns[0])).alias("slot"))
+    slots = slots.select(F.bitmap_bucket_number("slot").alias(part), "slot").repartition(part)
+    bitmaps = slots.groupBy(part).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias(bitmap)
+    )
+    own = slot(F.col(key) if isinstance(key, str) else key)
+    at = F.bitmap_bit_position(own)
+    byte = F.substring(bitmap, (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+    byte = F.conv(F.hex(byte), 16, 10).cast("int")
+    is_set = F.getbit(byte, (at % 8).cast("int")) == 1
+    found = df.withColumn(part, F.bitmap_bucket_number(own)).join(F.broadcast(bitmaps), part, "left")
+    return found.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(part, bitmap)
+
+
+def with_chance_only(
+    df: DataFrame, key: str | Column, keys: DataFrame, n_keys: int
+) -> DataFrame:
+    name = free_name(df, "_chance")
+    return with_chance(df, key, keys, n_keys, name).where(name).drop(name)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

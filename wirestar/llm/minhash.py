@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from wirestar.llm.common import free_name, text_or_empty
+from wirestar.llm.common import free_name, text_or_empty, with_chance, with_chance_only
 from wirestar.sources.staging import Staging
 
 WORDS = 5
@@ -209,7 +209,10 @@ def confirm(
 ) -> DataFrame:
     """Pairs (u, v) of representatives that are linked: signatures first, then full sets. Only
     texts that a surviving pair names are read again."""
+    staged = staging.write(pairs, "pairs")
+    pairs, ends = staged.df, staged.df.select(F.explode(F.array("u", "v")).alias("node"))
     signed = representatives.select("node", "signature", "n_shingles")
+    signed = with_chance_only(signed, "node", ends, 2 * staged.rows)
     left = signed.toDF("u", "signature_u", "n_u")
     right = signed.toDF("v", "signature_v", "n_v")
     sized = pairs.join(left, "u").join(right, "v").where(
@@ -230,10 +233,13 @@ def sets_of(
 ) -> DataFrame:
     """Signature and full set of each of the ``nodes``, from a row of its id and text."""
     named = representatives.select("node", "doc_id", "text_key")
-    needed = staging.write(named.join(nodes.distinct(), "node"), "needed").df
+    needed = staging.write(named.join(nodes.distinct(), "node"), "needed")
     texts = docs.select("doc_id", text_key().alias("text_key"), text_or_empty().alias("text"))
-    found = texts.join(needed, ["doc_id", "text_key"]).select("node", "text")
-    return staging.write(shingle_sets(found.dropDuplicates(["node"])), "sets").df
+    texts = with_chance_only(texts, "text_key", needed.df.select("text_key"), needed.rows)
+    # A node has one id and one text, so what the join has brought together need not move again.
+    found = texts.join(needed.df, ["doc_id", "text_key"])
+    found = found.dropDuplicates(["doc_id", "text_key", "node"]).select("node", "text")
+    return staging.write(shingle_sets(found), "sets").df
 
 
 def leftovers(
@@ -390,9 +396,9 @@ def _components_of(docs: DataFrame, staging: Staging, percent: int) -> DataFrame
     classes = classes.select(
         "set_hash", "copies", F.col("leader.doc_id").alias("least"), F.col("leader.node").alias("node")
     )
-    classes = staging.write(classes, "classes").df
-    leaders = filled.join(classes.select("node"), "node", "left_semi")
-    leaders = staging.write(leaders, "leaders").df
+    classes = staging.write(classes, "classes", {"copied": F.count_if(F.col("copies") > 1)})
+    classes, copied_sets = classes.df, classes.seen["copied"]
+    leaders = staging.write(_leaders(filled, classes, copied_sets), "leaders").df
     buckets = _buckets(leaders, staging)
     stars = buckets.join(buckets.groupBy("key").agg(F.min("node").alias("u")), "key")
     stars = stars.select("u", F.col("node").alias("v")).where("u < v").distinct()
@@ -432,9 +438,21 @@ def drop_near_duplicates(docs: DataFrame, staging: Staging, percent: int = PERCE
     gone = found.where("not kept").select(
         F.col("doc_id").alias(name), F.col("text_key").alias(key)
     ).distinct()
-    gone = staging.write(gone, "gone").df
+    gone = staging.write(gone, "gone")
     same = (F.col("doc_id") == F.col(name)) & (F.col(own) == F.col(key))
-    return docs.withColumn(own, text_key()).join(gone, same, "left_anti").drop(own)
+    rows, chance = docs.withColumn(own, text_key()), free_name(docs, "_chance")
+    rows = with_chance(rows, own, gone.df.select(key), gone.rows, chance)
+    kept = rows.where(chance).join(gone.df, same, "left_anti")
+    return rows.where(~F.col(chance)).unionByName(kept).drop(own, chance)
+
+
+def _leaders(filled: DataFrame, classes: DataFrame, copied_sets: int) -> DataFrame:
+    """The row of each class that goes on. A row of a set without copies is its leader, so only
+    the others are looked up."""
+    copied = classes.where("copies > 1").select("set_hash")
+    rows = with_chance(filled, "set_hash", copied, copied_sets, "_chance")
+    looked_up = rows.where("_chance").join(classes.select("node"), "node", "left_semi")
+    return rows.where("not _chance").unionByName(looked_up).drop("_chance", "set_hash")
 
 
 def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:
@@ -446,4 +464,6 @@ def _buckets(leaders: DataFrame, staging: Staging) -> DataFrame:
     banded = leaders.select("node", "n_shingles", F.explode(keys("signature")).alias("key"))
     banded = staging.write(banded, "bands").df
     shared = banded.groupBy("key").count().where("count > 1").select("key")
-    return staging.write(banded.join(shared, "key").select("key", "node", "n_shingles"), "shared-bands").df
+    shared = staging.write(shared, "shared-keys")
+    banded = with_chance_only(banded, "key", shared.df, shared.rows)
+    return staging.write(banded.join(shared.df, "key").select("key", "node", "n_shingles"), "shared-bands").df
