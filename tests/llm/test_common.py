@@ -2,7 +2,7 @@
 
 import pytest
 
-from wirestar.llm import common, minhash
+from wirestar.llm import common, minhash, secrets
 
 
 @pytest.mark.parametrize("most_bits", [2**26, 2**15])
@@ -61,3 +61,14 @@ def test_only_texts_with_a_chance_are_joined_for_near_copies(spark, staging, mon
     assert len(whole) >= 2 and all(m < n / 10 for n, m in whole)
     signed = [(n, m) for columns, n, m in seen if "signature" in columns]
     assert len(signed) >= 2 and all(m < n / 10 for n, m in signed)
+
+
+def test_only_texts_with_a_chance_are_joined_for_masks(spark, staging, monkeypatch):
+    docs = texts(spark)
+    seen = joined(monkeypatch, secrets, ("with_chance",))
+    masked = secrets.mask_live(docs, staging)
+    assert masked.columns == docs.columns and masked.count() == docs.count()
+    assert masked.where("contains(text, '[SECRET]')").count() == 20
+    assert masked.intersect(docs).count() == docs.count() - 20
+    (_, n, m), = seen
+    assert 20 <= m < n / 10

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wirestar.llm.common import SPACES, free_name, text_or_empty
+from wirestar.llm.common import SPACES, free_name, text_or_empty, with_chance
 from wirestar.sources.staging import Staging
 
 #: A value with so many owners or more is a widely copied example.
@@ -252,8 +252,11 @@ def mask_live(docs: DataFrame, staging: Staging) -> DataFrame:
     live = live.select(
         F.col("doc_id").alias(id_), F.col(sha).alias(text_), F.col("spans").alias(spans)
     )
-    live = staging.write(live.dropDuplicates([id_, text_]), "live").df
+    live = staging.write(live.dropDuplicates([id_, text_]), "live")
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(sha) == F.col(text_))
-    found = rows.join(live, same, "left")
+    chance = free_name(docs, "_chance")
+    rows = with_chance(rows, sha, live.df.select(text_), live.rows, chance)
+    found = rows.where(chance).join(live.df, same, "left")
     text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(spans)))
-    return found.withColumn("text", text).select(*docs.columns)
+    found = found.withColumn("text", text).select(*docs.columns)
+    return rows.where(~F.col(chance)).select(*docs.columns).unionByName(found)
