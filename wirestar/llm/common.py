@@ -48,16 +48,25 @@ def with_chance(
     slots = slots.select(F.bitmap_bucket_number("slot").alias(part), "slot").repartition(part)
     bitmaps = slots.groupBy(part).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias(bitmap)
-    )
+    ).withColumn(bitmap, _words(F.col(bitmap)))
     own = slot(F.col(key) if isinstance(key, str) else key)
-    at = F.bitmap_bit_position(own)
-    byte = F.substring(bitmap, (F.floor(at / 8) + 1).cast("int"), F.lit(1))
-    byte = F.conv(F.hex(byte), 16, 10).cast("int")
-    is_set = F.getbit(byte, (at % 8).cast("int")) == 1
+    at = F.bitmap_bit_position(own).cast("int")
+    word = F.get(bitmap, F.shiftright(at, 5))
+    in_word = 24 - F.shiftright(at, 3) % 4 * 8 + at % 8  # a word's first byte is its highest
+    is_set = F.getbit(word, in_word) == 1
     found = df.withColumn(part, F.bitmap_bucket_number(own)).join(F.broadcast(bitmaps), part, "left")
     return found.withColumn(name, F.coalesce(is_set, F.lit(False))).drop(part, bitmap)
 
 
+def _words(bitmap: Column) -> Column:
+    """A bitmap of 4,096 bytes as whole numbers, which rows look up without making new values."""
+    def word(i: Column) -> Column:
+        found = F.conv(F.hex(F.substring(bitmap, i * 4 + 1, F.lit(4))), 16, 10).cast("long")
+        return (found - F.when(found >= 2**31, F.lit(2**32)).otherwise(0)).cast("int")
+
+    return F.transform(F.sequence(F.lit(0), F.lit(1023)), word)
+
+
 def with_chance_only(
     df: DataFrame, key: str | Column, keys: DataFrame, n_keys: int
 ) -> DataFrame:
