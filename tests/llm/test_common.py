@@ -1,8 +1,10 @@
 """Rows that a join cannot find are known before its shuffle."""
 
+import pyarrow as pa
 import pytest
 
-from wirestar.llm import common, minhash, secrets
+from wirestar.llm import byte_bpe, common, minhash, packing, secrets, toxicity
+from wirestar.llm.queries import BYTE_BPE
 
 
 @pytest.mark.parametrize("most_bits", [2**26, 2**15])
@@ -72,3 +74,56 @@ def test_only_texts_with_a_chance_are_joined_for_masks(spark, staging, monkeypat
     assert masked.intersect(docs).count() == docs.count() - 20
     (_, n, m), = seen
     assert 20 <= m < n / 10
+
+
+class Taken:
+    """Stands for a table and keeps the work that it is given."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, work, schema):
+        self.work = work
+        return self
+
+
+@pytest.mark.parametrize("stage", [minhash.signatures, minhash.shingle_sets])
+def test_workers_drop_the_vocabulary_when_other_work_begins(spark, stage):
+    work = stage(Taken()).work
+    byte_bpe.encoder(BYTE_BPE)
+    assert byte_bpe.encoder.cache_info().currsize == 1
+    assert list(work(iter([]))) == [] and byte_bpe.encoder.cache_info().currsize == 0
+
+
+def test_packing_keeps_the_vocabulary_and_gives_the_rest_back(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    work = packing.pieces(Taken(), BYTE_BPE).work
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some text", ""]})
+    found, = work(iter([batch]))
+    assert found["doc_id"].to_pylist() == [1, 2] and given == [1]
+    assert byte_bpe.encoder.cache_info().currsize == 1
+
+
+def test_toxicity_takes_texts_as_arrow_batches(spark):
+    docs = spark.createDataFrame([(1, "you are an idiot"), (2, ""), (3, None)], "doc_id long, text string")
+    found = toxicity.with_evidence(docs, toxicity.Model((("idiot", 3.0),)))
+    assert "ArrowEvalPython" in found._jdf.queryExecution().toString()
+    clauses = {r.doc_id: r._found.clauses for r in found.collect()}
+    assert clauses == {1: 1, 2: 0, 3: 0}
+
+
+def test_frugal_gives_back_after_the_last_batch_and_after_an_error(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.frugal(lambda b: (x + 1 for x in b))(iter([1, 2]))) == [2, 3]
+    assert given == [1]
+
+    def fails(batches):
+        yield next(batches)
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        list(common.frugal(fails)(iter([1])))
+    assert given == [1, 1]
+    common.give_back()

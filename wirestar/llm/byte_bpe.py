@@ -16,9 +16,12 @@ from __future__ import annotations
 
 import functools
 import os
+from collections.abc import Iterable
 
 import numpy as np
 
+from wirestar.llm.common import kept_by_worker
+
 SLOTS = 1 << 21
 #: Longer chunks, in bytes, are encoded each time.
 LONGEST = 64
@@ -43,6 +46,7 @@ def _classes() -> np.ndarray:
 _KINDS = _classes()
 
 
+@kept_by_worker
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for the vocabulary file, made once."""
@@ -223,7 +227,7 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return grown
 
 
-def in_pieces(texts: list[str], at_once: int = 1 << 18):
+def in_pieces(texts: Iterable[str], at_once: int = 1 << 18):
     """Runs of texts of about ``at_once`` characters, or of one longer text."""
     run, size = [], 0
     for text in texts:

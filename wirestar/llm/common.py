@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +86,40 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+#: Functions with a cache of what workers keep between tasks, such as vocabularies.
+_kept: list = []
+
+
+def kept_by_worker(cached):
+    """Marks a cached function, so that other work can have its results dropped."""
+    _kept.append(cached)
+    return cached
+
+
+def frugal(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task. A worker lives on, idle or in other stages, beside a JVM
+    that needs the room: what it keeps for other work goes before, what it has freed after."""
+    def run(batches: Iterator) -> Iterator:
+        drop_kept()
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def drop_kept() -> None:
+    for cached in _kept:
+        cached.cache_clear()
+
+
+def give_back() -> None:
+    """Memory that Python and Arrow have freed but hold goes to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)

@@ -40,7 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType
 
-from wirestar.llm.common import free_name, text_or_empty, with_chance, with_chance_only
+from wirestar.llm.common import (
+    free_name,
+    frugal,
+    give_back,
+    text_or_empty,
+    with_chance,
+    with_chance_only,
+)
 from wirestar.sources.staging import Staging
 
 WORDS = 5
@@ -156,7 +163,7 @@ def signatures(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("node"), "doc_id", text_key().alias("text_key"),
         text_or_empty().alias("text"),
     )
-    return rows.mapInArrow(sign, schema)
+    return rows.mapInArrow(frugal(sign), schema)
 
 
 def text_key() -> Column:
@@ -179,7 +186,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
                     names=["node", "signature", "shingles"],
                 )
 
-    return texts.mapInArrow(gather, "node long, signature binary, shingles array<bigint>")
+    return texts.mapInArrow(frugal(gather), "node long, signature binary, shingles array<bigint>")
 
 
 # --- links ----------------------------------------------------------------------------------
@@ -293,6 +300,7 @@ def _compare_blocks(
             part["node"].to_numpy(), part["component"].to_numpy(), list(part["signature"]),
             list(part["shingles"]), percent,
         )
+        give_back()
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return staging.write(

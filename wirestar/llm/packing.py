@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wirestar.llm.byte_bpe import encoder, in_pieces
-from wirestar.llm.common import text_or_empty
+from wirestar.llm.common import give_back, text_or_empty
 from wirestar.sources.staging import Staging
 
 SEQUENCE = 2048
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, vocabulary: str, most: int = SEQUENCE) -> DataFrame:
         encode = encoder(vocabulary)
         for batch in batches:
             rows, ids = [], iter(batch["doc_id"].to_pylist())
-            for texts in in_pieces(batch["text"].to_pylist()):
+            for texts in in_pieces(text.as_py() for text in batch["text"]):
                 for data in encode.encode(texts):
                     doc_id = next(ids)
                     found = np.frombuffer(data, dtype=encode.dtype).astype("<u4")
@@ -65,6 +65,8 @@ def pieces(docs: DataFrame, vocabulary: str, most: int = SEQUENCE) -> DataFrame:
             arrays = [pa.array(c, type=kind) for c, kind in zip(columns, kinds)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        del encode, batches
+        give_back()
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(cut, _PIECES)
 

@@ -33,14 +33,12 @@ from collections import defaultdict
 from collections.abc import Callable, Hashable, Iterable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
-from wirestar.llm.common import free_name, id_remainder, text_or_empty
+from wirestar.llm.common import free_name, frugal, id_remainder, text_or_empty
 from wirestar.sources.staging import Staging
 
 SAMPLE = 9_000
@@ -386,14 +384,14 @@ def learn(docs: DataFrame, labels: DataFrame, staging: Staging, most: int = SAMP
     own = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(CALIBRATION)) == 0
     unseen, sample = sample.where(own), sample.where(~own)
     toxic = sample.where("toxic = 1").select("text")
-    contexts = toxic.mapInArrow(_contexts, "stem string, context long").distinct()
+    contexts = toxic.mapInArrow(frugal(_contexts), "stem string, context long").distinct()
     candidates = contexts.groupBy("stem").agg(F.count("*").alias("contexts"))
     candidates = candidates.where(F.col("contexts") >= LEAST_CONTEXTS).select("stem")
     by_label = sample.groupBy((F.col("toxic") == 1).alias("toxic")).count()
     totals = {r.toxic: r["count"] for r in by_label.collect()}
     clean_total, toxic_total = totals.get(False, 0), totals.get(True, 0)
     counted = sample.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(
-        _occurrences, "stem string, clean long, toxic long"
+        frugal(_occurrences), "stem string, clean long, toxic long"
     )
     counted = counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     # A stem that as good as always begins one longer stem is as strong as that one up to this
@@ -460,16 +458,20 @@ def set_curve(sample: DataFrame, model: Model) -> Model:
 def with_evidence(docs: DataFrame, model: Model, name: str = "_found") -> DataFrame:
     """``docs`` with a struct of this ``name``: each text's score, evidence and number of
     matched clauses. Only texts go to Python and only these numbers come back."""
-    @F.pandas_udf(_FOUND)
-    def found(texts: pd.Series) -> pd.DataFrame:
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         rules = grammar(model)
-        evidence = [rules.evidence(text) for text in texts]
-        scores = [rules.score(e) for e, _ in evidence]
-        return pd.DataFrame({
-            "score": np.array(scores, dtype=np.float64),
-            "evidence": np.array([e for e, _ in evidence], dtype=np.float64),
-            "clauses": np.array([n for _, n in evidence], dtype=np.int64),
-        })
+        for texts in batches:
+            evidence = [rules.evidence(text.as_py()) for text in texts]
+            yield pa.StructArray.from_arrays(
+                [pa.array([rules.score(e) for e, _ in evidence], pa.float64()),
+                 pa.array([e for e, _ in evidence], pa.float64()),
+                 pa.array([n for _, n in evidence], pa.int64())],
+                names=["score", "evidence", "clauses"],
+            )
+
+    @F.arrow_udf(_FOUND)
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return frugal(scored)(batches)
 
     return docs.withColumn(name, found(text_or_empty()))
 
