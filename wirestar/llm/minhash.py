@@ -43,7 +43,6 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType
 from wirestar.llm.common import (
     free_name,
     frugal,
-    give_back,
     text_or_empty,
     with_chance,
     with_chance_only,
@@ -300,7 +299,6 @@ def _compare_blocks(
             part["node"].to_numpy(), part["component"].to_numpy(), list(part["signature"]),
             list(part["shingles"]), percent,
         )
-        give_back()
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
     return staging.write(
